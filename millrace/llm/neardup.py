@@ -9,7 +9,7 @@ neighbouring bands, are cut alike.
 
 Three exact reductions keep the signatures few:
 
-* A shingle that only one class of equal texts holds is always a difference. A
+* A shingle that only one text holds is always a difference. A
   set whose share of such shingles exceeds 1-g has no partner and drops out.
 * The rest of the allowed differences bounds how many partitions can disagree,
   so of the non-empty partitions only that many plus one, rarest first, need a
@@ -34,7 +34,7 @@ from millrace.runtime import materialize
 
 WORDS = 3
 SIMILARITY = 0.6
-BUCKETS = 256  # of the shingle domain for each shuffle task's share
+BUCKET_SETS = 10_000  # sets whose shingles one bucket of the domain holds on average
 STAR = 64  # classes of more equal texts are linked to their smallest member only
 
 _U = np.uint64
@@ -89,107 +89,157 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
 
 
 # ------------------------------------------------------- classes of equal sets
-SETS = "row_id bigint, side int, size int, content bigint, content2 bigint, shingles binary"
+SETS = "row_id bigint, side int, size int, content bigint, content2 bigint"
+
+
+def _batches(b: pa.RecordBatch, words: int, step: int = 2000) -> Iterator[tuple[int, list[int], list[np.ndarray]]]:
+    """Side, row keys and non-empty shingle sets of a batch of rows, piece by piece."""
+    ids = b.column(0).to_pylist()
+    for side in range(1, b.num_columns):
+        for lo in range(0, len(ids), step):
+            sets = shingle_sets(b.column(side).slice(lo, step).to_pylist(), words)
+            keep = [i for i, s in enumerate(sets) if len(s)]
+            if keep:
+                yield side, [ids[lo + i] for i in keep], [sets[i] for i in keep]
 
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_pylist()
-            for side in range(1, b.num_columns):
-                for lo in range(0, len(ids), 2000):
-                    sets = shingle_sets(b.column(side).slice(lo, 2000).to_pylist(), words)
-                    keep = [(i, s) for i, s in zip(ids[lo : lo + 2000], sets) if len(s)]
-                    c1 = [int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) for _, s in keep]
-                    c2 = [int(np.add.reduce(mix(s ^ _MUL)).astype(np.int64)) for _, s in keep]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([i for i, _ in keep], pa.int64()),
-                            pa.array([side] * len(keep), pa.int32()),
-                            pa.array([len(s) for _, s in keep], pa.int32()),
-                            pa.array(c1, pa.int64()),
-                            pa.array(c2, pa.int64()),
-                            pa.array([s.tobytes() for _, s in keep], pa.binary()),
-                        ],
-                        [x.split()[0] for x in SETS.split(", ")],
-                    )
+            for side, ids, sets in _batches(b, words):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids, pa.int64()),
+                        pa.array([side] * len(ids), pa.int32()),
+                        pa.array([len(s) for s in sets], pa.int32()),
+                        pa.array([int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) for s in sets], pa.int64()),
+                        pa.array([int(np.add.reduce(mix(s ^ _MUL)).astype(np.int64)) for s in sets], pa.int64()),
+                    ],
+                    [x.split()[0] for x in SETS.split(", ")],
+                )
 
     return run
 
 
-# --------------------------------------- shingles that more than one class has
-def _deal(buckets: int):
+# --------------------------------------- shingles that more than one set holds
+PACKED = "bucket int, ids binary, sides binary, keys binary, counts binary"
+
+
+def _pack(bucket: np.ndarray, ids: np.ndarray, sides: np.ndarray, keys: np.ndarray | None, counts: np.ndarray | None) -> pa.RecordBatch:
+    """One message per bucket; a shuffle of packed arrays has no cost per entry but its bytes."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(bucket) else np.zeros(1, int)
+    spans = list(zip(edge[:-1], edge[1:]))
+
+    def column(x: np.ndarray | None, kind: type) -> pa.Array:
+        if x is None:
+            return pa.array([b""] * len(spans), pa.binary())
+        x = x[order].astype(kind, copy=False)
+        return pa.array([x[a:b].tobytes() for a, b in spans], pa.binary())
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[edge[:-1]].astype(np.int32)),
+            column(ids, np.int64),
+            column(sides, np.int8),
+            column(keys, np.uint64),
+            column(counts, np.int32),
+        ],
+        [x.split()[0] for x in PACKED.split(", ")],
+    )
+
+
+def _deal(words: int, buckets: int):
     """Every shingle with its set, packed by bucket of the shingle domain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = np.asarray(b.column(0).to_numpy(zero_copy_only=False), np.int64)
-            sides = np.asarray(b.column(1).to_numpy(zero_copy_only=False), np.uint64)
-            sets = [np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()]
-            if not sets:
-                continue
-            sizes = np.array([len(s) for s in sets])
-            key = np.concatenate(sets)
-            key = mix(key ^ (np.repeat(sides, sizes) * _MUL))
-            own = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-            at = (key % _U(buckets)).astype(np.int32)
-            order = np.argsort(at, kind="stable")
-            key, own, at = key[order], own[order], at[order]
-            cut = np.searchsorted(at, np.arange(buckets + 1))
-            some = np.flatnonzero(np.diff(cut))
-            packed = [own[cut[i] : cut[i + 1]] for i in some]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some.astype(np.int32)),
-                    pa.array([key[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary()),
-                    pa.array([ids[o].tobytes() for o in packed], pa.binary()),
-                    pa.array([sides[o].astype(np.int8).tobytes() for o in packed], pa.binary()),
-                ],
-                ["bucket", "keys", "ids", "sides"],
-            )
+            for side, ids, sets in _batches(b, words):
+                sizes = [len(s) for s in sets]
+                keys = mix(np.concatenate(sets) ^ mix(np.array([side], np.uint64)))
+                own = np.repeat(np.array(ids, np.int64), sizes)
+                yield _pack((keys % _U(buckets)).astype(np.int64), own, np.full(len(keys), side), keys, None)
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one task's buckets (sorted) the shingles with several sets, packed by set again."""
-
-    def flush(parts: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        key = np.concatenate([np.frombuffer(p[0], np.uint64) for p in parts])
-        ids = np.concatenate([np.frombuffer(p[1], np.int64) for p in parts])
-        sides = np.concatenate([np.frombuffer(p[2], np.int8) for p in parts])
-        order = np.argsort(key, kind="stable")
-        key, ids, sides = key[order], ids[order], sides[order]
-        edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-        run = np.diff(edge)
-        df = np.repeat(run, run)
-        keep = df > 1
-        key, ids, sides, df = key[keep], ids[keep], sides[keep], df[keep]
-        order = np.lexsort((sides, ids))
-        key, ids, sides, df = key[order], ids[order], sides[order], df[order].astype(np.int32)
-        edge = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (sides[1:] != sides[:-1]), [True]))) if len(ids) else np.zeros(1, int)
-        spans = list(zip(edge[:-1], edge[1:]))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids[edge[:-1]], pa.int64()),
-                pa.array(sides[edge[:-1]].astype(np.int32), pa.int32()),
-                pa.array([b - a for a, b in spans], pa.int32()),
-                pa.array([key[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([df[a:b].tobytes() for a, b in spans], pa.binary()),
-            ],
-            ["row_id", "side", "n", "keys", "dfs"],
-        )
-
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, ...]]]:
+    """The messages of one bucket after the other; a task's rows are sorted by bucket."""
     now, parts = None, []
     for b in batches:
-        for bucket, *rest in zip(*(b.column(i).to_pylist() for i in range(4))):
+        for bucket, *rest in zip(*(b.column(i).to_pylist() for i in range(5))):
             if bucket != now and parts:
-                yield flush(parts)
+                yield parts
                 parts = []
             now = bucket
             parts.append(tuple(rest))
     if parts:
-        yield flush(parts)
+        yield parts
+
+
+def _unpack(parts: list[tuple[bytes, ...]]) -> list[np.ndarray]:
+    kinds = (np.int64, np.int8, np.uint64, np.int32)
+    return [np.concatenate([np.frombuffer(p[k], kind) for p in parts]) for k, kind in enumerate(kinds)]
+
+
+def _shared(buckets: int):
+    """Of each bucket the shingles with several sets, packed by bucket of the row keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_bucket(batches):
+            ids, sides, keys, _ = _unpack(parts)
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            runs = np.diff(np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True]))))
+            df = np.repeat(runs, runs)
+            keep = df > 1
+            order = order[keep]
+            at = (mix(ids[order].astype(np.uint64)) % _U(buckets)).astype(np.int64)
+            yield _pack(at, ids[order], sides[order], keys[keep], df[keep])
+
+    return run
+
+
+def _heads(buckets: int):
+    """Row keys and set sizes of class heads, packed like the shingles of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, sides, sizes = (np.asarray(b.column(i).to_numpy(zero_copy_only=False), np.int64) for i in range(3))
+            yield _pack((mix(ids.astype(np.uint64)) % _U(buckets)).astype(np.int64), ids, sides, None, sizes)
+
+    return run
+
+
+HELD = "row_id bigint, side int, size int, keys binary, dfs binary"
+
+
+def _gather(similarity: float):
+    """Per class head that may have a partner: its size and the shingles other sets hold too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts in _by_bucket(batches):
+            heads, entries = [p for p in parts if not p[2]], [p for p in parts if p[2]]
+            if not heads or not entries:
+                continue
+            h_ids, h_sides, _, h_sizes = _unpack(heads)
+            ids, sides, keys, df = _unpack(entries)
+            order = np.lexsort((keys, sides, ids))
+            ids, sides, keys, df = ids[order], sides[order], keys[order], df[order]
+            edge = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (sides[1:] != sides[:-1]), [True])))
+            spans = {(ids[a], sides[a]): (a, b) for a, b in zip(edge[:-1], edge[1:])}
+            out = []
+            for i, s, n in zip(h_ids.tolist(), h_sides.tolist(), h_sizes.tolist()):
+                a, b = spans.get((i, s), (0, 0))
+                if b - a >= similarity * n - 1e-9 and b > a:
+                    out.append((i, s, n, keys[a:b].tobytes(), df[a:b].tobytes()))
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in out], t) for k, t in enumerate(types)], [x.split()[0] for x in HELD.split(", ")]
+            )
+
+    return run
 
 
 # ------------------------------------------------------------------ signatures
@@ -308,34 +358,21 @@ def near_duplicates(
     id is the smallest row key of its members.
     """
     narrow = rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields])
-    sets = narrow.mapInArrow(_sets(words), SETS)
-    keyed = materialize(sets.drop("shingles"), "neardup")
-    classes = keyed.groupBy("side", "content", "content2", "size").agg(F.min("row_id").alias("class_id"), F.count("*").alias("copies"))
-    members = materialize(keyed.join(classes, ["side", "content", "content2", "size"]).select("side", "row_id", "class_id", "copies", "size"), "neardup")
-    spare = members.where("row_id != class_id").select("row_id", "side")
-    heads = narrow.mapInArrow(_sets(words), SETS).join(spare, ["row_id", "side"], "left_anti").select("row_id", "side", "shingles")
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = parts * max(1, BUCKETS // parts)
-    dealt = heads.mapInArrow(_deal(buckets), "bucket int, keys binary, ids binary, sides binary")
-    shared = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _shared, "row_id bigint, side int, n int, keys binary, dfs binary"
-    )
-    size_of = members.where("row_id = class_id").select("row_id", "side", "size")
-    gathered = (
-        shared.groupBy("row_id", "side")
-        .agg(F.sum("n").alias("known"), F.collect_list(F.struct("keys", "dfs")).alias("got"))
-        .join(size_of, ["row_id", "side"])
-        .where(F.col("known") >= F.lit(similarity) * F.col("size") - F.lit(1e-9))
-    )
-    held = gathered.select(
-        "row_id",
-        "side",
-        "size",
-        F.expr("aggregate(got, cast('' as binary), (a, x) -> a || x.keys)").alias("keys"),
-        F.expr("aggregate(got, cast('' as binary), (a, x) -> a || x.dfs)").alias("dfs"),
-    )
-    held = materialize(held, "neardup")
+    keyed = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
+    same = ["side", "content", "content2", "size"]
+    classes = keyed.groupBy(same).agg(F.min("row_id").alias("class_id"), F.count("*").alias("copies"))
+    members = keyed.join(classes, same).select("side", "row_id", "class_id", "copies", "size")
+    members = materialize(members, "neardup")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(parts, members.count() // BUCKET_SETS)
+
+    def exchange(df: DataFrame) -> DataFrame:
+        return df.repartition(parts, "bucket").sortWithinPartitions("bucket")
+
+    dealt = narrow.mapInArrow(_deal(words, buckets), PACKED)
+    shared = exchange(dealt).mapInArrow(_shared(buckets), PACKED)
+    heads = members.where("row_id = class_id").select("row_id", "side", "size").mapInArrow(_heads(buckets), PACKED)
+    held = materialize(exchange(shared.unionByName(heads)).mapInArrow(_gather(similarity), HELD), "neardup")
     signed = held.mapInArrow(_sign(similarity), "sig bigint, row_id bigint, side int, size int")
     signed = materialize(signed, "neardup")
     often = signed.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
