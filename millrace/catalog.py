@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import dedup
-from millrace.runtime import table
+from millrace.functions import integrity, jsonx, paths, text
+from millrace.operators import dedup, reports, selection, state
+from millrace.plans import dataset
+from millrace.runtime import fold, table
+from millrace.sources import events as ev
+from millrace.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +30,15 @@ def query(sql: str | None = None):
     return add
 
 
+def values(spark: SparkSession, rows: str, columns: str) -> DataFrame:
+    """A small inline table, written so that both engines read it."""
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
+
+
+STATUSES = ("discovered", "enriched", "pre_classified", "extracted", "scored", "exported", "rejected")
+QUOTAS = {"easy": 40, "medium": 25, "hard": 10}
+
+# ------------------------------------------------------------------- messages
 _MESSAGES = r"""
     SELECT TRY_CAST(regexp_extract(id, '([0-9]+)', 1) AS BIGINT) AS event_no,
            lower(regexp_replace(repository, '^\s+|\s+$', '', 'g')) AS repository, pull_number, count(*) AS copies
@@ -45,14 +58,811 @@ def p1_messages(spark: SparkSession, d: str) -> DataFrame:
     return dedup.message_counts(table(spark, d, "gharchive_events"))
 
 
+@query(f"""
+    SELECT count(*) AS "rows", (SELECT count(*) FROM ({_MESSAGES})) AS messages FROM (
+        SELECT 1 FROM ({_MESSAGES})
+        UNION ALL SELECT 1 FROM gharchive_events WHERE TRY_CAST(regexp_extract(id, '([0-9]+)', 1) AS BIGINT) IS NULL)
+""")
+def p1_kept_counts(spark: SparkSession, d: str) -> DataFrame:
+    kept = dedup.keep_one(table(spark, d, "gharchive_events"))
+    return kept.agg(F.count("*").alias("rows"), F.count(dedup.event_number("id")).alias("messages"))
+
+
 @query()
 def p1_kept(spark: SparkSession, d: str) -> DataFrame:
     return dedup.keep_one(table(spark, d, "gharchive_events"))
 
 
-@query("SELECT coalesce(lower(trim(language)), 'unknown') AS language, count(*) AS tasks FROM dataset_rows GROUP BY 1")
+# --------------------------------------------------------------------- sources
+@query("""
+    SELECT DISTINCT strftime(created_at AT TIME ZONE 'UTC', '%Y-%m-%d') || '-' ||
+           CAST(hour(created_at AT TIME ZONE 'UTC') AS VARCHAR) AS bucket
+    FROM gharchive_events WHERE created_at IS NOT NULL
+""")
+def hour_buckets_seen(spark: SparkSession, d: str) -> DataFrame:
+    events = table(spark, d, "gharchive_events").where("created_at is not null")
+    return events.select(ev.hour_key(F.col("created_at")).alias("bucket")).distinct()
+
+
+@query("""
+    SELECT back, strftime(TIMESTAMP '2025-01-10 03:20:00' - to_hours(back), '%Y-%m-%d') || '-' ||
+           CAST(hour(TIMESTAMP '2025-01-10 03:20:00' - to_hours(back)) AS VARCHAR) AS bucket
+    FROM (SELECT CAST(unnest(range(1, 8)) AS INTEGER) AS back)
+""")
+def hour_buckets(spark: SparkSession, d: str) -> DataFrame:
+    one = spark.range(1)
+    return ev.hour_buckets(one, F.lit("2025-01-10 03:20:00").cast("timestamp"), ev.lookback_hours(F.lit(300)))
+
+
+@query("SELECT c AS candidates, CAST(least(greatest(c // 50 + 1, 6), 12) AS BIGINT) AS hours FROM (VALUES (0), (250), (300), (5000)) t(c)")
+def lookback_hours(spark: SparkSession, d: str) -> DataFrame:
+    rows = values(spark, "(0), (250), (300), (5000)", "candidates")
+    return rows.select("candidates", ev.lookback_hours(F.col("candidates")).alias("hours"))
+
+
+_PAYLOAD = """
+    SELECT id,
+           coalesce(CASE WHEN event_payload ->> '$.action' = 'closed' AND
+                         coalesce(CAST(event_payload ->> '$.pull_request.merged' AS BOOLEAN), false)
+                    THEN 'merged' ELSE event_payload ->> '$.action' END, 'unknown') AS payload_action,
+           coalesce(CAST(event_payload ->> '$.pull_request.number' AS BIGINT),
+                    CAST(event_payload ->> '$.issue.number' AS BIGINT), 0) AS payload_number,
+           coalesce(event_payload ->> '$.pull_request.base.sha', '') AS payload_sha,
+           coalesce(CAST(event_payload ->> '$.repository.watchers_count' AS BIGINT), 0) AS payload_stars
+    FROM gharchive_events
+"""
+
+
+@query(_PAYLOAD)
+def event_normalize(spark: SparkSession, d: str) -> DataFrame:
+    return ev.from_payload(table(spark, d, "gharchive_events"))
+
+
+_LINES = """('{"type": "A", "id": 7, "repo": {"name": "o/r"}}'), ('{"type": "B"'), ('{"type": "C"} x'), ('not json'),
+    ('{"id": "9"}'), ('{"type": "D", "org": null, "payload": {"action": "closed", "pull_request": {"merged": true, "number": 4}}}'),
+    ('{"type": "E", "payload": {"issue": {"number": 12, "title": "T"}, "repository": {"watchers_count": 99999999999}}}')"""
+
+
+@query(f"""
+    SELECT e ->> '$.type' AS event_type, coalesce(e ->> '$.repo.name', 'unknown/repo') AS repository,
+           coalesce(e ->> '$.actor.login', 'unknown') AS actor,
+           CASE WHEN e ->> '$.payload.action' = 'closed' AND coalesce(CAST(e ->> '$.payload.pull_request.merged' AS BOOLEAN), false)
+                THEN 'merged' ELSE coalesce(e ->> '$.payload.action', 'unknown') END AS action,
+           coalesce(CAST(e ->> '$.payload.pull_request.number' AS BIGINT), CAST(e ->> '$.payload.issue.number' AS BIGINT), 0) AS pull_number,
+           coalesce(e ->> '$.payload.pull_request.title', e ->> '$.payload.issue.title', 'Untitled change') AS title,
+           CASE WHEN CAST(e ->> '$.payload.repository.watchers_count' AS BIGINT) BETWEEN 0 AND 4294967295
+                THEN CAST(e ->> '$.payload.repository.watchers_count' AS BIGINT) ELSE 0 END AS stars,
+           list_contains(json_keys(e), 'org') AS has_org
+    FROM (SELECT CASE WHEN json_valid(v) THEN CAST(v AS JSON) END AS e FROM (VALUES {_LINES}) t(v))
+    WHERE e ->> '$.type' IS NOT NULL
+""")
+def dump_lines(spark: SparkSession, d: str) -> DataFrame:
+    events = ev.normalize_lines(values(spark, _LINES, "value"))
+    return events.select("event_type", "repository", "actor", "action", "pull_number", "title", "stars", "has_org")
+
+
+_SEARCHES = "(20, 'rust', DATE '2025-01-05', 250), (0, CAST(NULL AS VARCHAR(9)), CAST(NULL AS DATE), 30), (5, 'go', CAST(NULL AS DATE), 100)"
+
+
+@query(f"""
+    SELECT q.*, concat_ws('+', 'type:pr', 'is:merged', CASE WHEN min_stars > 0 THEN 'stars:>=' || min_stars END,
+                          'language:' || language, 'merged:>=' || strftime(merged_after, '%Y-%m-%d')) AS q,
+           CAST(ceil(max_results / least(max_results, 100)) AS BIGINT) AS pages
+    FROM (VALUES {_SEARCHES}) q(min_stars, language, merged_after, max_results)
+""")
+def search_query_text(spark: SparkSession, d: str) -> DataFrame:
+    return ev.search_query(values(spark, _SEARCHES.replace("VARCHAR(9)", "STRING"), "min_stars, language, merged_after, max_results"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN len(string_split(url, '/')) >= 5
+                        THEN concat_ws('/', string_split(url, '/')[4], string_split(url, '/')[5]) END AS url_repo
+    FROM documents
+""")
+def url_to_repo(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", ev.repo_of_url(F.col("url")).alias("url_repo"))
+
+
+@query("""
+    SELECT instance_id AS id, repo, coalesce(difficulty_score, 1) AS difficulty_score,
+           len(CAST(fail_to_pass AS VARCHAR[])) AS failing, len(CAST(pass_to_pass AS VARCHAR[])) AS passing,
+           coalesce(hints_text, '') AS original_pr_body
+    FROM (SELECT * REPLACE (coalesce(CASE WHEN json_valid(fail_to_pass) THEN from_json(fail_to_pass, '["VARCHAR"]') END, []) AS fail_to_pass,
+                            coalesce(CASE WHEN json_valid(pass_to_pass) THEN from_json(pass_to_pass, '["VARCHAR"]') END, []) AS pass_to_pass)
+          FROM dataset_rows)
+    WHERE coalesce(instance_id, '') <> '' AND coalesce(repo, '') <> ''
+""")
+def dataset_scan(spark: SparkSession, d: str) -> DataFrame:
+    tasks = tables.dataset_tasks(table(spark, d, "dataset_rows"))
+    return tasks.select(
+        "id", "repo", "difficulty_score", F.size("fail_to_pass").alias("failing"), F.size("pass_to_pass").alias("passing"),
+        "original_pr_body",
+    )
+
+
+@query("""
+    SELECT 'cache' AS origin, lower(trim(repo)) AS repo, pr_number AS number, CAST(NULL AS BIGINT) AS added_lines FROM pr_cache
+    UNION ALL SELECT 'enriched', lower(trim(repository)), number, added_lines FROM enriched_prs
+""")
+def union_sources(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "pr_cache").select(F.lit("cache").alias("origin"), fold("repo").alias("repo"), F.col("pr_number").alias("number"))
+    b = table(spark, d, "enriched_prs").select(F.lit("enriched").alias("origin"), fold("repository").alias("repo"), "number", "added_lines")
+    return tables.union_all([a, b])
+
+
+@query("""
+    SELECT path, line_no, line FROM (
+        SELECT CAST(doc_id AS VARCHAR) AS path, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents)
+    WHERE regexp_matches(line, '^#+ .*[0-9]') ORDER BY path, line_no LIMIT 300
+""")
+def find_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Search with a limit, as the tool offers it."""
+    files = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    return tables.find_in_files(files, r"^#+ .*[0-9]", 300)
+
+
+@query("""
+    SELECT path, line_no, line FROM (
+        SELECT CAST(doc_id AS VARCHAR) AS path, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents)
+    WHERE line_no BETWEEN 3 AND 5
+""")
+def page_lines(spark: SparkSession, d: str) -> DataFrame:
+    files = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    return tables.page_of(files, 2, 3)
+
+
+# --------------------------------------------------------------------- filters
+_BOT = "(actor LIKE '%[bot]%' OR actor = 'dependabot')"
+
+
+@query(f"""
+    SELECT id, repository, pull_number FROM gharchive_events
+    WHERE lower(action) = 'merged' AND pull_number <> 0 AND NOT {_BOT} AND has_org
+""")
+def prefilter_chain(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "gharchive_events")
+    bot = F.col("actor").contains("[bot]") | (F.col("actor") == "dependabot")
+    return e.where((F.lower("action") == "merged") & (F.col("pull_number") != 0) & ~bot & F.col("has_org")).select(
+        "id", "repository", "pull_number"
+    )
+
+
+@query("""
+    SELECT repository, number FROM enriched_prs
+    WHERE title <> 'Untitled change' AND merge_sha <> '' AND files_changed > 0 AND (added_lines > 0 OR removed_lines > 0)
+""")
+def changed_code(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "enriched_prs")
+    return e.where(
+        "title != 'Untitled change' and merge_sha != '' and files_changed > 0 and (added_lines > 0 or removed_lines > 0)"
+    ).select("repository", "number")
+
+
+_BASE = "regexp_extract(lower(f), '([^/]*)$', 1)"
+_TEST_PATH = rf"(regexp_matches({_BASE}, '{paths.TEST_NAMES}') OR regexp_matches(lower(f), '{paths.TEST_FOLDERS}'))"
+_DOC_PATH = (
+    f"(regexp_extract({_BASE}, '([^.]*)$', 1) IN ({', '.join(repr(x) for x in paths.DOC_EXTENSIONS)}) OR "
+    + " OR ".join(f"starts_with({_BASE}, '{n}')" for n in paths.DOC_NAMES)
+    + ")"
+)
+
+
+@query(f"SELECT DISTINCT f AS path, {_TEST_PATH} AS is_test, {_DOC_PATH} AS is_doc, regexp_matches(lower(f), '{paths.TEST_IN_PATCH}') AS is_patch_test "
+       "FROM (SELECT unnest(changed_files) AS f FROM enriched_prs) WHERE f IS NOT NULL")
+def path_kinds(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "enriched_prs").select(F.explode("changed_files").alias("path")).where("path is not null").distinct()
+    p = F.col("path")
+    return f.select(
+        "path", paths.is_test(p).alias("is_test"), paths.is_doc(p).alias("is_doc"), paths.is_test_in_patch(p).alias("is_patch_test")
+    )
+
+
+@query(rf"""
+    SELECT repository, number,
+           len(fs) > 0 AND len(list_filter(fs, lambda f: NOT {_TEST_PATH})) = 0 AS tests_only,
+           len(fs) > 0 AND len(list_filter(fs, lambda f: NOT {_DOC_PATH})) = 0 AS docs_only,
+           len(list_filter(fs, lambda f: {_BASE} IN ({', '.join(repr(x) for x in paths.MANIFESTS)})
+                                         OR regexp_matches(lower(f), '{paths.SOURCE_SUFFIXES}'))) > 0 AS has_build
+    FROM (SELECT DISTINCT repository, number, coalesce(changed_files, []) AS fs FROM enriched_prs)
+""")
+def change_kinds(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "enriched_prs").select(
+        "repository", "number", F.coalesce("changed_files", F.array().cast("array<string>")).alias("fs")
+    ).distinct()
+    fs = F.col("fs")
+    return e.select(
+        "repository", "number", paths.all_of(fs, paths.is_test).alias("tests_only"),
+        paths.all_of(fs, paths.is_doc).alias("docs_only"), paths.has_build(fs).alias("has_build"),
+    )
+
+
+_NAMES = "('main'), ('-x'), ('a..b'), ('v1.0~2'), ('owner/name'), ('.a/b'), ('a/b/c'), ('src/a b.py'), ('/etc/x'), ('a;b'), ('')"
+
+
+@query(rf"""
+    SELECT v AS value,
+           octet_length(encode(v)) <= 256 AND regexp_full_match(v, '[A-Za-z0-9/._~^][A-Za-z0-9/._~^-]*') AND NOT contains(v, '..') AS is_ref,
+           octet_length(encode(v)) <= 256 AND regexp_full_match(v, '[A-Za-z0-9_][A-Za-z0-9._-]*/[A-Za-z0-9_][A-Za-z0-9._-]*') AS is_repo,
+           v <> '' AND NOT contains(v, ';') AND NOT contains(v, '..') AND NOT starts_with(v, '/') AS is_path
+    FROM (VALUES {_NAMES}) t(v)
+""")
+def ref_validators(spark: SparkSession, d: str) -> DataFrame:
+    v = F.col("value")
+    return values(spark, _NAMES, "value").select(
+        "value", paths.valid_ref(v).alias("is_ref"), paths.valid_repo(v).alias("is_repo"), paths.valid_path(v).alias("is_path")
+    )
+
+
+@query("""
+    SELECT id FROM swe_tasks
+    WHERE contains(lower(concat_ws(' ', language, repo, prompt, id)), 'rust') OR
+          len(list_filter(map_values(meta), lambda x: contains(lower(x), 'rust'))) > 0
+""")
+def category_search(spark: SparkSession, d: str) -> DataFrame:
+    own = F.lower(F.concat_ws(" ", "language", "repo", "prompt", "id")).contains("rust")
+    meta = F.coalesce(F.exists(F.map_values("meta"), lambda x: F.lower(x).contains("rust")), F.lit(False))
+    return table(spark, d, "swe_tasks").where(own | meta).select("id")
+
+
+# ----------------------------------------------------------------------- joins
+@query("""
+    SELECT e.id, e.repository, e.pull_number FROM gharchive_events e
+    WHERE NOT EXISTS (SELECT 1 FROM swe_tasks s WHERE lower(trim(s.repo)) = lower(trim(e.repository))
+                      AND TRY_CAST(regexp_extract(s.id, '([0-9]+)$', 1) AS BIGINT) = e.pull_number)
+""")
+def skip_list_anti(spark: SparkSession, d: str) -> DataFrame:
+    done = table(spark, d, "swe_tasks").select(fold("repo").alias("r"), text.number_of_id(F.col("id")).alias("n")).distinct()
+    e = table(spark, d, "gharchive_events").withColumn("r0", fold("repository"))
+    return state.not_in(e, done, {"r0": "r", "pull_number": "n"}).select("id", "repository", "pull_number")
+
+
+@query("""
+    SELECT e.repository, e.number FROM enriched_prs e
+    WHERE NOT EXISTS (SELECT 1 FROM pr_cache c WHERE c.status IN ('exported', 'rejected')
+                      AND lower(trim(c.repo)) = lower(trim(e.repository)) AND c.pr_number = e.number)
+""")
+def cache_skip_anti(spark: SparkSession, d: str) -> DataFrame:
+    known = table(spark, d, "pr_cache").where("status in ('exported', 'rejected')").select(fold("repo").alias("r"), "pr_number")
+    e = table(spark, d, "enriched_prs").withColumn("r0", fold("repository"))
+    return state.not_in(e, known, {"r0": "r", "number": "pr_number"}).select("repository", "number")
+
+
+@query("""
+    SELECT lower(trim(e.repository)) AS repo, e.number, coalesce(c.triage_difficulty, 'medium') AS level,
+           c.triage_difficulty IS NOT NULL AS reused
+    FROM (SELECT DISTINCT lower(trim(repository)) AS repository, number FROM enriched_prs) e
+    LEFT JOIN pr_cache c ON lower(trim(c.repo)) = e.repository AND c.pr_number = e.number
+""")
+def triage_reuse(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "enriched_prs").select(fold("repository").alias("repo"), "number").distinct()
+    c = table(spark, d, "pr_cache").select(fold("repo").alias("repo"), F.col("pr_number").alias("number"), "triage_difficulty")
+    return e.join(c, ["repo", "number"], "left").select(
+        "repo", "number", F.coalesce("triage_difficulty", F.lit("medium")).alias("level"),
+        F.col("triage_difficulty").isNotNull().alias("reused"),
+    )
+
+
+_FACTS = "SELECT lower(trim(repository)) AS repo, number AS pr_number, max(title) AS title, max(stars) AS stars, max(language) AS language FROM enriched_prs GROUP BY ALL"
+
+
+@query(f"""
+    SELECT c.row_id, coalesce(f.title, c.title) AS title, coalesce(f.stars, c.stars) AS stars, coalesce(f.language, c.language) AS language
+    FROM pr_cache c LEFT JOIN ({_FACTS}) f ON f.repo = lower(trim(c.repo)) AND f.pr_number = c.pr_number
+""")
+def enrich_overlay(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("repo"), "pr_number", "title", "stars", "language")
+    f = table(spark, d, "enriched_prs").groupBy(fold("repository").alias("repo"), F.col("number").alias("pr_number")).agg(
+        F.max("title").alias("title"), F.max("stars").alias("stars"), F.max("language").alias("language")
+    )
+    return state.overlay(c, f, ["repo", "pr_number"], ["title", "stars", "language"]).drop("repo", "pr_number")
+
+
+# ------------------------------------------------------------------ aggregates
+@query("SELECT coalesce(lower(trim(language)), 'unknown') AS language, coalesce(lower(trim(difficulty)), 'unknown') AS difficulty, count(*) AS n FROM dataset_rows GROUP BY ALL")
 def dataset_stats(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "dataset_rows")
-    return rows.groupBy(F.coalesce(F.lower(F.trim("language")), F.lit("unknown")).alias("language")).agg(
-        F.count("*").alias("tasks")
+    return reports.counts_by(table(spark, d, "dataset_rows"), language=fold("language"), difficulty=fold("difficulty"))
+
+
+@query("SELECT lower(trim(language)) AS value, count(*) AS n FROM dataset_rows GROUP BY 1 ORDER BY n DESC, value LIMIT 10")
+def top_languages(spark: SparkSession, d: str) -> DataFrame:
+    return reports.top_counts(table(spark, d, "dataset_rows"), fold("language"), 10)
+
+
+@query("SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (status = '{s}') AS {s}" for s in STATUSES) + " FROM pr_cache")
+def status_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return state.status_histogram(table(spark, d, "pr_cache"), STATUSES)
+
+
+_STEPS = {"merged": "lower(action) = 'merged'", "numbered": "pull_number <> 0", "human": f"NOT {_BOT}", "in_org": "has_org"}
+_ALL = [" AND ".join(f"coalesce({x}, false)" for x in list(_STEPS.values())[: i + 1]) for i in range(len(_STEPS))]
+
+
+@query(
+    "SELECT *, " + ", ".join(f"CASE WHEN {b} = 0 THEN 0.0 ELSE CAST({n} AS DOUBLE) / {b} END AS {n}_rate" for n, b in zip(_STEPS, ["total", *_STEPS]))
+    + " FROM (SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER ({c}) AS {n}" for n, c in zip(_STEPS, _ALL)) + " FROM gharchive_events)"
+)
+def funnel_metrics(spark: SparkSession, d: str) -> DataFrame:
+    steps = {k: F.expr(v.replace("'%[bot]%'", "'%[bot]%'")) for k, v in _STEPS.items()}
+    return reports.funnel(table(spark, d, "gharchive_events"), steps)
+
+
+@query("""
+    SELECT lower(string_split(trim(r), ' ')[1]) AS reason, count(*) AS n
+    FROM (SELECT unnest(string_split(rejection_reason, ';')) AS r FROM pr_cache WHERE rejection_reason IS NOT NULL) GROUP BY ALL
+""")
+def rejection_histogram(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pr_cache").where("rejection_reason is not null")
+    return reports.reason_histogram(rows, F.split("rejection_reason", ";"))
+
+
+@query("""
+    SELECT repository, number, least(count(*), 100) AS files, sum(a) AS additions, sum(b) AS deletions,
+           list_sort(list_distinct(list(f))) AS names
+    FROM (SELECT DISTINCT lower(trim(repository)) AS repository, number, unnest(changed_files) AS f, added_lines AS a, removed_lines AS b FROM enriched_prs)
+    WHERE f IS NOT NULL GROUP BY repository, number
+""")
+def file_rollup(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "enriched_prs").select(
+        fold("repository").alias("repository"), "number", F.explode("changed_files").alias("filename"),
+        F.col("added_lines").alias("additions"), F.col("removed_lines").alias("deletions"),
+    ).where("filename is not null").distinct()
+    return reports.file_rollup(f, ["repository", "number"])
+
+
+_RUN = """
+    SELECT CAST(l_orderkey AS VARCHAR) AS task_id,
+           CASE l_linenumber % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'after' ELSE 'agent' END AS phase,
+           CASE WHEN l_linestatus = 'O' THEN 'f2p' ELSE 'p2p' END AS kind,
+           CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS exit_code,
+           CASE WHEN l_quantity > 25 THEN 'Timeout' END AS stderr
+    FROM lineitem
+"""
+_VERDICT = f"""
+    SELECT task_id, CASE WHEN base = 0 THEN 'setup_error' WHEN insane > 0 THEN 'sanity_fail' WHEN stuck > 0 THEN 'agent_error'
+                         WHEN tests > 0 AND passed = tests THEN 'resolved' ELSE 'unresolved' END AS status, passed, tests
+    FROM (SELECT task_id, count(*) FILTER (phase = 'base') AS base,
+                 count(*) FILTER (phase = 'base' AND ((kind = 'f2p' AND exit_code = 0) OR (kind = 'p2p' AND exit_code <> 0))) AS insane,
+                 count(*) FILTER (phase = 'agent' AND exit_code <> 0 AND lower(coalesce(stderr, '')) LIKE '%timeout%') AS stuck,
+                 count(*) FILTER (phase = 'after') AS tests, count(*) FILTER (phase = 'after' AND exit_code = 0) AS passed
+          FROM ({_RUN}) GROUP BY task_id)
+"""
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    q, m = F.col("l_quantity"), F.col("l_linenumber") % 3
+    return table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("task_id"),
+        F.when(m == 0, "base").when(m == 1, "after").otherwise("agent").alias("phase"),
+        F.when(F.col("l_linestatus") == "O", "f2p").otherwise("p2p").alias("kind"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("exit_code"),
+        F.when(q > 25, "Timeout").alias("stderr"),
     )
+
+
+@query(_VERDICT)
+def harness_status(spark: SparkSession, d: str) -> DataFrame:
+    return reports.run_status(_runs(spark, d))
+
+
+@query(f"SELECT status, count(*) AS n, sum(passed) AS passed, sum(tests) AS tests FROM ({_VERDICT}) GROUP BY status")
+def harness_summary(spark: SparkSession, d: str) -> DataFrame:
+    return reports.run_status(_runs(spark, d)).groupBy("status").agg(
+        F.count("*").alias("n"), F.sum("passed").alias("passed"), F.sum("tests").alias("tests")
+    )
+
+
+@query(f"""
+    SELECT task_id, CASE WHEN max(CASE WHEN phase = 'base' AND kind = 'f2p' AND exit_code = 0 THEN 1 ELSE 0 END) = 1 THEN 'already passes'
+                         WHEN max(CASE WHEN phase = 'base' AND kind = 'p2p' AND exit_code <> 0 THEN 1 ELSE 0 END) = 1 THEN 'breaks before'
+                         WHEN max(CASE WHEN phase = 'after' AND exit_code <> 0 THEN 1 ELSE 0 END) = 1 THEN 'fails after'
+                         ELSE 'passed' END AS outcome
+    FROM ({_RUN}) GROUP BY task_id
+""")
+def workspace_outcome(spark: SparkSession, d: str) -> DataFrame:
+    p, k, ok = F.col("phase"), F.col("kind"), F.col("exit_code") == 0
+    rules = [
+        ("already passes", (p == "base") & (k == "f2p") & ok),
+        ("breaks before", (p == "base") & (k == "p2p") & ~ok),
+        ("fails after", (p == "after") & ~ok),
+    ]
+    return reports.first_violation(_runs(spark, d), "task_id", rules, "passed")
+
+
+_PROCESS = """
+    SELECT run_id, commands, total_duration, short + late + slow + hits + missing AS issues,
+           short + late + slow + hits + missing = 0 AS valid,
+           (2 - missing) / 2.0 * power(0.5, used) * power(0.9, greatest(short + late + slow + hits - used, 0)) AS score
+    FROM (SELECT user_id AS run_id, count(*) AS commands, sum(value) AS total_duration,
+                 CASE WHEN count(*) < 5 THEN 1 ELSE 0 END AS short, CASE WHEN sum(value) > 900 THEN 1 ELSE 0 END AS late,
+                 count(*) FILTER (value > 180) AS slow, count(*) FILTER (event_type = 'error') AS hits,
+                 CASE WHEN count(*) FILTER (event_type = 'error') > 0 THEN 1 ELSE 0 END AS used,
+                 CASE WHEN count(*) FILTER (regexp_matches(event_type, '^cl')) = 0 THEN 1 ELSE 0 END +
+                 CASE WHEN count(*) FILTER (regexp_matches(event_type, 'view$')) = 0 THEN 1 ELSE 0 END AS missing
+          FROM events GROUP BY user_id)
+"""
+
+
+@query(_PROCESS)
+def process_validation(spark: SparkSession, d: str) -> DataFrame:
+    runs = table(spark, d, "events").select(
+        F.col("user_id").alias("run_id"), F.col("event_type").alias("command"), F.col("value").alias("duration"), F.lit(0).alias("exit_code")
+    )
+    return reports.process_validation(runs, ["^cl", "view$"], ["error"], min_commands=5, max_single=180.0, max_total=900.0)
+
+
+@query("""
+    SELECT event_id, strftime(ts, '%Y-%m-%d') AS period, sum(value) OVER w AS spent, sum(value) OVER w >= 5000 AS "over"
+    FROM events WINDOW w AS (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+""")
+def running_total(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return reports.running_total(e, F.date_format("ts", "yyyy-MM-dd"), ["ts", "event_id"], F.col("value"), 5000.0).select(
+        "event_id", "period", "spent", "over"
+    )
+
+
+@query("""
+    SELECT level, count(*) AS n, avg(CAST(quality_passed AS DOUBLE)) AS success_rate, sum(ms) // count(*) AS mean_ms
+    FROM (SELECT CASE WHEN m IN ('easy', 'medium', 'hard') THEN m ELSE 'medium' END AS level, quality_passed, len(prompt) AS ms
+          FROM (SELECT *, meta['difficulty'] AS m FROM swe_tasks WHERE prompt IS NOT NULL)) GROUP BY level
+""")
+def difficulty_metrics(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks").where("prompt is not null")
+    return reports.success_by_level(t, selection.LEVELS, F.col("meta")["difficulty"], F.col("quality_passed"), F.length("prompt"))
+
+
+@query("""
+    SELECT 'all' AS scope, count(*) AS tasks, count(*) FILTER (quality_passed) AS quality_passed,
+           count(*) FILTER (docker_passed) AS docker_passed, sum(len(fail_to_pass) + len(pass_to_pass)) AS commands FROM swe_tasks
+""")
+def validate_summary(spark: SparkSession, d: str) -> DataFrame:
+    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
+    return table(spark, d, "swe_tasks").agg(
+        F.lit("all").alias("scope"), F.count("*").alias("tasks"), F.count_if("quality_passed").alias("quality_passed"),
+        F.count_if("docker_passed").alias("docker_passed"), F.sum(size("fail_to_pass") + size("pass_to_pass")).alias("commands"),
+    )
+
+
+@query("SELECT doc_id, CAST(ceil(octet_length(encode(text)) / 4.0) AS BIGINT) AS tokens FROM documents WHERE text IS NOT NULL")
+def token_estimate(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text is not null").select(
+        "doc_id", F.ceil(F.octet_length("text") / 4).cast("bigint").alias("tokens")
+    )
+
+
+@query("""
+    SELECT strftime(date_trunc('hour', created_at AT TIME ZONE 'UTC'), '%Y-%m-%d %H') AS hour, count(*) AS n,
+           CAST(count(*) AS DOUBLE) / 3600 AS per_second, least(100.0, count(*) / 50.0 * 100) AS percent
+    FROM gharchive_events WHERE created_at IS NOT NULL GROUP BY 1
+""")
+def progress_rates(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "gharchive_events").where("created_at is not null")
+    n = F.col("n").cast("double")
+    return e.groupBy(F.date_format("created_at", "yyyy-MM-dd HH").alias("hour")).agg(F.count("*").alias("n")).select(
+        "hour", "n", reports.ratio(n, F.lit(3600)).alias("per_second"), F.least(F.lit(100.0), n / 50 * 100).alias("percent")
+    )
+
+
+_FILES = "SELECT CAST(doc_id AS VARCHAR) AS task_id, 'text' AS target, text AS content FROM documents"
+_CHECKS = (
+    ("a", "exists", None), ("b", "contains", "the"), ("c", "not_contains", "Lorem"), ("d", "regex", "[0-9]{3}"), ("e", "line_count", "5"),
+)
+_CHECKED = (
+    f"SELECT task_id, 'a' AS check_id, content IS NOT NULL AS passed, true AS required FROM ({_FILES}) "
+    f"UNION ALL SELECT task_id, 'b', content IS NOT NULL AND contains(content, 'the'), true FROM ({_FILES}) "
+    f"UNION ALL SELECT task_id, 'c', NOT contains(coalesce(content, ''), 'Lorem'), false FROM ({_FILES}) "
+    f"UNION ALL SELECT task_id, 'd', content IS NOT NULL AND regexp_matches(content, '[0-9]{{3}}'), false FROM ({_FILES}) "
+    f"UNION ALL SELECT task_id, 'e', content IS NOT NULL AND content <> '' AND len(string_split(regexp_replace(content, '\\n$', ''), chr(10))) >= 5, false FROM ({_FILES})"
+)
+
+
+def _checked(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    files = docs.select(F.col("doc_id").cast("string").alias("task_id"), F.lit("text").alias("path"), F.col("text").alias("content"))
+    rules = F.array(
+        *[
+            F.struct(F.lit(i).alias("check_id"), F.lit(k).alias("kind"), F.lit(x).cast("string").alias("expected"), F.lit(i in "ab").alias("required"))
+            for i, k, x in _CHECKS
+        ]
+    )
+    checks = files.select("task_id", F.col("path").alias("target"), F.explode(rules).alias("r")).select("task_id", "target", "r.*")
+    return reports.file_checks(files, checks)
+
+
+@query(_CHECKED)
+def verifier_checks(spark: SparkSession, d: str) -> DataFrame:
+    return _checked(spark, d)
+
+
+@query(f"SELECT task_id, bool_and(passed OR NOT required) AS passed, 0.7 * avg(CAST(passed AS DOUBLE)) AS score FROM ({_CHECKED}) GROUP BY task_id")
+def verifier_score(spark: SparkSession, d: str) -> DataFrame:
+    return reports.check_score(_checked(spark, d))
+
+
+# ------------------------------------------------------------ windows, top n
+_QUOTA_CASE = "CASE triage_difficulty " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in QUOTAS.items()) + " ELSE 0 END"
+
+
+@query(f"""
+    SELECT row_id, triage_difficulty FROM (
+        SELECT row_id, triage_difficulty, row_number() OVER (PARTITION BY triage_difficulty ORDER BY updated_at, row_id) AS rn FROM pr_cache)
+    WHERE rn <= {_QUOTA_CASE}
+""")
+def quota_select(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pr_cache").select("row_id", "triage_difficulty", "updated_at")
+    picked = selection.take_quotas(rows, QUOTAS, F.col("triage_difficulty"), [F.asc_nulls_last("updated_at"), "row_id"])
+    return picked.select("row_id", "triage_difficulty")
+
+
+@query(f"""
+    SELECT q.level, q.quota, least(coalesce(c.n, 0), q.quota) AS taken, coalesce(c.n, 0) >= q.quota AS complete
+    FROM (VALUES {', '.join(f"('{k}', {v})" for k, v in QUOTAS.items())}) q(level, quota)
+    LEFT JOIN (SELECT triage_difficulty AS level, count(*) AS n FROM pr_cache WHERE status = 'exported' GROUP BY 1) c ON c.level = q.level
+""")
+def quota_progress(spark: SparkSession, d: str) -> DataFrame:
+    return selection.quota_progress(table(spark, d, "pr_cache").where("status = 'exported'"), QUOTAS, F.col("triage_difficulty"))
+
+
+@query("SELECT instance_id, (row_number() OVER (ORDER BY instance_id) - 1) // 50 AS shard FROM dataset_rows")
+def shard_assign(spark: SparkSession, d: str) -> DataFrame:
+    return selection.number_shards(table(spark, d, "dataset_rows").select("instance_id"), 50, ["instance_id"])
+
+
+@query("""
+    SELECT row_id, list_extract(['a', 'b', 'c'], (row_number() OVER (PARTITION BY lower(trim(repo)) ORDER BY pr_number, row_id) - 1) % 3 + 1) AS model FROM pr_cache
+""")
+def route_round_robin(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("r"), "pr_number")
+    return selection.round_robin(rows, ["a", "b", "c"], ["pr_number", "row_id"], "r").select("row_id", "model")
+
+
+@query("""
+    SELECT row_id, CASE WHEN (row_number() OVER (PARTITION BY lower(trim(repo)) ORDER BY pr_number, row_id) - 1) % 100 < 30 THEN 'treatment' ELSE 'control' END AS arm FROM pr_cache
+""")
+def route_ab(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("r"), "pr_number")
+    return selection.ab_arm(rows, 0.3, ["pr_number", "row_id"], "r").select("row_id", "arm")
+
+
+@query("SELECT doc_id, row_number() OVER (PARTITION BY coalesce(sha256(text), '') ORDER BY doc_id) > 1 AS hit FROM documents")
+def cache_hits(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return state.first_seen(docs, F.coalesce(F.sha2("text", 256), F.lit("")), ["doc_id"]).select("doc_id", "hit")
+
+
+@query("SELECT doc_id, sha256(text) AS digest FROM documents WHERE text IS NOT NULL")
+def content_hash(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("digest"))
+
+
+# ------------------------------------------------------------------------ text
+@query(r"""
+    SELECT row_id, list_filter([TRY_CAST(regexp_extract(b, '(?i)fixes\s+#(\d+)', 1) AS BIGINT), TRY_CAST(regexp_extract(b, '(?i)close[s]?\s+#(\d+)', 1) AS BIGINT),
+                                TRY_CAST(regexp_extract(b, '(?i)resolves\s+#(\d+)', 1) AS BIGINT)], lambda x: x IS NOT NULL) AS issues
+    FROM (SELECT row_id, coalesce(body, '') AS b FROM pr_cache)
+""")
+def issue_links(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pr_cache").select("row_id", text.issue_links(F.col("body")).alias("issues"))
+
+
+_BLOCKS = r"SELECT row_id, unnest(list_filter(string_split(chr(10) || patch, chr(10) || 'diff --git '), lambda x: starts_with(x, 'a/'))) AS b FROM pr_cache"
+_SIDE = rf"regexp_matches(lower(regexp_extract(b, '^a/(\S+)', 1)), '{paths.TEST_IN_PATCH}')"
+
+
+@query(f"""
+    SELECT row_id, count(*) FILTER (NOT {_SIDE}) AS solution_blocks, count(*) FILTER ({_SIDE}) AS test_blocks
+    FROM ({_BLOCKS}) GROUP BY row_id
+""")
+def diff_split(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "pr_cache").select("row_id", text.split_diff(F.col("patch")).alias("s"))
+    n = lambda c: F.regexp_count(F.col(c), F.lit(r"(?m)^diff --git a/")).cast("bigint")
+    return s.select("row_id", n("s.solution").alias("solution_blocks"), n("s.tests").alias("test_blocks")).where(
+        "solution_blocks + test_blocks > 0"
+    )
+
+
+@query(r"""
+    SELECT row_id, len(regexp_extract_all(patch, '(?m)^\+')) - len(regexp_extract_all(patch, '(?m)^\+\+\+')) AS added,
+           len(regexp_extract_all(patch, '(?m)^-')) - len(regexp_extract_all(patch, '(?m)^---')) AS removed
+    FROM pr_cache WHERE patch IS NOT NULL
+""")
+def line_delta(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pr_cache").where("patch is not null").select("row_id", text.line_delta(F.col("patch")).alias("x")).select("row_id", "x.*")
+
+
+@query("SELECT id, coalesce(TRY_CAST(nullif(regexp_extract(id, '-([0-9]+)$', 1), '') AS BIGINT), 0) AS number FROM swe_tasks")
+def id_to_number(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "swe_tasks").select("id", text.number_of_id(F.col("id")).alias("number"))
+
+
+@query("""
+    SELECT id, trim(replace(replace(replace(replace(replace(replace(replace(prompt, repo, ''), '/' || string_split(repo, '/')[-1], ''),
+           '#' || n, ''), 'PR #' || n, ''), 'PR ' || n, ''), 'pull/' || n, ''), '  ', ' '), ' ' || chr(10) || chr(9) || chr(13)) AS stripped
+    FROM (SELECT *, regexp_extract(id, '([0-9]+)$', 1) AS n FROM swe_tasks WHERE prompt IS NOT NULL)
+""")
+def strip_identifiers(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks").where("prompt is not null")
+    return t.select("id", text.strip_identifiers(F.col("prompt"), F.col("repo"), text.number_of_id(F.col("id"))).alias("stripped"))
+
+
+_COMMANDS = """('pytest tests/test_a.py tests/test_b.py'), ('python -m unittest pkg.mod.TestX'), ('npx jest src/*.test.js "a.test.ts"'),
+    ('cd x && go test ./...'), ('bash run.sh;'), ('python3 -m unittest a.b tests/test_c.py')"""
+
+
+@query(rf"""
+    WITH c AS (SELECT v AS command, list_transform(regexp_split_to_array(trim(v), '\s+'), lambda t: regexp_replace(t, '^[''";]+|[''";]+$', '', 'g')) AS ts
+               FROM (VALUES {_COMMANDS}) t(v)),
+         n AS (SELECT *, list_filter(ts, lambda t: regexp_matches(t, '{text.TEST_SUFFIXES}') AND NOT regexp_matches(t, '[*?]')) AS named,
+                      CASE WHEN regexp_matches(command, 'python3? -m unittest')
+                           THEN list_transform(list_filter(ts, lambda t: contains(t, '.') AND NOT starts_with(t, '-') AND NOT contains(t, '/')),
+                                               lambda t: replace(t, '.', '/') || '.py') ELSE [] END AS dotted FROM c)
+    SELECT command, array_to_string(list_concat(named, list_filter(dotted, lambda x: NOT list_contains(named, x))), ' ') AS paths FROM n
+""")
+def command_paths(spark: SparkSession, d: str) -> DataFrame:
+    rows = values(spark, _COMMANDS, "command")
+    return rows.select("command", F.array_join(text.command_paths(F.col("command")), " ").alias("paths"))
+
+
+@query("""
+    SELECT t.id AS task_id, u.p AS path FROM (SELECT DISTINCT id, unnest(fail_to_pass) AS c FROM swe_tasks) t,
+           LATERAL (SELECT unnest(list_filter(string_split(c, ' '), lambda x: regexp_matches(x, '\\.(py|ts|js|java|rs|go|rb|sh)$'))) AS p) u
+    WHERE u.p NOT IN (SELECT unnest(changed_files) FROM enriched_prs WHERE changed_files IS NOT NULL AND len(list_filter(changed_files, lambda x: x IS NULL)) = 0)
+      AND NOT EXISTS (SELECT 1 FROM (SELECT unnest(changed_files) AS f FROM enriched_prs) WHERE f = u.p)
+    GROUP BY ALL
+""".replace("\\\\", "\\"))
+def missing_references(spark: SparkSession, d: str) -> DataFrame:
+    named = table(spark, d, "swe_tasks").select(F.col("id").alias("task_id"), F.explode("fail_to_pass").alias("c")).select(
+        "task_id", F.explode(text.command_paths(F.col("c"))).alias("path")
+    ).distinct()
+    known = table(spark, d, "enriched_prs").select(F.explode("changed_files").alias("path")).distinct()
+    return named.join(known, "path", "left_anti").select("task_id", "path")
+
+
+@query("""
+    SELECT row_id, title AS whole, CASE WHEN strlen(title) <= 24 THEN title ELSE
+        (SELECT max(substr(title, 1, n)) FROM (SELECT unnest(range(0, 25)) AS n) WHERE strlen(substr(title, 1, n)) <= 24) || '...' END AS cut
+    FROM pr_cache WHERE title IS NOT NULL
+""")
+def byte_truncate(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "pr_cache").where("title is not null")
+    return t.select("row_id", F.col("title").alias("whole"), text.truncate_bytes(F.col("title"), 24, "...").alias("cut"))
+
+
+_ANSWERS = (
+    "('{\"a\": 1}'), ('Sure: {\"n\": \"x\", \"c\": 5} - done'), ('x [1, 2, 3] y'), ('```json\n{\"k\": {\"v\": \"}\"}}\n```'),"
+    " ('{\"cut\": [1, 2'), ('none at all'), ('first {\"a\": 1} then {\"b\": {\"c\": 2}}'), ('')"
+)
+
+
+@query()
+def json_extract(spark: SparkSession, d: str) -> DataFrame:
+    rows = values(spark, _ANSWERS.replace("\\", "\\\\"), "answer")
+    return rows.select("answer", jsonx.extract_json("answer").alias("x")).select("answer", "x.*")
+
+
+@query()
+def json_extract_payloads(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "gharchive_events").where("event_payload is not null")
+    wrapped = F.concat(F.lit("The event was "), "event_payload", F.lit(" as received."))
+    return e.select("id", "batch_id", jsonx.extract_json(wrapped).alias("x")).select("id", "batch_id", "x.status", "x.json")
+
+
+# ------------------------------------------------------------------- integrity
+_UUID = """
+    SELECT id, 'CANARY-' || upper(substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+               substr('89ab', 1 + ((instr('0123456789abcdef', substr(h, 17, 1)) - 1) & 3), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)) AS canary
+    FROM (SELECT id, sha1(unhex('6ba7b8129dad11d180b400c04fd430c8') || encode(id || '-2a00000000000000')) AS h FROM swe_tasks)
+"""
+
+
+@query(f"SELECT id, canary, sha256(canary) AS digest FROM ({_UUID})")
+def canary_ids(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks").select("id", integrity.canary_id(F.col("id"), 42).alias("canary"))
+    return t.select("id", "canary", integrity.canary_hash(F.col("canary")).alias("digest"))
+
+
+@query(f"""
+    SELECT id, exact OR sure > 0.8 AS contaminated, exact AS canary_found, part AS partial_match, sure AS confidence
+    FROM (SELECT *, CASE WHEN exact THEN 1.0 WHEN part THEN 0.6 ELSE 0.0 END AS sure
+          FROM (SELECT id, contains(o, canary) AS exact, len(list_filter(string_split(substr(canary, 8), '-'), lambda p: contains(o, p))) > 0 AS part
+                FROM (SELECT u.id, u.canary, upper(CASE WHEN hash_n % 3 = 0 THEN t.prompt || u.canary
+                                                        WHEN hash_n % 3 = 1 THEN t.prompt || substr(u.canary, 8, 8) ELSE t.prompt END) AS o
+                      FROM ({_UUID}) u JOIN (SELECT id, prompt, coalesce(difficulty_score, 0) AS hash_n FROM swe_tasks WHERE prompt IS NOT NULL) t USING (id))))
+""")
+def contamination_scan(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks").where("prompt is not null").withColumn("canary", integrity.canary_id(F.col("id"), 42))
+    n = F.coalesce("difficulty_score", F.lit(0)) % 3
+    out = F.when(n == 0, F.concat("prompt", "canary")).when(n == 1, F.concat("prompt", F.substring("canary", 8, 8))).otherwise(F.col("prompt"))
+    return t.select("id", integrity.contamination(out, F.col("canary")).alias("x")).select("id", "x.*")
+
+
+@query("SELECT id, true AS same FROM swe_tasks")
+def seal_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    key = "quarry-7"
+    t = table(spark, d, "swe_tasks").select("id", integrity.seal(F.col("id"), key).alias("s"))
+    return t.select("id", (integrity.unseal(F.col("s"), key) == F.col("id")).alias("same"))
+
+
+# ---------------------------------------------------------------- keyed state
+_FOLDED = "SELECT lower(trim(repo)) AS repo, pr_number, updated_at, row_id, title, triage_difficulty, status FROM pr_cache"
+
+
+@query("""
+    SELECT user_id, arg_max(event_type, event_id) AS status, arg_max(value, event_id) FILTER (value > 50) AS value,
+           min(event_id) AS first_seq, max(event_id) AS last_seq FROM events GROUP BY user_id
+""")
+def upsert_merge(spark: SparkSession, d: str) -> DataFrame:
+    log = table(spark, d, "events").select("user_id", "event_id", F.col("event_type").alias("status"), F.when(F.col("value") > 50, F.col("value")).alias("value"))
+    return state.merge_log(log, ["user_id"], "event_id")
+
+
+@query("""
+    SELECT c.row_id, CASE WHEN t.number IS NOT NULL THEN 'exported' ELSE c.status END AS status, c.rejection_reason
+    FROM pr_cache c LEFT JOIN (SELECT DISTINCT lower(trim(repo)) AS repo, TRY_CAST(regexp_extract(id, '([0-9]+)$', 1) AS BIGINT) AS number
+                               FROM swe_tasks WHERE docker_passed) t ON t.repo = lower(trim(c.repo)) AND t.number = c.pr_number
+""")
+def mark_exported(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("repo"), "pr_number", "status", "rejection_reason")
+    t = table(spark, d, "swe_tasks").where("docker_passed").select(fold("repo").alias("repo"), text.number_of_id(F.col("id")).alias("pr_number"))
+    return state.mark(c, t, ["repo", "pr_number"], "exported").select("row_id", "status", "rejection_reason")
+
+
+# --------------------------------------------------------------------- export
+@query("""
+    SELECT id AS instance_id, repo, nullif(test_patch, '') AS test_patch, nullif(original_pr_body, '') AS hints_text,
+           nullif(meta['version'], '') AS version, to_json(fail_to_pass)::VARCHAR AS fail_to_pass,
+           coalesce(meta['difficulty'], CASE WHEN difficulty_score <= 1 THEN 'easy' WHEN difficulty_score = 2 THEN 'medium' ELSE 'hard' END) AS difficulty,
+           quality_score
+    FROM swe_tasks
+""")
+def export_projection(spark: SparkSession, d: str) -> DataFrame:
+    out = dataset.export_projection(table(spark, d, "swe_tasks"))
+    return out.select("instance_id", "repo", "test_patch", "hints_text", "version", "fail_to_pass", "difficulty", "quality_score")
+
+
+@query("""
+    SELECT id AS task_id, unnest(['prompt.md', 'original_pr.md', 'checks.txt']) AS path,
+           unnest([strlen(prompt), strlen(original_pr_body), CASE WHEN len(fail_to_pass) > 0 THEN strlen(array_to_string(list_concat(fail_to_pass, coalesce(pass_to_pass, [])), chr(10))) END]) AS bytes
+    FROM swe_tasks QUALIFY bytes IS NOT NULL
+""".replace(" QUALIFY bytes IS NOT NULL", ""))
+def task_files(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks")
+    names = values(spark, "('prompt.md'), ('original_pr.md'), ('checks.txt')", "path")
+    made = dataset.task_files(t).select("task_id", "path", F.octet_length("content").cast("bigint").alias("bytes"))
+    every = t.select(F.col("id").alias("task_id")).crossJoin(F.broadcast(names))
+    return every.join(made, ["task_id", "path"], "left")
+
+
+@query("SELECT '{\"repo\":\"' || repo || '\",\"pr\":' || regexp_extract(id, '([0-9]+)$', 1) || '}' AS value FROM swe_tasks")
+def processed_lines(spark: SparkSession, d: str) -> DataFrame:
+    return dataset.processed_lines(table(spark, d, "swe_tasks"))
+
+
+@query("""
+    SELECT repository, number, pos, CASE WHEN rn = 1 THEN b ELSE pos || '_' || b END AS name FROM (
+        SELECT *, row_number() OVER (PARTITION BY repository, number, b ORDER BY pos) AS rn FROM (
+            SELECT repository, number, CAST(i - 1 AS INTEGER) AS pos, regexp_extract(changed_files[i], '([^/]*)$', 1) AS b
+            FROM (SELECT *, unnest(range(1, len(changed_files) + 1)) AS i FROM (SELECT DISTINCT repository, number, changed_files FROM enriched_prs))))
+""")
+def basename_dedup(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "enriched_prs").select("repository", "number", "changed_files").distinct()
+    f = e.select("repository", "number", F.posexplode("changed_files").alias("pos", "path"), F.concat_ws("\x1f", "repository", "number").alias("task_id"))
+    return selection.dedupe_basenames(f).select("repository", "number", "pos", "name")
+
+
+@query("SELECT count(*) AS total, CAST(ceil(count(*) / 50.0) AS BIGINT) AS shards FROM dataset_rows")
+def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
+    return dataset.summary(table(spark, d, "dataset_rows")).select("total", "shards")
+
+
+@query("""
+    SELECT date_trunc('hour', created_at AT TIME ZONE 'UTC') AS hour, event_type, count(*) AS n
+    FROM gharchive_events WHERE created_at IS NOT NULL GROUP BY ALL
+""")
+def hourly_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The batch form of the streaming job; both are compared in the tests."""
+    e = table(spark, d, "gharchive_events").where("created_at is not null")
+    hour = F.window("created_at", "1 hour")["start"].cast("timestamp_ntz")
+    return e.groupBy(hour.alias("hour"), "event_type").agg(F.count("*").alias("n"))
