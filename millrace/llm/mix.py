@@ -15,7 +15,7 @@ tokens, and rows are ranked inside their range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import token_count
@@ -118,11 +118,6 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 11) -> DataFra
     )
 
 
-def reachable(col: Column = F.col("tokens")) -> Column:
-    """Whether a source can reach its share with all its allowed repeats."""
-    return ~(col * F.col("max_repeats") < F.col("weight") * F.col("budget"))
-
-
 def supply_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source what it holds, what its share asks for, and whether it can be met.
 
@@ -130,7 +125,12 @@ def supply_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
     its share of nothing.
     """
     return _supply(_sized(documents), targets).select(
-        "source", "weight", "max_repeats", "tokens", "budget", (~reachable()).alias("short")
+        "source",
+        "weight",
+        "max_repeats",
+        "tokens",
+        "budget",
+        (F.col("tokens") * F.col("max_repeats") < F.col("weight") * F.col("budget")).alias("short"),
     )
 
 

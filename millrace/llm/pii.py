@@ -33,7 +33,7 @@ EMAIL = regex.compile(
 )
 REMOTE = regex.compile(r"(?:\w+://\S*$)|(?:\bgit$)")
 
-_P = r"(?<![\w.+/:#-])"
+_P = r"(?:(?<![\w.+/:#-])|(?<=[Tt]el:))"
 _E = r"(?![\w]|[-./:]\d)"
 PHONE = regex.compile(
     "|".join(
@@ -48,12 +48,9 @@ PHONE = regex.compile(
             rf"{_P}0\d{{1,4}}/\d{{5,9}}{_E}",
             rf"{_P}0\d{{2,4}} \d{{3,4}} \d{{4}}{_E}",
             rf"{_P}0[1-9](?:([ .])\d{{2}})(?:\2\d{{2}}){{3}}{_E}",
-            rf"{_P}[6789]\d{{2}} \d{{2}} \d{{2}} \d{{2}}{_E}",
-            rf"{_P}[6789]\d{{2}} \d{{3}} \d{{3}}{_E}",
         )
     )
 )
-_PHONE_HEAD = regex.compile(r"(?i)(?:tel|phone|telefon|téléphone|teléfono|fax|mobile?)[.:=]*:?\s*$")
 PHONE_LABELLED = regex.compile(
     r"(?i)(?:\btel\.?|\bphone|\btelefon|\btéléphone|\bteléfono)\s?[:=]?\s?(\+?[\d(][\d ()./-]{6,18}\d)(?![\w])"
 )
@@ -138,17 +135,17 @@ def shapes(text: str) -> list[tuple[int, int, str]]:
         add(*m.span(1), "id_number")
     for m in STREET.finditer(text):
         add(*m.span(), "street_address")
-    for m in PHONE_LABELLED.finditer(text):
-        digits = sum(c.isdigit() for c in m.group(1))
-        if 7 <= digits <= 15 and not regex.fullmatch(r"\d{3}-\d{2}-\d{4}", m.group(1)):
-            a = m.start(1)
-            add(a, m.end(1), "phone")
     for m in ID_SHAPE.finditer(text):
         if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
             add(*m.span(), "id_number")
     for m in PHONE.finditer(text):
         if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
             add(*m.span(), "phone")
+    for m in PHONE_LABELLED.finditer(text):
+        digits = sum(c.isdigit() for c in m.group(1))
+        if 7 <= digits <= 15 and not regex.fullmatch(r"\d{3}-\d{2}-\d{4}", m.group(1)):
+            a = m.start(1)
+            add(a, m.end(1), "phone")
     return out
 
 
