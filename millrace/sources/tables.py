@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,9 +95,6 @@ def read_skip_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_yaml(spark: SparkSession, root: str, name: str = "workspace.yaml") -> DataFrame:
     """``path, json`` of every YAML file of that name below ``root``; files that do not parse are dropped."""
-    import json
-
-    import pandas as pd
 
     @F.pandas_udf("string")
     def parse(raw: pd.Series) -> pd.Series:
