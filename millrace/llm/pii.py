@@ -165,42 +165,60 @@ class Known:
         self.family = {norm(w) for p, k in parts if k == "family" for w in regex.split(r"[ -]", p) if w[:1].isupper()}
 
 
+def _trim_titles(text: str, a: int, b: int) -> tuple[int, int, list[str]]:
+    """A candidate without leading titles and sentence openers."""
+    words = _terms(text[a:b])
+    while words and (norm(words[0]) in TITLES or norm(words[0]) in SKIP):
+        step = text.find(words[0], a) + len(words[0])
+        while step < b and text[step] in " .,":
+            step += 1
+        again = CANDIDATE.match(text, step) if step < b else None
+        a, b = again.span(1) if again else (step, step)
+        words = _terms(text[a:b])
+    return a, b, words
+
+
+def _weigh(text: str, a: int, b: int, words: list[str], known: Known) -> tuple[int, bool, bool, str]:
+    """Evidence for a candidate: its weight, whether it suffices, whether the place is a person's, the deciding term."""
+    head = text[max(0, a - 40) : a].rpartition("\n")[2]
+    context = bool(BEFORE.search(head)) or bool(AFTER.search(text[b : b + 60]))
+    low = [norm(w) for w in words]
+    flipped = "," in text[a:b]
+    given, family = (low[-1:], low[:-1]) if flipped else (low[:1], low[1:])
+    has_given = any(w in known.given for w in given)
+    has_family = any(w in known.family for w in family)
+    clash = any(w in known.family for w in given) or any(w in known.given for w in family)
+    weight = has_given + has_family + context - clash
+    certain = (has_family and (has_given or context or (not flipped and not clash))) or (has_given and context)
+    return weight, certain, context, norm(words[0] if flipped else words[-1])
+
+
 def mentions(text: str, known: Known, taken: list[tuple[int, int]]) -> list[tuple[int, int, bool, bool, str]]:
-    """Names that may be people: ``start, end, certain, in context, deciding term``."""
+    """Names that may be people: ``start, end, certain, in context, deciding term``.
+
+    Of two overlapping candidates the one with more evidence counts, so that a
+    capitalised word before a name is not drawn into it. Without a person's
+    place around it, a mention needs a known given or family name.
+    """
     out = []
     code = [m.span() for m in CODE.finditer(text)]
     pos = 0
     while m := CANDIDATE.search(text, pos):
-        a, b = m.span(1)
-        pos = a + 1
-        words = _terms(text[a:b])
-        while words and (norm(words[0]) in TITLES or norm(words[0]) in SKIP):
-            step = text.find(words[0], a) + len(words[0])
-            while step < b and text[step] in " .,":
-                step += 1
-            again = CANDIDATE.match(text, step) if step < b else None
-            a, b = again.span(1) if again else (step, step)
-            words = _terms(text[a:b])
+        a, b, words = _trim_titles(text, *m.span(1))
         if len(words) < 2 or _overlaps(taken, a, b) or _overlaps(code, a, b):
-            nxt = text.find(" ", m.start(1))
-            pos = nxt if nxt > 0 else b
+            pos = m.start(1) + max(1, len(regex.match(r"[\p{L}'’-]*", text[m.start(1) : m.end(1)]).group()))
             continue
-        pos = b
-        first, *rest = [norm(w) for w in words]
-        flipped = "," in text[a:b]
-        head = text[max(0, a - 40) : a].rpartition("\n")[2]
-        context = bool(BEFORE.search(head)) or bool(AFTER.search(text[b : b + 60]))
-        if flipped:
-            certain = (first in known.family and rest[-1] in known.given) or (
-                context and (first in known.family or rest[-1] in known.given)
-            )
-        else:
-            certain = any(w in known.family for w in rest) and (
-                first in known.given or context or not any(w in known.family for w in (first,))
-            )
-            certain = certain or (context and first in known.given)
-        term = words[0] if flipped else words[-1]
-        out.append((a, b, certain, context, norm(term)))
+        weight, certain, context, term = _weigh(text, a, b, words, known)
+        second = a + len(regex.match(r"[\p{L}'’-]*", text[a:b]).group())
+        later = CANDIDATE.search(text, second + 1)
+        if later and later.start(1) < b:
+            a2, b2, words2 = _trim_titles(text, *later.span(1))
+            if len(words2) > 1 and not _overlaps(taken, a2, b2) and _weigh(text, a2, b2, words2, known)[0] > weight:
+                pos = later.start(1)
+                continue
+        if certain or context or (weight > 0 and norm(words[0]) in known.given):
+            out.append((a, b, certain, context, term))
+        pos = b if weight > 0 else second + 1
     return out
 
 

@@ -2,7 +2,7 @@ import pytest
 
 from millrace.llm import pii
 
-PARTS = [("Hope", "given"), ("Jonas", "given"), ("Will", "given"), ("Tariwicking", "family"), ("O'Braelexez", "family"), ("de la Quilemdennay", "family")]
+PARTS = [("Hope", "given"), ("Mira", "given"), ("Jonas", "given"), ("Will", "given"), ("Tariwicking", "family"), ("O'Braelexez", "family"), ("de la Quilemdennay", "family")]
 KNOWN = pii.Known(PARTS)
 
 
@@ -47,6 +47,8 @@ def test_shapes(text, want):
         ("Danke an JONAS DE LA QUILEMDENNAY für", ["JONAS DE LA QUILEMDENNAY"]),
         ("Mme Zuri Tariwicking-Braelez hier", ["Zuri Tariwicking-Braelez"]),
         ("Tested-by: Will Tariwicking An error page", ["Will Tariwicking"]),
+        ("in 97250 Grienzel JONAS TARIWICKING asked for this", ["JONAS TARIWICKING"]),
+        ("52728 Quilorryn Tariwicking, Jonas asked for this", ["Tariwicking, Jonas"]),
         ("Hope Server handles this. Will Gateway too. The Build", []),
     ],
 )
