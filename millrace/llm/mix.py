@@ -41,21 +41,19 @@ def _targets(targets: DataFrame) -> DataFrame:
 
 
 def _supply(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target: its tokens and the tokens of all documents, from one aggregation over sources."""
+    """Per target its tokens and documents beside the tokens of all documents (the budget)."""
     per = sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
-    both = per.withColumn("total", F.sum("tokens").over(Window.partitionBy(F.lit(1))))
-    grand = both.agg(F.coalesce(F.max("total"), F.lit(0)).alias("budget"))
+    budget = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     return (
         _targets(targets)
-        .join(both.drop("total"), "source", "left")
-        .crossJoin(F.broadcast(grand))
+        .join(per, "source", "left")
         .select(
             "source",
             "weight",
             "max_repeats",
             F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"),
             F.coalesce("docs", F.lit(0)).alias("docs"),
-            F.col("budget").cast("bigint").alias("budget"),
+            F.lit(budget).cast("bigint").alias("budget"),
         )
     )
 
@@ -100,7 +98,10 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 11) -> DataFra
     sources are not mixed. ``position`` numbers the mixture from 1 in the
     order of finish times, ties by source, document and copy.
     """
-    sized = materialize(_sized(documents), "mix")
+    return _mixture(materialize(_sized(documents), "mix"), targets, seed)
+
+
+def _mixture(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     queued = _finish(sized, _supply(sized, targets), seed).where("finish <= budget")
     queued = materialize(queued, "mix")
     ranges = max(1, -(-queued.count() // SLICE_ROWS))
@@ -119,12 +120,16 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 11) -> DataFra
 
 
 def supply_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per target source what it holds, what its share asks for, and whether it can be met.
+    """Per target source what it holds, what its share asks for, and whether it falls short.
 
     An absent source holds 0 tokens; with an empty corpus every source meets
     its share of nothing.
     """
-    return _supply(_sized(documents), targets).select(
+    return _report(_sized(documents), targets)
+
+
+def _report(sized: DataFrame, targets: DataFrame) -> DataFrame:
+    return _supply(sized, targets).select(
         "source",
         "weight",
         "max_repeats",
@@ -136,13 +141,14 @@ def supply_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix_report(documents: DataFrame, targets: DataFrame, seed: int = 11) -> DataFrame:
     """Per target source its wanted and actual share of the mixture's tokens."""
-    made = mixture(documents, targets, seed).groupBy("source").agg(
+    sized = materialize(_sized(documents), "mix")
+    made = _mixture(sized, targets, seed).groupBy("source").agg(
         F.sum("tokens").alias("mixed"), F.count("*").alias("served"), F.max("copy").alias("rounds")
     )
     whole = Window.partitionBy(F.lit(1))
     mixed = F.coalesce("mixed", F.lit(0))
     return (
-        supply_report(documents, targets)
+        _report(sized, targets)
         .join(made, "source", "left")
         .select(
             "source",
