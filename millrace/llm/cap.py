@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bisect import beyond, cutoffs
-from millrace.runtime import fold
+from millrace.runtime import fold, materialize
 
 KEYS = ("rank_score", "rank_number", "rank_id")
 
@@ -53,7 +53,8 @@ def over_cap(
         total = narrow.count()
         max_rows = max(1, int(total * Fraction(share).limit_denominator(1_000_000)))
     quotas = counts.where(F.col("rows") > max_rows).select("contributor", F.lit(max_rows).cast("bigint").alias("quota"))
-    cuts = cutoffs(narrow, "contributor", KEYS, quotas)
+    # written, so that joins know how few contributors are left
+    cuts = cutoffs(narrow, "contributor", KEYS, materialize(quotas, "cap"))
     return narrow.join(cuts, "contributor").where(beyond(KEYS)).select("contributor", "rank_id")
 
 
