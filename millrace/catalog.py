@@ -829,9 +829,9 @@ def export_projection(spark: SparkSession, d: str) -> DataFrame:
 """.replace(" QUALIFY bytes IS NOT NULL", ""))
 def task_files(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "swe_tasks")
-    names = values(spark, "('prompt.md'), ('original_pr.md'), ('checks.txt')", "path")
+    names = F.explode(F.array(*[F.lit(n) for n in ("prompt.md", "original_pr.md", "checks.txt")])).alias("path")
     made = dataset.task_files(t).select("task_id", "path", F.octet_length("content").cast("bigint").alias("bytes"))
-    every = t.select(F.col("id").alias("task_id")).crossJoin(F.broadcast(names))
+    every = t.select(F.col("id").alias("task_id"), names)
     return every.join(made, ["task_id", "path"], "left")
 
 
