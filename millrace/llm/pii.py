@@ -33,27 +33,26 @@ EMAIL = regex.compile(
 )
 REMOTE = regex.compile(r"(?:\w+://\S*$)|(?:\bgit$)")
 
-_P = r"(?:(?<![\w.+/:#-])|(?<=[Tt]el:))"
+_P = r"(?<![\w.+/:#-])"
 _E = r"(?![\w]|[-./:]\d)"
-PHONE = regex.compile(
-    "|".join(
-        f"(?:{x})"
-        for x in (
-            rf"{_P}\+\d{{1,3}}[ .-]?\(\d{{2,4}}\)[ .-]?\d{{3}}[ .-]?\d{{4}}{_E}",
-            rf"{_P}\+\d{{10,14}}{_E}",
-            rf"{_P}\+\d{{1,3}}(?:[ .\-/]\d{{1,5}}){{2,6}}{_E}",
-            rf"{_P}00\d{{2}}(?:[ .-]\d{{1,8}}){{2,6}}{_E}",
-            rf"{_P}\(\d{{3}}\) ?\d{{3}}[-. ]\d{{4}}{_E}",
-            rf"{_P}[2-9]\d{{2}}([-. ])\d{{3}}\1\d{{4}}{_E}",
-            rf"{_P}0\d{{1,4}}/\d{{5,9}}{_E}",
-            rf"{_P}0\d{{2,4}} \d{{3,4}} \d{{4}}{_E}",
-            rf"{_P}0[1-9](?:([ .])\d{{2}})(?:\2\d{{2}}){{3}}{_E}",
-        )
-    )
-)
-PHONE_LABELLED = regex.compile(
-    r"(?i)(?:\btel\.?|\bphone|\btelefon|\btéléphone|\bteléfono)\s?[:=]?\s?(\+?[\d(][\d ()./-]{6,18}\d)(?![\w])"
+# National and international ways to write a phone number.
+_PHONES = (
+    r"\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}",
+    r"\+\d{10,14}",
+    r"\+\d{1,3}(?:[ .\-/]\d{1,5}){2,6}",
+    r"00\d{2}(?:[ .-]\d{1,8}){2,6}",
+    r"\(\d{3}\) ?\d{3}[-. ]\d{4}",
+    r"[2-9]\d{2}(?:-\d{3}-|\.\d{3}\.| \d{3} )\d{4}",
+    r"0\d{1,4}/\d{5,9}",
+    r"0\d{2,4} \d{3,4} \d{4}",
+    r"0[1-9](?:(?: \d{2}){4}|(?:\.\d{2}){4})",
 )
+_PHONE_BODY = "(?:" + "|".join(f"{x}{_E}" for x in _PHONES) + ")"
+PHONE = regex.compile(rf"(?=[+(\d]){_P}{_PHONE_BODY}")
+PHONE_HERE = regex.compile(_PHONE_BODY)
+DIALLED = regex.compile(r"[+(\d][\d ()./-]{8,}")
+PHONE_LABEL = regex.compile(r"(?i)(?:\btel\.?|\bphone|\btelefon|\btéléphone|\bteléfono) ?[:=]? ?(?=[+(\d])")
+PHONE_LOOSE = regex.compile(r"\+?[\d(][\d ()./-]{6,18}\d(?!\w)")
 
 _LABEL = (
     r"(?:ssn|social security (?:number|no\.?)|nir|n[°ºo]\.? de sécurité sociale|numéro de sécurité sociale"
@@ -138,14 +137,14 @@ def shapes(text: str) -> list[tuple[int, int, str]]:
     for m in ID_SHAPE.finditer(text):
         if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
             add(*m.span(), "id_number")
-    for m in PHONE.finditer(text):
-        if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
-            add(*m.span(), "phone")
-    for m in PHONE_LABELLED.finditer(text):
-        digits = sum(c.isdigit() for c in m.group(1))
-        if 7 <= digits <= 15 and not regex.fullmatch(r"\d{3}-\d{2}-\d{4}", m.group(1)):
-            a = m.start(1)
-            add(a, m.end(1), "phone")
+    if DIALLED.search(text):
+        for m in PHONE_LABEL.finditer(text):
+            n = PHONE_HERE.match(text, m.end()) or PHONE_LOOSE.match(text, m.end())
+            if n and 7 <= sum(c.isdigit() for c in n.group()) <= 15:
+                add(*n.span(), "phone")
+        for m in PHONE.finditer(text):
+            if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
+                add(*m.span(), "phone")
     return out
 
 
