@@ -123,6 +123,7 @@ FAILURES = """
 500 Internal Server Error
 502 Bad Gateway
 503 Service Unavailable
+503 Unavailable
 504 Gateway Timeout
 500 Oops
 Oops
