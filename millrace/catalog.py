@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import integrity, jsonx, paths, text
-from millrace.operators import dedup, reports, selection, state
+from millrace.operators import dedup, reports, selection, state, tasks
 from millrace.plans import dataset
 from millrace.runtime import fold, table
 from millrace.sources import events as ev
@@ -173,8 +173,8 @@ def url_to_repo(spark: SparkSession, d: str) -> DataFrame:
     WHERE coalesce(instance_id, '') <> '' AND coalesce(repo, '') <> ''
 """)
 def dataset_scan(spark: SparkSession, d: str) -> DataFrame:
-    tasks = tables.dataset_tasks(table(spark, d, "dataset_rows"))
-    return tasks.select(
+    done = tables.dataset_tasks(table(spark, d, "dataset_rows"))
+    return done.select(
         "id", "repo", "difficulty_score", F.size("fail_to_pass").alias("failing"), F.size("pass_to_pass").alias("passing"),
         "original_pr_body",
     )
@@ -866,3 +866,161 @@ def hourly_counts(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "gharchive_events").where("created_at is not null")
     hour = F.window("created_at", "1 hour")["start"].cast("timestamp_ntz")
     return e.groupBy(hour.alias("hour"), "event_type").agg(F.count("*").alias("n"))
+
+
+# ----------------------------------------------------------------------- tasks
+@query("""
+    SELECT row_id, repo || ' (#' || pr_number || '): ' || title || chr(10) || chr(10) ||
+           CASE WHEN coalesce(body, '') = '' THEN '(no description)' ELSE body END AS whole FROM pr_cache
+""")
+def original_text(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "pr_cache")
+    whole = tasks.original_text(F.col("repo"), F.col("pr_number"), F.col("title"), F.col("body"))
+    return c.select("row_id", whole.alias("whole"))
+
+
+@query("""
+    SELECT id, CASE WHEN p = '' THEN 'empty' WHEN strlen(p) < 100 THEN 'short'
+                    WHEN len(list_filter(fail_to_pass, lambda c: contains(lower(p), lower(trim(c))))) > 0 THEN 'names a command'
+                    WHEN len(list_filter(fail_to_pass, lambda c: contains(lower(p), lower(regexp_extract(c, '([^/]*)$', 1))))) > 0 THEN 'names a file' END AS reason
+    FROM (SELECT id, fail_to_pass, trim(coalesce(prompt, ''), ' ' || chr(10) || chr(9) || chr(13)) AS p FROM swe_tasks)
+""")
+def prompt_feasibility(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks")
+    return t.select("id", tasks.feasibility(F.col("prompt"), F.col("fail_to_pass"), F.col("fail_to_pass")).alias("reason"))
+
+
+_TESTS = (
+    "('import x\nassert 1\nassert 2\nopen(p).read()'), ('assert \"a\" in source'), ('import a\nexpect(x)\nexpect(y)\nexpect(z)\nreadFile(p)'),"
+    " ('assert open(f).read()'), ('no assertion readFile(x)')"
+)
+_WAYS = [r"open\([^)]*\)\.read", r"Path\([^)]*\)\.read_text", r"\.read\(\)[^;]*assert.*\bin\b", r"readFileSync\(", r"readFile\(",
+         r"assert.*\bin\s+(?:source|content|text|code|file_content|src|contents)", r"\.(?:includes|contains)\([''\"]"]
+
+
+@query(
+    "SELECT v AS content, "
+    + " + ".join(
+        f"CASE WHEN len(regexp_extract_all(v, '{w}')) > 0 AND a > 0 AND (len(regexp_extract_all(v, '{w}')) * 2 > a OR NOT b) THEN 1 ELSE 0 END" for w in _WAYS
+    )
+    + f""" AS ways FROM (SELECT v, len(regexp_extract_all(v, 'assert|expect\\(|Assert\\.')) AS a,
+           contains(v, 'import ') OR contains(v, 'require(') OR contains(v, 'from ') OR contains(v, 'fetch(') OR contains(v, 'request(') AS b
+           FROM (VALUES {_TESTS}) t(v))"""
+)
+def source_reading_tests(spark: SparkSession, d: str) -> DataFrame:
+    return values(spark, _TESTS, "content").select("content", tasks.reads_sources(F.col("content")).alias("ways"))
+
+
+@query("""
+    SELECT DISTINCT lower(trim(repository)) || '-' || number AS task_id, f AS path
+    FROM (SELECT repository, number, unnest(changed_files) AS f FROM enriched_prs)
+    WHERE f IS NOT NULL AND NOT starts_with(regexp_extract(f, '([^/]*)$', 1), '.')
+      AND NOT EXISTS (SELECT 1 FROM (SELECT lower(id) AS t, unnest(fail_to_pass) AS c FROM swe_tasks) g
+                      WHERE g.t = lower(trim(repository)) || '-' || number AND split_part(g.c, ' ', 2) = f)
+""")
+def created_files(spark: SparkSession, d: str) -> DataFrame:
+    made = table(spark, d, "enriched_prs").select(
+        F.concat(fold("repository"), F.lit("-"), F.col("number").cast("string")).alias("task_id"), F.explode("changed_files").alias("path")
+    ).where("path is not null")
+    given = table(spark, d, "swe_tasks").select(F.lower("id").alias("task_id"), F.explode("fail_to_pass").alias("c"))
+    return tasks.created_files(made, given.select("task_id", F.split_part("c", F.lit(" "), F.lit(2)).alias("path")))
+
+
+@query("""
+    SELECT o_orderkey AS k, score, CASE WHEN score < 0.34 THEN 'easy' WHEN score < 0.67 THEN 'medium' ELSE 'hard' END AS level
+    FROM (SELECT o_orderkey, greatest(0.0, least(1.0, 0.4 * least(o_totalprice / 100 / 3600.0, 1.0) +
+                 0.4 * (1.0 - greatest(0.0, least(1.0, (o_custkey % 11) / 10.0))) + 0.2 * least((o_orderkey % 7) / 5.0, 1.0))) AS score FROM orders)
+""")
+def difficulty_score(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders")
+    s = tasks.difficulty_score(F.col("o_totalprice") / 100, (F.col("o_custkey") % 11) / 10.0, (F.col("o_orderkey") % 7).cast("double"))
+    return o.select(F.col("o_orderkey").alias("k"), s.alias("score"), tasks.level_of(s).alias("level"))
+
+
+@query("""
+    SELECT event_id, user_id, row_number() OVER w AS step, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6 AS since
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+""")
+def number_steps(spark: SparkSession, d: str) -> DataFrame:
+    return tasks.number_steps(table(spark, d, "events"), "user_id", ["ts", "event_id"]).select("event_id", "user_id", "step", "since")
+
+
+@query("""
+    SELECT l_orderkey AS run, count(*) AS steps, sum(l_quantity) AS duration, sum(l_linenumber + l_partkey) AS tokens FROM lineitem GROUP BY 1
+""")
+def trace_totals(spark: SparkSession, d: str) -> DataFrame:
+    steps = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("run"), F.col("l_quantity").alias("duration"), F.col("l_linenumber").alias("tokens_in"), F.col("l_partkey").alias("tokens_out")
+    )
+    return tasks.trace_totals(steps, "run")
+
+
+_OFFERS = "('small', 200, 1), ('mid', 800, 3), ('wide', 800, 2), ('huge', 4000, 9)"
+
+
+@query(f"""
+    SELECT d.doc_id AS request_id, (SELECT arg_min(o.name, o.cost) FROM (VALUES {_OFFERS}) o(name, room, cost) WHERE o.room >= d.n_chars) AS name
+    FROM documents d WHERE d.n_chars IS NOT NULL
+""")
+def route_cheapest(spark: SparkSession, d: str) -> DataFrame:
+    offers = values(spark, _OFFERS, "name, room, cost")
+    need = table(spark, d, "documents").where("n_chars is not null").select(F.col("doc_id").alias("request_id"), "n_chars")
+    return tasks.best_offer(need, offers, "n_chars", "room", ["cost"])
+
+
+@query("""
+    SELECT CASE WHEN l = '' THEN 'OTHER' ELSE l END AS level, count(*) AS n
+    FROM (SELECT regexp_extract(line, '\\b(ERROR|WARN|INFO|DEBUG|TRACE)\\b', 1) AS l
+          FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)) GROUP BY 1
+""")
+def log_levels(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    return tasks.log_levels(lines)
+
+
+@query("""
+    WITH j AS (SELECT l_orderkey AS task_id, l_linenumber AS attempt,
+                      CASE WHEN l_returnflag = 'R' THEN 'no failing test' WHEN l_discount > 0.08 THEN 'no install' WHEN l_tax > 0.06 THEN 'breaks' END AS f,
+                      CASE WHEN l_returnflag = 'R' THEN 'no failing test' WHEN l_tax > 0.06 THEN 'breaks' END AS h
+               FROM (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag, max(l_discount) AS l_discount, max(l_tax) AS l_tax FROM lineitem GROUP BY 1, 2)),
+         n AS (SELECT *, count(f) OVER (PARTITION BY task_id ORDER BY attempt ROWS UNBOUNDED PRECEDING) AS c FROM j)
+    SELECT task_id, attempt, CASE WHEN f IS NULL THEN 'accepted' WHEN c <= 2 THEN 'retry' WHEN h IS NOT NULL THEN 'refused' ELSE 'accepted' END AS decision,
+           CASE WHEN f IS NULL THEN NULL WHEN c <= 2 THEN f WHEN h IS NOT NULL THEN h END AS reason FROM n
+""")
+def submission_decision(spark: SparkSession, d: str) -> DataFrame:
+    keys = F.col("l_orderkey").alias("task_id"), F.col("l_linenumber").alias("attempt")
+    rows = table(spark, d, "lineitem").groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("l_returnflag", "l_discount", "l_tax")])
+    rules = [
+        ("no failing test", F.col("l_returnflag") == "R", True),
+        ("no install", F.col("l_discount") > 0.08, False),
+        ("breaks", F.col("l_tax") > 0.06, True),
+    ]
+    return tasks.submission(rows, rules, retries=2)
+
+
+_REPLIES = "('{\"a\": 1}', 'x', 'r'), (' ', 'hello', 'r'), (CAST(NULL AS VARCHAR(9)), '', 'because'), ('', ' ', '')"
+
+
+@query(f"""
+    SELECT a, c, r, coalesce(CASE WHEN trim(a) <> '' THEN a END, CASE WHEN trim(c) <> '' THEN c END, CASE WHEN trim(r) <> '' THEN r END) AS chosen
+    FROM (VALUES {_REPLIES}) t(a, c, r)
+""")
+def message_select(spark: SparkSession, d: str) -> DataFrame:
+    rows = values(spark, _REPLIES.replace("VARCHAR(9)", "STRING"), "a, c, r")
+    return rows.select("a", "c", "r", tasks.select_message(F.col("a"), F.col("c"), F.col("r")).alias("chosen"))
+
+
+@query("""
+    SELECT id, translate(id, '/ ', '-_') AS name, '''' || replace(repo, '''', '''\\''''') || '''' AS quoted,
+           CASE WHEN len(base_commit) <= 8 THEN repeat('*', len(base_commit)) ELSE base_commit[:4] || '...' || base_commit[-4:] END AS masked FROM swe_tasks
+""")
+def task_names(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "swe_tasks")
+    return t.select("id", tasks.safe_name(F.col("id")).alias("name"), tasks.shell_quote(F.col("repo")).alias("quoted"), tasks.mask(F.col("base_commit")).alias("masked"))
+
+
+@query("SELECT row_id, CASE WHEN merge_sha <> '' THEN merge_sha END AS merge_sha, actor FROM pr_cache")
+def provenance(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "pr_cache")
+    m = tasks.provenance(merge_sha=F.when(F.col("merge_sha") != "", F.col("merge_sha")), actor=F.col("actor"))
+    return c.select("row_id", m.alias("m")).select("row_id", F.col("m")["merge_sha"].alias("merge_sha"), F.col("m")["actor"].alias("actor"))
