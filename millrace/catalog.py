@@ -471,9 +471,9 @@ def workspace_outcome(spark: SparkSession, d: str) -> DataFrame:
 
 
 _PROCESS = """
-    SELECT run_id, commands, total_duration, short + late + slow + hits + missing AS issues,
+    SELECT run_id, commands, round(total_duration, 3) AS total_duration, short + late + slow + hits + missing AS issues,
            short + late + slow + hits + missing = 0 AS valid,
-           (2 - missing) / 2.0 * power(0.5, used) * power(0.9, greatest(short + late + slow + hits - used, 0)) AS score
+           round((2 - missing) / 2.0 * power(0.5, used) * power(0.9, greatest(short + late + slow + hits - used, 0)), 6) AS score
     FROM (SELECT user_id AS run_id, count(*) AS commands, sum(value) AS total_duration,
                  CASE WHEN count(*) < 5 THEN 1 ELSE 0 END AS short, CASE WHEN sum(value) > 900 THEN 1 ELSE 0 END AS late,
                  count(*) FILTER (value > 180) AS slow, count(*) FILTER (event_type = 'error') AS hits,
@@ -489,28 +489,32 @@ def process_validation(spark: SparkSession, d: str) -> DataFrame:
     runs = table(spark, d, "events").select(
         F.col("user_id").alias("run_id"), F.col("event_type").alias("command"), F.col("value").alias("duration"), F.lit(0).alias("exit_code")
     )
-    return reports.process_validation(runs, ["^cl", "view$"], ["error"], min_commands=5, max_single=180.0, max_total=900.0)
+    out = reports.process_validation(runs, ["^cl", "view$"], ["error"], min_commands=5, max_single=180.0, max_total=900.0)
+    return out.withColumns({"total_duration": F.round("total_duration", 3), "score": F.round("score", 6)})
 
 
 @query("""
-    SELECT event_id, strftime(ts, '%Y-%m-%d') AS period, sum(value) OVER w AS spent, sum(value) OVER w >= 5000 AS "over"
-    FROM events WINDOW w AS (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+    SELECT event_id, strftime(ts, '%Y-%m-%d') AS period, sum(cents) OVER w AS spent, sum(cents) OVER w >= 500000 AS "over"
+    FROM (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents FROM events) WINDOW w AS (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
 """)
 def running_total(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    return reports.running_total(e, F.date_format("ts", "yyyy-MM-dd"), ["ts", "event_id"], F.col("value"), 5000.0).select(
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return reports.running_total(e, F.date_format("ts", "yyyy-MM-dd"), ["ts", "event_id"], cents, 500_000).select(
         "event_id", "period", "spent", "over"
     )
 
 
 @query("""
-    SELECT level, count(*) AS n, avg(CAST(quality_passed AS DOUBLE)) AS success_rate, sum(ms) // count(*) AS mean_ms
+    SELECT level, count(*) AS n, round(avg(CAST(quality_passed AS DOUBLE)), 6) AS success_rate, sum(ms) // count(*) AS mean_ms
     FROM (SELECT CASE WHEN m IN ('easy', 'medium', 'hard') THEN m ELSE 'medium' END AS level, quality_passed, len(prompt) AS ms
           FROM (SELECT *, meta['difficulty'] AS m FROM swe_tasks WHERE prompt IS NOT NULL)) GROUP BY level
 """)
 def difficulty_metrics(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "swe_tasks").where("prompt is not null")
-    return reports.success_by_level(t, selection.LEVELS, F.col("meta")["difficulty"], F.col("quality_passed"), F.length("prompt"))
+    return reports.success_by_level(t, selection.LEVELS, F.col("meta")["difficulty"], F.col("quality_passed"), F.length("prompt")).withColumn(
+        "success_rate", F.round("success_rate", 6)
+    )
 
 
 @query("""
@@ -576,9 +580,9 @@ def verifier_checks(spark: SparkSession, d: str) -> DataFrame:
     return _checked(spark, d)
 
 
-@query(f"SELECT task_id, bool_and(passed OR NOT required) AS passed, 0.7 * avg(CAST(passed AS DOUBLE)) AS score FROM ({_CHECKED}) GROUP BY task_id")
+@query(f"SELECT task_id, bool_and(passed OR NOT required) AS passed, round(0.7 * avg(CAST(passed AS DOUBLE)), 6) AS score FROM ({_CHECKED}) GROUP BY task_id")
 def verifier_score(spark: SparkSession, d: str) -> DataFrame:
-    return reports.check_score(_checked(spark, d))
+    return reports.check_score(_checked(spark, d)).withColumn("score", F.round("score", 6))
 
 
 # ------------------------------------------------------------ windows, top n

@@ -127,7 +127,7 @@ def process_validation(
     )
 
 
-def running_total(rows: DataFrame, by: Column, order: Sequence[str], value: Column, limit: float) -> DataFrame:
+def running_total(rows: DataFrame, by: Column, order: Sequence[str], value: Column, limit: float | int) -> DataFrame:
     """``spent`` up to and including each row of its period, and whether the limit is reached."""
     w = Window.partitionBy("period").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.withColumn("period", by).withColumn("spent", F.sum(value).over(w))
