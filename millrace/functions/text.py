@@ -66,20 +66,32 @@ def diff_blocks(diff: Column) -> Column:
     )
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once; higher-order functions share no subexpressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def split_diff(diff: Column) -> Column:
     """``struct<solution, tests>`` of a diff by the paths of its blocks.
 
     Without any block the whole text is the solution. A solution that is not
     empty ends with a line break.
     """
-    blocks = diff_blocks(diff)
-    side = lambda keep: F.array_join(
-        F.transform(F.filter(blocks, lambda b: keep(is_test_in_patch(b["path"]))), lambda b: b["text"]), ""
+    sided = F.transform(
+        diff_blocks(diff), lambda b: F.struct(b["text"].alias("text"), is_test_in_patch(b["path"]).alias("test"))
+    )
+    join = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "")
+    both = _bind(
+        sided,
+        lambda bs: F.struct(join(F.filter(bs, lambda b: ~b["test"])).alias("s"), join(F.filter(bs, lambda b: b["test"])).alias("t")),
     )
-    solution, tests = side(lambda t: ~t), side(lambda t: t)
-    none = (utrim(solution) == "") & (utrim(tests) == "")
-    closed = F.when((solution != "") & ~solution.endswith("\n"), F.concat(solution, F.lit("\n"))).otherwise(solution)
-    return F.when(diff.isNotNull(), F.struct(F.when(none, diff).otherwise(closed).alias("solution"), tests.alias("tests")))
+
+    def close(x: Column) -> Column:
+        none = (utrim(x["s"]) == "") & (utrim(x["t"]) == "")
+        ended = F.when((x["s"] != "") & ~x["s"].endswith("\n"), F.concat(x["s"], F.lit("\n"))).otherwise(x["s"])
+        return F.struct(F.when(none, diff).otherwise(ended).alias("solution"), x["t"].alias("tests"))
+
+    return F.when(diff.isNotNull(), _bind(both, close))
 
 
 def line_delta(diff: Column) -> Column:

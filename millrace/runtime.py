@@ -39,6 +39,23 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SMALL = 128 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table to all task slots before a pass that is bound by CPU.
+
+    A table of a few small files is read by as few tasks. Larger inputs have
+    tasks enough and are never shuffled for this.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # a remote session does not tell
+        return df
+    return df.repartition(slots) if size < SMALL and len(df.inputFiles()) < slots else df
+
+
 def utrim(c: Column | str) -> Column:
     """Trim all Unicode white space (``trim`` strips spaces only)."""
     c = F.col(c) if isinstance(c, str) else c
