@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import token_count
-from millrace.runtime import materialize
+from millrace.runtime import materialize, spread
 
 SLICE_ROWS = 20_000
 
 
 def _sized(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", "source", token_count("text").alias("tokens"))
+    return spread(documents.select("doc_id", "source", "text")).select("doc_id", "source", token_count("text").alias("tokens"))
 
 
 def _targets(targets: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.runtime import materialize
+from millrace.runtime import materialize, spread
 
 WORDS = 3
 SIMILARITY = 0.6
@@ -357,7 +357,7 @@ def near_duplicates(
     fewer than ``words`` words, match nothing and belong to no class. A class
     id is the smallest row key of its members.
     """
-    narrow = rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields])
+    narrow = spread(rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields]))
     keyed = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
     same = ["side", "content", "content2", "size"]
     classes = keyed.groupBy(same).agg(F.min("row_id").alias("class_id"), F.count("*").alias("copies"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import token_count
-from millrace.runtime import materialize
+from millrace.runtime import materialize, spread
 
 ITEMS = 20_000  # documents of one partition and profile
 ROUNDS = 3
@@ -94,7 +94,7 @@ def _pack_group(last: bool):
 
 def _items(documents: DataFrame, profiles: DataFrame) -> DataFrame:
     """Every piece to pack: whole documents, or chunks of those over capacity."""
-    sized = documents.select("doc_id", token_count("text").alias("tokens")).where("tokens > 0")
+    sized = spread(documents.select("doc_id", "text")).select("doc_id", token_count("text").alias("tokens")).where("tokens > 0")
     caps = profiles.where("capacity_tokens >= 1").select("profile", F.col("capacity_tokens").alias("capacity")).distinct()
     rows = [(r["profile"], int(r["capacity"])) for r in caps.collect()]  # a handful of profiles
     shapes = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(c).cast("bigint").alias("capacity")) for p, c in rows])

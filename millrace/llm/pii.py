@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.runtime import materialize
+from millrace.runtime import materialize, spread
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 THRESHOLD = 0.5
@@ -270,7 +270,7 @@ def find_pii(texts: DataFrame, name_parts: DataFrame, threshold: float = THRESHO
     """
     parts = [(r[0], r[1]) for r in name_parts.where("name_part is not null").select("name_part", "part_kind").collect()]
     narrow = texts.select(F.col("tbl").cast("string"), F.col("rec_key").cast("string"), F.col("text"))
-    seen = materialize(narrow.mapInArrow(scan(parts), PASS), "pii")
+    seen = materialize(spread(narrow).mapInArrow(scan(parts), PASS), "pii")
     found = seen.where("pii_kind is not null")
     cols = ["tbl", "rec_key", "pii_kind", "pii_text", "start", "stop"]
     unclear = found.where("term is not null").select(*cols, "term")

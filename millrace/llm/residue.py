@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.runtime import spread
+
 # Labelled residue. Numbers stand for any number, <placeholder>,
 # {{placeholder}} and the like for any of their kind.
 PLACEHOLDERS = """
@@ -343,7 +345,7 @@ def residue(
     terms, whose number is fixed, reach the driver.
     """
     bare = Index(exemplars)
-    narrow = rows.select(F.col(row_key).cast("bigint").alias("row_key"), *[F.col(f).cast("string") for f in fields])
+    narrow = spread(rows.select(F.col(row_key).cast("bigint").alias("row_key"), *[F.col(f).cast("string") for f in fields]))
     counted = (
         narrow.mapInArrow(_frequencies(bare.vocabulary), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     )

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.runtime import materialize
+from millrace.runtime import materialize, spread
 
 # Function words of the four languages of the corpus. Left out on
 # purpose are those that also occur inside search phrases (no, me, top, vs).
@@ -143,7 +143,7 @@ def language(c: Column | str) -> Column:
 def page_features(documents: DataFrame) -> DataFrame:
     """Per document its language and word histograms. NULL and empty texts have no words."""
     narrow = documents.select(F.col("doc_id").cast("bigint"), language("lang").alias("lang"), F.col("text"))
-    return narrow.mapInArrow(_pass, OUT)
+    return spread(narrow).mapInArrow(_pass, OUT)
 
 
 def sentence_norms(features_: DataFrame, part: float = 0.4) -> DataFrame:
