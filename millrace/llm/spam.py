@@ -44,6 +44,7 @@ FUNCTION_WORDS = frozenset(
 )
 
 BINS = 20
+PART = 0.4  # of a language's median share, from which segments count as sentences
 MAJORITY = 0.5
 WORD = re.compile(r"[^\W_]+", re.UNICODE)
 FENCE = re.compile(r"^\s*(```|~~~)")
@@ -52,6 +53,7 @@ URL = re.compile(r"(?:https?://|www\.)[^\s)\]>]+")
 LINK = re.compile(r"\[([^\]\n]{0,400})\]\([^)\s]*\)")
 ANCHOR = re.compile(r"<a\s[^>]*>(.*?)</a>", re.IGNORECASE)
 TAG = re.compile(r"</?[A-Za-z][^<>]{0,400}>")
+CAPITALS = re.compile(r"[^\W\d_a-z]{2}")
 SEPARATOR = re.compile(r"[|;,/#•·>]")
 
 
@@ -69,31 +71,50 @@ def _segments(text: str) -> Iterator[tuple[str, bool]]:
                 yield part, False
 
 
+def _links(seg: str) -> tuple[list[str], list[str], str]:
+    """Link texts, bare addresses, and the segment without markup; most segments have none of it."""
+    links: list[str] = []
+    rest = plain = seg
+    if "](" in seg:
+        links = LINK.findall(seg)
+        rest, plain = LINK.sub(" ", seg), LINK.sub(r" \1 ", seg)
+    if "<" in seg:
+        links += ANCHOR.findall(seg)
+        rest, plain = TAG.sub(" ", rest), TAG.sub(" ", plain)
+    if "://" in plain or "www." in plain:
+        return links, URL.findall(rest), URL.sub(" ", plain)
+    return links, [], plain
+
+
 def features(text: str) -> tuple[list[int], list[int], int]:
     """Words by bin of function-word share, the suspicious ones among them by bin, and all words.
 
-    The bins hold words outside code; the last value counts code too.
+    The bins hold words outside code; the last value counts code too. Segments
+    with a share of ``PART`` or more lie above any language's bar (which is at
+    most that part of a median), so their signs of spam need no weighing.
     """
     words_at, bad_at, total = [0] * BINS, [0] * BINS, 0
     rows, lines, grams, heads = [], Counter(), Counter(), Counter()
     for seg, code in _segments(text):
-        links = LINK.findall(seg) + ANCHOR.findall(seg)
-        bare = URL.findall(TAG.sub(" ", LINK.sub(" ", seg)))
-        plain = URL.sub(" ", TAG.sub(" ", LINK.sub(r" \1 ", seg)))
-        cased = WORD.findall(plain)
-        words = [w.lower() for w in cased]
+        links, bare, plain = _links(seg)
+        words = WORD.findall(plain.lower())
         n = len(words) + len(bare)
         total += n
         if code or not n:
             continue
-        # a code in capitals (DEN-204A) is no article
-        share = sum(w in FUNCTION_WORDS and not (len(w) > 1 and c.isupper()) for w, c in zip(words, cased)) / n
+        hits = sum(map(FUNCTION_WORDS.__contains__, words))
+        if hits and CAPITALS.search(plain):  # a code in capitals (DEN-204A) is no article
+            hits -= sum(len(c) > 1 and c.isupper() and c.lower() in FUNCTION_WORDS for c in WORD.findall(plain))
+        share = hits / n
+        if share >= PART:
+            words_at[min(BINS - 1, int(share * BINS))] += n
+            continue
         lines[plain.strip().lower()] += 1
         if share < 0.3:
             grams.update(zip(words, words[1:]))
             heads.update(words)
-        rows.append((seg, plain, words, links, bare, n, share))
-    for seg, plain, words, links, bare, n, share in rows:
+        rows.append((plain, words, links, bare, n, share))
+    for plain, words, links, bare, n, share in rows:
         at = min(BINS - 1, int(share * BINS))
         words_at[at] += n
         linked = len(bare) + sum(len(WORD.findall(x)) for x in links)
@@ -146,7 +167,7 @@ def page_features(documents: DataFrame) -> DataFrame:
     return spread(narrow).mapInArrow(_pass, OUT)
 
 
-def sentence_norms(features_: DataFrame, part: float = 0.4) -> DataFrame:
+def sentence_norms(features_: DataFrame, part: float = PART) -> DataFrame:
     """Per language the bin from which segments count as sentences.
 
     It lies at ``part`` of the language's word-weighted median function-word
