@@ -367,7 +367,8 @@ def near_duplicates(
     buckets = max(parts, members.count() // BUCKET_SETS)
 
     def exchange(df: DataFrame) -> DataFrame:
-        return df.repartition(parts, "bucket").sortWithinPartitions("bucket")
+        # by id, not by hash: a hash would give some tasks several buckets and others none
+        return df.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
 
     dealt = narrow.mapInArrow(_deal(words, buckets), PACKED)
     shared = exchange(dealt).mapInArrow(_shared(buckets), PACKED)
