@@ -85,23 +85,56 @@ NOTICES = {
         r"|\bunmodified copy\b|\bupstream sources? live\b|\bchanges belong upstream\b|\bfremdcode\b|\bcode tiers\b|\bcódigo de terceros\b|\bübernommen aus\b|\bcopie conforme\b"
     ),
 }
-_COMMENT = re.compile(r"^[+ ]\s*(?://|#|/\*|\*|--|<!--|;|%|\"\"\"|''')")
-HEAD_LINES = 8
+_COMMENT = re.compile(r"""\s*(//|#|/\*|\*|--|<!--|;|%|\"{3}|'{3})""")
+_CLOSE = {"/*": "*/", "<!--": "-->", '"' * 3: '"' * 3, "'" * 3: "'" * 3}
+_AT = re.compile(r"@@ -\S+ \+(\d+)")
+_EDGE = re.compile(r"/\*|\*/\s*$")
+
+
+def _inside(lines: list[str], at: int) -> bool:
+    """Whether the hunk at ``at`` starts within a block comment: it shows the end of one before a beginning."""
+    start = _AT.match(lines[at])
+    if not start or int(start.group(1)) <= 1:
+        return False
+    for line in lines[at + 1 :]:
+        if line.startswith("@@ "):
+            return False
+        if line[0] != "-" and (edge := _EDGE.search(line, 1)):
+            return edge.group() != "/*"
+    return False
 
 
 def notice(lines: list[str]) -> str | None:
-    """What the comments before the first line of code say."""
-    seen = 0
-    for line in lines:
-        if not line.strip("+- \t"):
+    """What the comments before the first line of code say.
+
+    Removed lines are passed over, block comments followed to their end, and
+    however long the comments are, all of them are read.
+    """
+    close = None
+    for at, line in enumerate(lines):
+        if line.startswith("@@ "):
+            close = "*/" if _inside(lines, at) else None
+            continue
+        if line[:1] in ("-", "\\") or not line.strip("+- \t"):
             continue
-        if not _COMMENT.match(line) or seen >= HEAD_LINES:
+        if line[:1] not in ("+", " "):
             return None
-        if line[:1] == "+" or line[:1] == " ":
+        rest = line[1:]
+        while rest.strip():
+            begun = 0
+            if close is None:
+                mark = _COMMENT.match(rest)
+                if not mark:
+                    return None
+                close, begun = _CLOSE.get(mark.group(1)), mark.end()
+            stop = rest.find(close, begun) if close else -1
+            said = rest if stop < 0 else rest[: stop + len(close)]
             for kind, pattern in NOTICES.items():
-                if pattern.search(line[1:]):
+                if pattern.search(said):
                     return kind
-        seen += 1
+            if stop < 0:
+                break
+            rest, close = rest[len(said) :], None
     return None
 
 
@@ -173,17 +206,17 @@ _HUNK = re.compile(r"^@@ .*$", re.M)
 
 
 def files_of(patch: str) -> Iterator[tuple[str, list[str]]]:
-    """``path, lines`` per file of a unified diff; lines keep their sign, headers are left out."""
+    """``path, lines`` per file of a unified diff; lines keep their sign, of the headers only those of hunks stay."""
     heads = list(_HEAD.finditer(patch))
     for m, after in zip(heads, [*heads[1:], None]):
         block = patch[m.end() : after.start() if after else len(patch)]
         first = _HUNK.search(block)
-        body = block[first.end() :] if first else ""
-        yield m.group(2), [x for x in _HUNK.sub("", body).split("\n") if x]
+        body = block[first.start() :] if first else ""
+        yield m.group(2), [x for x in body.split("\n") if x]
 
 
 def _written(lines: list[str]) -> str:
-    return "\n".join(x[1:] for x in lines if x[0] != "-")
+    return "\n".join(x[1:] for x in lines if x[0] != "-" and not x.startswith("@@ "))
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

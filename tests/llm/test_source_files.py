@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from millrace.llm import source_files as sf
 
 RND = random.Random(5)
@@ -51,3 +53,26 @@ def test_judged_files(spark):
     assert got == want
     assert sf.hand_written(enriched, patches).count() == sum(v is None for v in want.values())
     assert sf.judged_files(enriched.limit(0), patches.limit(0)).count() == 0
+
+
+LICENCE = [f"Licence line {i}, all rights reserved." for i in range(20)]
+MARK = "Code generated by toolc 2. DO NOT EDIT."
+
+
+@pytest.mark.parametrize(
+    "lines, want",
+    [
+        ([*(f"+// {x}" for x in LICENCE), f"+// {MARK}", "+package x"], "generated"),
+        (["+/*", *(f"+   {x}" for x in LICENCE), f"+   {MARK}", "+*/", "+package x"], "generated"),
+        (["+/*", *(f"+   {x}" for x in LICENCE), "+*/", "+", f"+// {MARK}"], "generated"),
+        (["-// Code generated by toolc 1. DO NOT EDIT.", f"+// {MARK}", " package x"], "generated"),
+        (["-import a", "-import b", "+# Vendored copy of lib 1.2.3.", "+import c"], "vendored"),
+        (["-// Code generated by toolc 1. DO NOT EDIT.", "+package x"], None),
+        (["+/* ours */ package x", f"+// {MARK}"], None),
+        (["+/* ours", "+*/", "+package x", f"+// {MARK}"], None),
+        (["@@ -1,3 +1,3 @@", "+/*", "+ ours", "@@ -40,3 +40,3 @@", f'+x = "{MARK}"'], None),
+        (["@@ -1,3 +1,3 @@", "+/*", "+ ours", "@@ -40,3 +40,3 @@", f"+ {MARK}", " */", " x"], "generated"),
+    ],
+)
+def test_notice_reads_all_first_comments(lines, want):
+    assert sf.notice(lines) == want
