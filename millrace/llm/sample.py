@@ -1,9 +1,10 @@
 """Problem 7: a sample whose category shares match given targets.
 
 Counts per combination of categories are the only thing that reaches the
-driver: at most the product of the target categories of all dimensions. The
-integer quotas are worked out there; the rows are chosen by bisecting on a
-random key, so no category is sorted or collected.
+driver: at most the product of the target categories of all dimensions, and
+one more in each for rows of no category. The integer quotas are worked out
+there; the rows are chosen by bisecting on a random key, so no category is
+sorted or collected.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from millrace.llm.bisect import beyond, cutoffs
 from millrace.runtime import fold
 
+OTHER = "\x1e"  # stands for NULL, empty and unlisted categories
+
 
 @dataclass(frozen=True)
 class Target:
@@ -64,35 +67,91 @@ def largest_remainder(
     return {**{k: 0 for k in shares}, **quota}
 
 
+def _sums(cells: Mapping[tuple[str, ...], float], d: int) -> dict[str, float]:
+    out: dict[str, float] = {}
+    for c, v in cells.items():
+        out[c[d]] = out.get(c[d], 0) + v
+    return out
+
+
 def cell_quotas(
     counts: Mapping[tuple[str, ...], int], margins: Sequence[Mapping[str, int]], rounds: int = 200
 ) -> dict[tuple[str, ...], int]:
-    """Quotas of category combinations whose margins follow the given ones.
+    """Quotas of category combinations whose margins follow the given ones and never exceed them.
 
     Iterative proportional fitting within what each combination holds, then
-    rounding by largest remainder in every category of the first dimension.
+    rounding by largest remainder where every dimension has room.
     """
     x = {c: float(n) for c, n in counts.items()}
-    for _ in range(rounds):
+    for turn in range(rounds + 1):
         for d, margin in enumerate(margins):
-            sums: dict[str, float] = {}
-            for c, v in x.items():
-                sums[c[d]] = sums.get(c[d], 0.0) + v
+            sums = _sums(x, d)
             for c in x:
-                want = margin.get(c[d], 0)
-                x[c] = min(counts[c], x[c] * want / sums[c[d]]) if sums[c[d]] else 0.0
-    out: dict[tuple[str, ...], int] = {}
-    for first in sorted({c[0] for c in x}):
-        cells = {c: v for c, v in x.items() if c[0] == first}
-        base = {c: math.floor(v + 1e-9) for c, v in cells.items()}
-        spare = round(sum(cells.values())) - sum(base.values())
-        for c in sorted(cells, key=lambda c: (base[c] - cells[c], c)):
-            if spare > 0 and base[c] < counts[c]:
-                base[c], spare = base[c] + 1, spare - 1
-        out |= base
+                ratio = margin.get(c[d], 0) / sums[c[d]] if sums[c[d]] else 0.0
+                # what the margins cannot hold together is cut back at the end
+                x[c] = min(counts[c], x[c] * (ratio if turn < rounds else min(1.0, ratio)))
+    out = {c: math.floor(v + 1e-9) for c, v in x.items()}
+    order = sorted(x, key=lambda c: (out[c] - x[c], c))
+    for most in (1, max(counts.values(), default=0)):
+        _fill(out, counts, margins, order, most)
     return out
 
 
+def _fill(
+    quotas: dict[tuple[str, ...], int],
+    counts: Mapping[tuple[str, ...], int],
+    margins: Sequence[Mapping[str, int]],
+    order: Sequence[tuple[str, ...]],
+    most: int,
+) -> None:
+    """Raise the quotas of combinations, in order and by up to ``most`` each, while every margin they count in has room."""
+    room = [{k: n - sums.get(k, 0) for k, n in m.items()} for m, sums in ((m, _sums(quotas, d)) for d, m in enumerate(margins))]
+    for c in order:
+        listed = [(d, k) for d, k in enumerate(c) if k != OTHER]
+        more = min(most, counts[c] - quotas.get(c, 0), *[room[d].get(k, 0) for d, k in listed]) if listed else 0
+        if more > 0:
+            quotas[c] = quotas.get(c, 0) + more
+            for d, k in listed:
+                room[d][k] -= more
+
+
+def allocate(
+    counts: Mapping[tuple[str, ...], int],
+    shares: Sequence[Mapping[str, float]],
+    floors: Sequence[Mapping[str, int]],
+    total: int,
+) -> dict[tuple[str, ...], int]:
+    """Quotas of category combinations for ``total`` listed rows in every dimension.
+
+    Rows listed in all dimensions come first; what a category then lacks is
+    filled from rows that are ``OTHER`` elsewhere. What cannot be filled either
+    goes to the other categories of its dimension, in rows listed in all.
+    """
+    whole = {c: n for c, n in counts.items() if OTHER not in c}
+    part = sorted(counts.keys() - whole.keys(), key=lambda c: (c.count(OTHER), c))
+    caps = [_sums(counts, d) for d in range(len(shares))]
+    best: dict[tuple[str, ...], int] = {}
+    aims: list[dict[str, int]] = []
+    for _ in range(2 * sum(map(len, shares)) + 1):
+        margins = [largest_remainder(s, total, f, {k: c.get(k, 0) for k in s}) for s, f, c in zip(shares, floors, caps)]
+        aims = aims or margins
+        quotas = cell_quotas(whole, margins)
+        _fill(quotas, counts, aims, part, total)
+        if _listed(quotas) > _listed(best):
+            best = quotas
+        got = [_sums(quotas, d) for d in range(len(shares))]
+        short = [{k: g.get(k, 0) for k, n in m.items() if g.get(k, 0) < n} for g, m in zip(got, margins)]
+        if not any(short):
+            break
+        first = next(d for d, lacking in enumerate(short) if lacking)
+        caps[first] |= short[first]
+    return best
+
+
+def _listed(quotas: Mapping[tuple[str, ...], int]) -> int:
+    return sum(n * (len(c) - c.count(OTHER)) for c, n in quotas.items())
+
+
 @dataclass(frozen=True)
 class Plan:
     dims: tuple[str, ...]
@@ -106,7 +165,7 @@ def _categories(rows: DataFrame, targets: Sequence[Target], dims: Sequence[str])
     cols = []
     for d in dims:
         known = [t.category for t in targets if t.dim == d]
-        cols.append(F.when(fold(d).isin(known), fold(d)).alias(f"cat_{d}"))
+        cols.append(F.when(fold(d).isin(known), fold(d)).otherwise(OTHER).alias(f"cat_{d}"))
     return rows.select(*cols, *[F.col(f"`{c}`") for c in rows.columns])
 
 
@@ -119,29 +178,21 @@ def plan(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> Plan:
     total = sum(r["n"] for r in counted)
     available: dict[tuple[str, str], int] = {}
     for r, (d, c) in itertools.product(counted, zip(dims, cats)):
-        if r[c] is not None:
+        if r[c] != OTHER:
             available[d, r[c]] = available.get((d, r[c]), 0) + r["n"]
-    margins = []
-    for d in dims:
-        mine = [t for t in wanted if t.dim == d]
-        margins.append(
-            largest_remainder(
-                {t.category: t.share for t in mine},
-                math.floor(rate * total),
-                {t.category: t.floor for t in mine},
-                {t.category: available.get((d, t.category), 0) for t in mine},
-            )
-        )
-    cells = {tuple(r[c] for c in cats): r["n"] for r in counted if all(r[c] is not None for c in cats)}
-    return Plan(dims, total, available, cell_quotas(cells, margins), wanted)
+    shares = [{t.category: t.share for t in wanted if t.dim == d} for d in dims]
+    floors = [{t.category: t.floor for t in wanted if t.dim == d} for d in dims]
+    cells = {tuple(r[c] for c in cats): r["n"] for r in counted}
+    return Plan(dims, total, available, allocate(cells, shares, floors, math.floor(rate * total)), wanted)
 
 
 def report(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> DataFrame:
-    """Per target what it needs, what there is, its quota in the sample, and whether it can be met.
+    """Per target what it needs, what there is, its quota in the sample, and whether it can be and is met.
 
     A target needs ``max(min_rows, target_share * (rate * rows))`` rows, not
-    rounded. Categories are compared trimmed and in lower case; NULL, empty and
-    unlisted ones belong to no target.
+    rounded. It is ``unmet`` if there are fewer, and ``missed`` if the sample
+    holds fewer, be it by a quota rounded down. Categories are compared trimmed
+    and in lower case; NULL, empty and unlisted ones belong to no target.
     """
     made = plan(rows, targets, rate)
     out = []
@@ -150,10 +201,10 @@ def report(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> DataFrame:
         have = made.available.get((t.dim, t.category), 0)
         at = made.dims.index(t.dim)
         got = sum(q for c, q in made.quotas.items() if c[at] == t.category)
-        out.append((t.target_id, t.dim, t.category, need, have, got, have < need))
+        out.append((t.target_id, t.dim, t.category, need, have, got, have < need, got < need))
     return rows.sparkSession.createDataFrame(
         out,
-        "target_id int, dim string, category string, needed double, available bigint, sampled bigint, unmet boolean",
+        "target_id int, dim string, category string, needed double, available bigint, sampled bigint, unmet boolean, missed boolean",
     )
 
 
@@ -161,14 +212,15 @@ def sample(rows: DataFrame, targets: DataFrame, rate: float = 0.3, *, key: str =
     """The sample itself: all columns of the chosen rows.
 
     In every combination of categories the rows with the smallest random keys
-    (a seeded hash of ``key``) are taken. Rows outside the targets' categories
-    are never sampled; an empty table gives an empty sample.
+    (a seeded hash of ``key``) are taken. A row with a category in only some
+    dimensions is taken where that category is short otherwise, so the sample
+    may hold more than ``rate * rows`` rows, but not of any dimension's
+    categories. Rows outside all of them are never sampled; an empty table
+    gives an empty sample.
     """
     made = plan(rows, targets, rate)
     cell = F.concat_ws("\x1f", *[F.col(f"cat_{d}") for d in made.dims])
     inside = _categories(rows, made.targets, made.dims)
-    for d in made.dims:
-        inside = inside.where(F.col(f"cat_{d}").isNotNull())
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
     keyed = inside.select(
         cell.alias("cell"),

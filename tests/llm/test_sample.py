@@ -39,3 +39,24 @@ def test_empty(spark):
     df, t = rows(spark, 0), spark.createDataFrame(TARGETS, T_SCHEMA)
     assert all(r["unmet"] for r in sample.report(df, t).collect())
     assert sample.sample(df, t).count() == 0
+
+
+def test_rows_of_one_category_fill_its_quota(spark):
+    t = spark.createDataFrame(TARGETS, T_SCHEMA)
+    data = [(f"h{i}", "hard", None if i % 2 else "cobol", "c", i) for i in range(40)]
+    data += [(f"e{i}", "easy", "go", "c", i) for i in range(300)] + [(f"z{i}", "", "zig", "c", i) for i in range(60)]
+    df = spark.createDataFrame(data, R_SCHEMA)
+    rep = {(r["dim"], r["category"]): r for r in sample.report(df, t).collect()}
+    assert {k[1]: r["sampled"] for k, r in rep.items()} == {"hard": 40, "easy": 80, "go": 80, "zig": 12}
+    assert {k[1] for k, r in rep.items() if r["missed"]} == {"hard", "go"} and rep["difficulty", "hard"]["unmet"]
+    assert not rep["language", "go"]["unmet"]
+    drawn = sample.sample(df, t)
+    assert {r[0]: r[1] for r in drawn.groupBy("difficulty").count().collect()} == {"hard": 40, "easy": 80, "": 12}
+
+
+def test_allocate_keeps_minimums():
+    cells = {("easy", "go"): 500, ("hard", sample.OTHER): 90, ("hard", "go"): 4, (sample.OTHER, "zig"): 70, (sample.OTHER, sample.OTHER): 336}
+    got = sample.allocate(cells, [{"easy": 0.9, "hard": 0.1}, {"go": 0.9, "zig": 0.1}], [{"hard": 50}, {"zig": 60}], 300)
+    assert got[("easy", "go")] == 236 and got[("hard", "go")] == 4
+    assert got[("hard", sample.OTHER)] == 46 and got[(sample.OTHER, "zig")] == 60 and (sample.OTHER, sample.OTHER) not in got
+    assert sample.allocate({(): 5}, [], [], 1) == {}
