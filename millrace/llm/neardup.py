@@ -16,6 +16,10 @@ Three exact reductions keep the signatures few:
   signature: at least one of them agrees with any partner.
 * Equal texts form classes beforehand; one member stands for them.
 
+Partitions that are empty in one set and not in the other have no signature
+both hold, so the bound on partitions needs sets of some size. In bands of
+short sets the rarest shingles are signatures by themselves (a prefix filter).
+
 Candidates are verified on the shingle sets themselves. Nothing is sampled or
 capped, and no set of pairs is formed but by a shared signature.
 """
@@ -35,6 +39,7 @@ from millrace.runtime import materialize, spread
 WORDS = 3
 SIMILARITY = 0.6
 BUCKET_SETS = 10_000  # sets whose shingles one bucket of the domain holds on average
+SHORT = 40  # bands whose largest set holds no more are signed by single shingles
 STAR = 64  # classes of more equal texts are linked to their smallest member only
 
 _U = np.uint64
@@ -273,6 +278,12 @@ def signatures(
             continue
         cuts = int(similarity ** -(band + 1)) + 1  # partitions of the domain: the largest size of the band
         salt = mix(np.array([band * 4 + side], np.uint64))[0]
+        if cuts <= SHORT:
+            # partners share at least g*size shingles, so the rarest others plus one hold one of them
+            pick = np.lexsort((keys, dfs))[: max(0, size - math.ceil(similarity * size - 1e-9) + 1 - alone)]
+            out.append(mix(keys[pick] ^ mix(np.array([salt], np.uint64))))
+            rare.append(dfs[pick])
+            continue
         slot = (mix(keys ^ salt) % _U(cuts)).astype(np.int64)
         order = np.argsort(slot, kind="stable")
         slot_s, key_s, df_s = slot[order], keys[order], dfs[order]

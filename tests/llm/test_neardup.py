@@ -67,3 +67,17 @@ def test_shingle_sets():
     s = neardup.shingle_sets(texts)
     assert np.array_equal(s[0], s[1]) and len(s[2]) == 4 and len(s[3]) == len(s[4]) == 0 and len(s[5]) == 2
     assert [len(x) for x in s] == [len(shingles(t)) for t in texts]
+
+
+def test_short_sets_always_share_a_signature():
+    rnd = random.Random(11)
+    lost = 0
+    for _ in range(3000):
+        both = rnd.choice([(3, 1, 1), (3, 0, 2), (4, 1, 1), (5, 1, 1), (6, 2, 2), (12, 4, 4)])
+        x = np.array([rnd.getrandbits(64) for _ in range(sum(both))], np.uint64)
+        df = np.array([rnd.choice([2, 2, 3, 9]) for _ in x], np.int32)
+        n, own, other = both
+        a, b = np.r_[0 : n + own], np.r_[0:n, n + own : n + own + other]
+        sig = [set(neardup.signatures(1, len(i), x[i], df[i], 0.6)[0].tolist()) for i in (a, b)]
+        lost += not sig[0] & sig[1]
+    assert lost == 0
