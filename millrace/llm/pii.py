@@ -31,6 +31,8 @@ _DOT = r"(?:\.|\s?[\(\[\{]\s?(?:dot|DOT|punkt|punto|point)\s?[\)\]\}]\s?|\s(?:DO
 EMAIL = regex.compile(
     rf"(?<![\w.+%/@-])[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}._%+'-]*{_AT}(?:[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}-]*[\p{{L}}\p{{N}}])?{_DOT})+\p{{L}}{{2,}}(?![\w@-]|{_DOT}[\p{{L}}\p{{N}}])"
 )
+# What every match of EMAIL holds, whatever stands before it.
+AT_SIGN = regex.compile(r"@|[\(\[\{]\s?(?:at|AT|ät|arroba)\s?[\)\]\}]|\s(?:AT|at)\s")
 REMOTE = regex.compile(r"(?:\w+://\S*$)|(?:\bgit$)")
 
 _P = r"(?<![\w.+/:#-])"
@@ -50,7 +52,8 @@ _PHONES = (
 _PHONE_BODY = "(?:" + "|".join(f"{x}{_E}" for x in _PHONES) + ")"
 PHONE = regex.compile(rf"(?=[+(\d]){_P}{_PHONE_BODY}")
 PHONE_HERE = regex.compile(_PHONE_BODY)
-DIALLED = regex.compile(r"[+(\d][\d ()./-]{8,}")
+# What every number holds: the shortest that _PHONES take has 6 characters, a labelled one 7 digits.
+DIALLED = regex.compile(r"[+(\d][\d ()./-]{5,}")
 PHONE_LABEL = regex.compile(r"(?i)(?:\btel\.?|\bphone|\btelefon|\btéléphone|\bteléfono) ?[:=]? ?(?=[+(\d])")
 PHONE_LOOSE = regex.compile(r"\+?[\d(][\d ()./-]{6,18}\d(?!\w)")
 
@@ -124,7 +127,7 @@ def shapes(text: str) -> list[tuple[int, int, str]]:
             spans.append((a, b))
             out.append((a, b, kind))
 
-    if "@" in text or " at" in text.lower() or "(at" in text.lower() or "[at" in text.lower():
+    if AT_SIGN.search(text):
         for m in EMAIL.finditer(text):
             host = text[m.end() : m.end() + 2]
             local = regex.split(_AT, m.group(), maxsplit=1)[0]

@@ -56,6 +56,24 @@ def test_certain_names(text, want):
     assert [text[a:b] for a, b, sure, _, _ in pii.mentions(text, KNOWN, []) if sure] == want
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("anna (ät) firma.de", ("email", "anna (ät) firma.de")),
+        ("ana{at}sitio.es", ("email", "ana{at}sitio.es")),
+        ("ana [ arroba ] sitio.es", ("email", "ana [ arroba ] sitio.es")),
+        ("ana\nat sitio DOT es", ("email", "ana\nat sitio DOT es")),
+        ("Tel: 555-0123", ("phone", "555-0123")),
+        ("030/2312", None),
+        ("01/23125", ("phone", "01/23125")),
+    ],
+)
+def test_a_piece_is_found_on_its_own(text, want):
+    alone = kinds(text)
+    assert alone == ({want} if want else set())
+    assert alone <= kinds(text + " \n\nSee x@y.example, +49 30 23125 923, at noon.")
+
+
 def test_disclosure_decides_unclear_names(spark):
     texts = [("t", str(i), "Reported-by: Jonas Newbergsen (x@y.example)") for i in range(3)]
     texts += [("t", "9", "Nothing here. Mira Newbergsen found it"), ("t", "10", "Hope Server handles it"), ("t", "11", None), ("t", "12", "")]
