@@ -205,6 +205,7 @@ COVER = 0.7  # of the window's weight inside the exemplar
 HELD = 0.6  # of the exemplar's weight inside the window
 ENOUGH = 15.0  # covered weight that counts whatever share of the exemplar it is
 UNKNOWN = math.log(200.0)  # weight of terms outside the index
+RARE = 1 / 12_000  # added to the share of rows that hold a term; bounds weights alike for any number of rows
 
 # ------------------------------------------------------------- terms, windows
 _SHAPES = [
@@ -261,7 +262,7 @@ class Index:
         self.sets = [frozenset(_exemplar_terms(x)) for x in exemplars]
         self.vocabulary = frozenset().union(*self.sets)
         df = df or {}
-        self.idf = {t: math.log((n + 1) / (df.get(t, 0) + 1)) + 0.1 for t in self.vocabulary} if n else {}
+        self.idf = {t: 0.1 - math.log(min(1.0, df.get(t, 0) / n + RARE)) for t in self.vocabulary} if n else {}
         self.weight = [sum(self.idf.get(t, 1.0) for t in s) for s in self.sets]
         self.postings: dict[str, list[int]] = defaultdict(list)
         for i, s in enumerate(self.sets):

@@ -27,6 +27,14 @@ def test_residue(spark):
     assert residue.residue(df.limit(0), fields=("body",)).count() == 0
 
 
+def test_verdicts_do_not_depend_on_the_number_of_rows():
+    lines = ["Sitzung abgelaufen Konto", "alpha beta gamma delta epsilon zeta eta theta"]
+    asked = [["sitzung", "abgelaufen", "eins", "zwei"], ["alpha", "beta", "gamma", "delta"], ["sitzung", "konto"], ["alpha", "beta", "eins"]]
+    tables = [residue.Index(lines, {"alpha": n // 10, "konto": n // 4}, n) for n in (120, 12_000, 1_200_000, 120_000_000)]
+    assert len({tuple(t.hit(w) for w in asked) for t in tables}) == 1
+    assert all(t.weight == pytest.approx(tables[0].weight) for t in tables)
+
+
 PROSE = "When two workers match the same secret, the second one waits for at most a few seconds and the queue is left alone."
 PAGES = {
     1: ("buy cheap git runner | " * 40, True),
