@@ -26,6 +26,7 @@ capped, and no set of pairs is formed but by a shared signature.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ WORDS = 3
 SIMILARITY = 0.6
 BUCKET_SETS = 10_000  # sets whose shingles one bucket of the domain holds on average
 SHORT = 40  # bands whose largest set holds no more are signed by single shingles
-STAR = 64  # classes of more equal texts are linked to their smallest member only
+STAR = 64  # more texts equal byte by byte are linked to their smallest member only
 
 _U = np.uint64
 _MUL = _U(0x9E3779B97F4A7C15)  # odd: powers stay invertible modulo 2**64
@@ -94,24 +95,25 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
 
 
 # ------------------------------------------------------- classes of equal sets
-SETS = "row_id bigint, side int, size int, content bigint, content2 bigint"
+SETS = "row_id bigint, side int, size int, content bigint, content2 bigint, text binary"
 
 
-def _batches(b: pa.RecordBatch, words: int, step: int = 2000) -> Iterator[tuple[int, list[int], list[np.ndarray]]]:
-    """Side, row keys and non-empty shingle sets of a batch of rows, piece by piece."""
+def _batches(b: pa.RecordBatch, words: int, step: int = 2000) -> Iterator[tuple[int, list[int], list[np.ndarray], list[str]]]:
+    """Side, row keys, non-empty shingle sets and their texts of a batch of rows, piece by piece."""
     ids = b.column(0).to_pylist()
     for side in range(1, b.num_columns):
         for lo in range(0, len(ids), step):
-            sets = shingle_sets(b.column(side).slice(lo, step).to_pylist(), words)
+            texts = b.column(side).slice(lo, step).to_pylist()
+            sets = shingle_sets(texts, words)
             keep = [i for i, s in enumerate(sets) if len(s)]
             if keep:
-                yield side, [ids[lo + i] for i in keep], [sets[i] for i in keep]
+                yield side, [ids[lo + i] for i in keep], [sets[i] for i in keep], [texts[i] for i in keep]
 
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for side, ids, sets in _batches(b, words):
+            for side, ids, sets, texts in _batches(b, words):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()),
@@ -119,6 +121,7 @@ def _sets(words: int):
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) for s in sets], pa.int64()),
                         pa.array([int(np.add.reduce(mix(s ^ _MUL)).astype(np.int64)) for s in sets], pa.int64()),
+                        pa.array([hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts], pa.binary()),
                     ],
                     [x.split()[0] for x in SETS.split(", ")],
                 )
@@ -160,7 +163,7 @@ def _deal(words: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for side, ids, sets in _batches(b, words):
+            for side, ids, sets, _ in _batches(b, words):
                 sizes = [len(s) for s in sets]
                 keys = mix(np.concatenate(sets) ^ mix(np.array([side], np.uint64)))
                 own = np.repeat(np.array(ids, np.int64), sizes)
@@ -349,7 +352,11 @@ def _verify(similarity: float):
 
 # -------------------------------------------------------------------- operator
 class Links:
-    """``members(side, row_id, class_id, copies)`` and ``pairs(row_a, row_b, side, similarity)`` of class ids."""
+    """``members(side, row_id, class_id, copies, text_id, same)`` and ``pairs(row_a, row_b, side, similarity)`` of class ids.
+
+    ``text_id`` is the smallest row key with the very same text, ``same`` how many rows have it.
+    """
+
 
     def __init__(self, members: DataFrame, pairs: DataFrame) -> None:
         self.members, self.pairs = members, pairs
@@ -372,7 +379,9 @@ def near_duplicates(
     keyed = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
     same = ["side", "content", "content2", "size"]
     classes = keyed.groupBy(same).agg(F.min("row_id").alias("class_id"), F.count("*").alias("copies"))
-    members = keyed.join(classes, same).select("side", "row_id", "class_id", "copies", "size")
+    alike = keyed.groupBy(*same, "text").agg(F.min("row_id").alias("text_id"), F.count("*").alias("same"))
+    members = keyed.join(classes, same).join(alike, [*same, "text"])
+    members = members.select("side", "row_id", "class_id", "copies", "text_id", "same", "size")
     members = materialize(members, "neardup")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, members.count() // BUCKET_SETS)
@@ -406,21 +415,22 @@ def near_duplicates(
 def similar_pairs(links: Links, star: int = STAR) -> DataFrame:
     """Distinct ``row_id_a < row_id_b`` of similar rows.
 
-    Classes of up to ``star`` equal texts are expanded into their members'
-    pairs. Larger ones are not: each member is paired with the class id, and
-    links to other classes are given between class ids. No link between
-    different texts is lost.
+    All pairs are given but those of more than ``star`` texts that are equal
+    byte by byte: each of these is paired with the smallest one, which alone
+    stands for them in pairs with other texts. No link between different texts
+    is lost.
     """
-    m = links.members.where("copies > 1")
-    small = m.where(F.col("copies") <= star)
-    x = small.select("side", "class_id", F.col("row_id").alias("row_a"))
-    y = small.select("side", "class_id", F.col("row_id").alias("row_b"))
-    equal = x.join(y, ["side", "class_id"]).where("row_a < row_b").select("row_a", "row_b")
-    stars = m.where((F.col("copies") > star) & (F.col("row_id") > F.col("class_id"))).select(
-        F.col("class_id").alias("row_a"), F.col("row_id").alias("row_b")
+    m = links.members
+    few = F.col("same") <= star
+    stars = m.where(~few & (F.col("row_id") > F.col("text_id"))).select(
+        F.col("text_id").alias("row_a"), F.col("row_id").alias("row_b")
     )
-    # every class stands for itself; small ones also for their other members
-    stand = links.members.where((F.col("copies") <= star) | (F.col("row_id") == F.col("class_id")))
+    # every text stands for itself; those with few copies in every one of them
+    stand = m.where(few | (F.col("row_id") == F.col("text_id")))
+    several = stand.where("copies > 1")
+    x = several.select("side", "class_id", F.col("row_id").alias("row_a"))
+    y = several.select("side", "class_id", F.col("row_id").alias("row_b"))
+    equal = x.join(y, ["side", "class_id"]).where("row_a < row_b").select("row_a", "row_b")
     p = stand.select("side", F.col("class_id").alias("row_a"), F.col("row_id").alias("a"))
     q = stand.select("side", F.col("class_id").alias("row_b"), F.col("row_id").alias("b"))
     across = links.pairs.join(p, ["side", "row_a"]).join(q, ["side", "row_b"]).select(F.col("a").alias("row_a"), F.col("b").alias("row_b"))

@@ -57,6 +57,15 @@ def test_many_copies_become_a_star(spark):
     assert one[7]["class_id"] == 0 and one[7]["copies"] == 90 and one[500]["links"] == 1
 
 
+def test_star_holds_only_the_very_same_text(spark):
+    t = "alpha beta gamma delta epsilon"
+    texts = {i: t for i in range(80)} | {100 + i: t.replace(" ", "-" * (i + 1)) for i in range(3)} | {500: t + " zeta"}
+    df = spark.createDataFrame([(i, x, None) for i, x in texts.items()], "row_id bigint, patch string, test_patch string")
+    got = {tuple(r) for r in neardup.similar_pairs(neardup.near_duplicates(df)).collect()}
+    different = {(a, b) for a in (0, 100, 101, 102, 500) for b in (100, 101, 102, 500) if a < b}
+    assert got == {(0, i) for i in range(1, 80)} | different
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "row_id bigint, patch string, test_patch string")
     assert neardup.similar_pairs(neardup.near_duplicates(df)).count() == 0
