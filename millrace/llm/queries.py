@@ -47,11 +47,11 @@ def _entries(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _entries(spark, d).where("kind is not null").drop("kind")
+    return _entries(spark, d).where("kind is not null").drop("kind", "by")
 
 
 def p4_hand_written(spark: SparkSession, d: str) -> DataFrame:
-    return _entries(spark, d).where("kind is null").drop("kind")
+    return _entries(spark, d).where("kind is null").drop("kind", "by")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,17 +1,22 @@
 """Problem 4: generated, minified and vendored files, lock files and data saved as code.
 
-Three kinds of evidence are weighed per changed file.
-
-* Names. A character trigram model of identifiers is trained per language on
-  every diff of the collection. Under it mangled names and encoded blobs have a
-  high cross-entropy, single-letter names dominate minified code, literals
-  dominate data.
-* Notices. The first comment lines of a file say whether a tool wrote it or
-  where it was copied from.
-* Places. Path segments and suffixes that tools and package managers use.
-
-The models alone cannot tell a generated or copied file whose names look like
-everybody's, so notices and places complete them (see README).
+A character trigram model of identifiers is trained per language on the files
+that nothing else makes suspect. Under these models every changed file is
+measured in three ways:
+
+* Cross-entropy. The dearest run of consecutive names, in bits per character.
+  Mangled names, encoded blobs, digests, and the wording of tools in an otherwise
+  ordinary file stand far above what people write in that language.
+* Diversity. The share of distinct names in a moving window, digits folded.
+  Templates, lock files and number tables repeat a few forms.
+* Style. How much better the names fit the model of another language than that
+  of the file's own suffix. Copied and emitted files often do.
+
+The bounds of the measures are quantiles of the unsuspected files of each
+language, from the whole collection. What names cannot show (a notice in the
+file's first comments, a place where tools and package managers keep files, a
+file without a diff) is completed by notices and places; see README for how
+many files need them.
 
 Diffs are judged where they are stored: only verdicts are shuffled, never text.
 """
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.runtime import fold, spread
+from millrace.runtime import fold, materialize, spread
 
 # ------------------------------------------------------------------ languages
 # File suffixes by language.
@@ -42,6 +47,17 @@ LANGUAGES = {
     "c": ("c", "h", "cc", "cpp", "hpp"),
     "csharp": ("cs",),
     "dart": ("dart",),
+    "swift": ("swift",),
+    "php": ("php",),
+    "scala": ("scala",),
+    "shell": ("sh", "bash"),
+    "sql": ("sql",),
+    "proto": ("proto",),
+    "json": ("json",),
+    "yaml": ("yaml", "yml"),
+    "toml": ("toml", "cfg", "ini"),
+    "markup": ("html", "htm", "xml", "svg", "vue"),
+    "style": ("css", "scss", "less"),
 }
 _BY_SUFFIX = {s: lang for lang, all_ in LANGUAGES.items() for s in all_}
 CODES = sorted(LANGUAGES)
@@ -157,47 +173,111 @@ def trigrams(x: np.ndarray) -> np.ndarray:
     return (a * A * A + b * A + c)[(b > 0) | (c > 0)]
 
 
-class Names:
-    """Cross-entropy in bits per character under the models of the languages."""
+BACKOFF = 20.0  # how many occurrences of a context the pooled model weighs against a language's own
+RUN = 10  # names in the run whose cross-entropy is taken
+SPAN = 50  # names in the moving window of diversity
+FOREIGN = 0.2  # bits per character by which another language must fit better
+CHARACTERS = 100  # trigrams from which on styles are compared; shorter files say too little
 
-    def __init__(self, counts: dict[str, np.ndarray]) -> None:
-        self.cost = {}
-        for lang, n in counts.items():
-            table = n.reshape(A * A, A).astype(float) + 0.05
-            self.cost[lang] = -np.log2(table / table.sum(axis=1, keepdims=True)).astype(np.float32).reshape(-1)
 
-    def entropy(self, lang: str, grams: np.ndarray) -> float:
-        return float(self.cost[lang][grams].mean()) if lang in self.cost and len(grams) else 0.0
+NOTHING = (0.0, 0.0, 1.0, 0, 0.0, 0.0)
 
 
-def shape(x: np.ndarray) -> tuple[int, float, float, float]:
-    """Names, and the shares of single letters, of numbers and of characters in very long words."""
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the names among the codes of a text start and stop."""
     inside = x > 0
-    start = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
-    if not len(start):
-        return 0, 0.0, 0.0, 0.0
-    stop = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-    size = stop - start
-    number = x[start] == 27
-    single = (size == 1) & ~number
-    return len(start), float(single.mean()), float(number.mean()), float(size[size >= 24].sum() / size.sum())
-
-
-SINGLE, NUMBER, BLOB, BITS, FEW = 0.3, 0.6, 0.4, 3.5, 8
-
-
-def names_say(lang: str | None, body: str, model: Names) -> str | None:
-    """minified or data by the names in a file's lines; None if they look written."""
-    x = _codes(body)
-    n, single, number, blob = shape(x)
-    if n < FEW and blob < BLOB:
-        return None
-    own = model.entropy(lang, trigrams(x)) if lang else 0.0
-    if number >= NUMBER or blob >= 2 * BLOB - 0.1 or (blob >= BLOB and (not lang or own >= BITS)):
-        return "data"
-    if single >= SINGLE or own >= BITS:
-        return "minified"
-    return None
+    return np.flatnonzero(inside[1:] & ~inside[:-1]) + 1, np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+
+
+def mangled_at_sight(x: np.ndarray) -> bool:
+    """Whether a third of the names have one letter. Such files train no model, whatever the models say later."""
+    start, stop = _runs(x)
+    return len(start) > 0 and float(((stop - start == 1) & (x[start] < 27)).mean()) >= 1 / 3
+
+
+ENDLESS = 40  # characters from which on a word is no name a model could learn
+
+
+def without_endless(x: np.ndarray) -> np.ndarray:
+    start, stop = _runs(x)
+    long = stop - start >= ENDLESS
+    if long.any():
+        x = x.copy()
+        for a, b in zip(start[long], stop[long]):
+            x[a:b] = 0
+    return x
+
+
+class Names:
+    """Cost in bits of every trigram under the models of the languages; ``other`` is the pooled model.
+
+    A language seen little leans on the pooled model, so that it neither finds
+    everything strange nor everything foreign.
+    """
+
+    def __init__(self, counts: dict[str, np.ndarray]) -> None:
+        pooled = sum(counts.values(), np.zeros(A**3)).reshape(A * A, A) + 0.05
+        pooled /= pooled.sum(axis=1, keepdims=True)
+        self.langs = sorted(counts)
+        self.cost = np.empty((len(self.langs) + 1, A**3), dtype=np.float32)
+        for i, lang in enumerate(self.langs):
+            own = counts[lang].reshape(A * A, A)
+            self.cost[i] = -np.log2((own + BACKOFF * pooled) / (own.sum(axis=1, keepdims=True) + BACKOFF)).reshape(-1)
+        self.cost[-1] = -np.log2(pooled).reshape(-1)
+
+    def row(self, lang: str | None) -> int:
+        return self.langs.index(lang) if lang in self.langs else -1
+
+    def measure(self, lang: str | None, body: str, codes: np.ndarray) -> tuple[float, float, float, int, float, float]:
+        """``entropy, foreign, diversity, names, number share, blob share`` of a file's lines; ``NOTHING`` without any word."""
+        x = np.concatenate(([0], codes))
+        a, b, c = x[:-2], x[1:-1], x[2:]
+        keep = (b > 0) | (c > 0)
+        grams, starts = (a * A * A + b * A + c)[keep], (b == 0)[keep]
+        if not len(grams):
+            return NOTHING
+        at = self.row(lang)
+        own = self.cost[at][grams]
+        name = np.cumsum(starts) - 1
+        size = np.bincount(name)
+        per = np.bincount(name, own) / size
+        upto = np.concatenate(([0.0], np.cumsum(per)))
+        run = min(RUN, len(per))
+        # a run shorter than RUN is filled up with names at two bits, the cost of ordinary ones
+        entropy = (float((upto[run:] - upto[:-run]).max()) + 2.0 * (RUN - run)) / RUN
+        foreign = 0.0
+        if at >= 0 and len(grams) >= CHARACTERS:
+            foreign = float(own.mean() - self.cost[:-1, grams].mean(axis=1).min())
+        length = size - 1  # a name of n characters has n + 1 trigrams
+        longest = float(length[length >= 24].sum() / length.sum())
+        numbers = float((c[keep][starts] == 27).mean())
+        # one endless name has no run; it is dear by itself
+        if longest >= 0.4:
+            entropy = max(entropy, float(per[length >= 24].max()))
+        return entropy, foreign, diversity(body), len(per), numbers, longest
+
+
+_DIGITS = re.compile(r"[0-9]+")
+_WORDS = re.compile(r"\w+")
+
+
+def diversity(body: str, span: int = SPAN) -> float:
+    """Mean share of distinct names over all windows of ``span`` names, any number counting as the same.
+
+    Files of fewer names are one window. The number of repeats is worked out
+    from the distances between equal names, so long files cost no more per name.
+    """
+    seen: dict[str, int] = {}
+    codes = np.array([seen.setdefault(w, len(seen)) for w in _WORDS.findall(_DIGITS.sub("0", body))], dtype=np.int64)
+    n = len(codes)
+    if not n:
+        return 1.0
+    span = min(span, n)
+    order = np.argsort(codes, kind="stable")
+    same = codes[order][1:] == codes[order][:-1]
+    first, second = order[:-1][same], order[1:][same]
+    windows = np.minimum(first, n - span) - np.maximum(second - span + 1, 0) + 1
+    return 1.0 - float(np.maximum(windows, 0).sum()) / ((n - span + 1) * span)
 
 
 # ------------------------------------------------------------------ the passes
@@ -219,14 +299,26 @@ def _written(lines: list[str]) -> str:
     return "\n".join(x[1:] for x in lines if x[0] != "-" and not x.startswith("@@ "))
 
 
+_PLACES = [re.compile(p) for p in PLACES.values()]
+
+
+def placed(path: str) -> bool:
+    """Whether a path is prose or marks its file. Such files, those with a notice and those
+    mangled at sight train no model, and no bound is taken from them."""
+    low = path.lower()
+    return low.rpartition(".")[2] in PROSE or any(p.search(low) for p in _PLACES)
+
+
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = {lang: np.zeros(A**3, dtype=np.int64) for lang in CODES}
     for b in batches:
         for col in range(b.num_columns):
             for patch in b.column(col).to_pylist():
                 for path, lines in files_of(patch or ""):
-                    if lang := language_of(path):
-                        total[lang] += np.bincount(trigrams(_codes(_written(lines))), minlength=A**3)
+                    if (lang := language_of(path)) and not placed(path) and notice(lines) is None:
+                        x = _codes(_written(lines))
+                        if not mangled_at_sight(x):
+                            total[lang] += np.bincount(trigrams(without_endless(x)), minlength=A**3)
     rows = [(lang, i, int(n[i])) for lang, n in total.items() for i in np.flatnonzero(n)]
     yield pa.RecordBatch.from_arrays(
         [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))],
@@ -235,40 +327,90 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(patches: DataFrame, columns: tuple[str, ...] = ("patch", "test_patch")) -> Names:
-    """The models of all languages from every diff; at most 29**3 counts per language reach the driver."""
+    """The models of all languages from every unsuspected diff; at most 29**3 counts per language reach the driver."""
     counted = (
         spread(patches.select(*columns))
         .mapInArrow(_train, "lang string, gram int, n bigint")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    counts: dict[str, np.ndarray] = {}
+    counts: dict[str, np.ndarray] = {lang: np.zeros(A**3, dtype=np.int64) for lang in CODES}
     for r in counted.collect():
-        counts.setdefault(r["lang"], np.zeros(A**3, dtype=np.int64))[r["gram"]] = r["n"]
+        counts[r["lang"]][r["gram"]] = r["n"]
     return Names(counts)
 
 
-def _judge(model: Names):
+MEASURES = (
+    "repo string, number bigint, file_path string, lang string, noticed string, suspected boolean, entropy double,"
+    " foreign double, diversity double, names bigint, numbers double, blob double"
+)
+
+
+def _measure(model: Names):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple[str | None, int | None, str, str]] = []
+            out: list[tuple] = []
             repos, numbers = b.column(0).to_pylist(), b.column(1).to_pylist()
             for col in range(2, b.num_columns):
                 for repo, number, patch in zip(repos, numbers, b.column(col).to_pylist()):
                     for path, lines in files_of(patch or ""):
                         if path.rpartition(".")[2].lower() in PROSE:
                             continue
-                        kind = notice(lines) or names_say(language_of(path), _written(lines), model)
-                        if kind:
-                            out.append((repo, number, path, kind))
-            types = (pa.string(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["repo", "number", "file_path", "kind"]
-            )
+                        lang, said, body = language_of(path), notice(lines), _written(lines)
+                        x = _codes(body)
+                        got = model.measure(lang, body, x)
+                        seed = said is not None or placed(path) or mangled_at_sight(x)
+                        # two decimals keep the histograms of the bounds small
+                        values = (round(got[0], 2), got[1], round(got[2], 2), *got[3:])
+                        out.append((repo, number, path, lang or "other", said, seed, *values))
+            types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
+            types += [pa.float64()] * 3 + [pa.int64()] + [pa.float64()] * 2
+            names = [x.split()[0] for x in MEASURES.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names)
 
     return run
 
 
+LEAST_FILES = 100  # languages with fewer unsuspected files take the bounds of all together
+DEAR = (0.95, 2.5)  # quantile of the entropy, and how many times its distance from the median the bound lies out
+LOW = (0.05, 3.5)  # the same for the diversity
+
+
+def bounds(measured: DataFrame) -> DataFrame:
+    """``lang, dear, low`` per language, from exact quantiles of its unsuspected files.
+
+    Quantiles are taken over histograms in steps of a hundredth. The row of a
+    NULL language is that of all languages; no language is stricter than it.
+    """
+    own = measured.where("not suspected and names > 0 and lang != 'other'")
+
+    def limit(column: str, far: float, times: float, name: str) -> DataFrame:
+        held = own.groupBy("lang", column).agg(F.count("*").alias("n")).rollup("lang").agg(
+            F.percentile(column, [0.5, far], F.col("n")).alias("q"), F.sum("n").alias("files")
+        )
+        return held.select("lang", "files", (F.col("q")[0] + times * (F.col("q")[1] - F.col("q")[0])).alias(name))
+
+    dear, low = limit("entropy", *DEAR, "dear"), limit("diversity", *LOW, "low").drop("files")
+    both = dear.alias("a").join(low.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")))
+    return both.where((F.col("a.files") >= LEAST_FILES) | F.col("a.lang").isNull()).select("a.lang", "dear", "low")
+
+
+LEAST_NAMES = 12  # names from which on their diversity says something
+
+
+def names_say() -> Column:
+    """The verdict of the measures: data, minified, generated, vendored; NULL if the names look written here."""
+    dear = F.col("entropy") > F.col("dear")
+    low = (F.col("diversity") < F.col("low")) & (F.col("names") >= LEAST_NAMES)
+    return (
+        F.when(dear & (F.col("blob") >= 0.4), "data")
+        .when(low & (F.col("numbers") >= 0.6), "data")
+        .when(dear, "minified")
+        .when(low, "generated")
+        .when(F.col("foreign") > FOREIGN, "vendored")
+    )
+
+
 def changed_entries(enriched: DataFrame) -> DataFrame:
     """Distinct ``repository, pull_number, file_path`` of all changed files."""
     return (
@@ -282,28 +424,46 @@ def changed_entries(enriched: DataFrame) -> DataFrame:
     )
 
 
-def judged_files(enriched: DataFrame, patches: DataFrame) -> DataFrame:
-    """``repository, pull_number, file_path, kind`` per changed file; NULL kind means hand-written.
+def measured_files(patches: DataFrame, model: Names | None = None) -> DataFrame:
+    """The measures of every file in the diffs; narrow, so written once and read twice."""
+    narrow = patches.select(fold("repo").alias("repo"), F.col("pr_number").cast("bigint"), "patch", "test_patch")
+    return materialize(spread(narrow).mapInArrow(_measure(model or train(patches)), MEASURES), "files")
+
 
-    Diffs are found by repository (trimmed, lower case) and number; files
-    without one are judged by their place alone. Prose files always count as
-    hand-written, NULL and empty file lists have no entries, and repeated rows
-    count once.
+def judged_files(enriched: DataFrame, patches: DataFrame, model: Names | None = None) -> DataFrame:
+    """``repository, pull_number, file_path, kind, by`` per changed file; NULL kind means hand-written.
+
+    ``by`` says what decided: names (the models), notice or place. Diffs are
+    found by repository (trimmed, lower case) and number; files without one
+    are judged by their place alone. Prose files always count as hand-written,
+    NULL and empty file lists have no entries, and repeated rows count once.
     """
-    model = train(patches)
-    seen = (
-        spread(patches.select(fold("repo").alias("repo"), F.col("pr_number").cast("bigint"), "patch", "test_patch"))
-        .mapInArrow(_judge(model), "repo string, number bigint, file_path string, kind string")
-        .groupBy("repo", "number", "file_path")
-        .agg(F.min("kind").alias("kind"))
-        .select(F.col("repo").alias("repository"), F.col("number").alias("pull_number"), "file_path", "kind")
+    measured = measured_files(patches, model)
+    limits = materialize(bounds(measured), "bounds")  # a row per language
+    every = limits.where("lang is null").select(F.col("dear").alias("dear_"), F.col("low").alias("low_"))
+    judged = (
+        measured.join(F.broadcast(limits.where("lang is not null")), "lang", "left")
+        .join(F.broadcast(every.withColumn("one", F.lit(1))), F.lit(1) == F.col("one"), "left")
+        .withColumns({"dear": F.greatest("dear", "dear_"), "low": F.least("low", "low_")})
+        .withColumn("said", names_say())
+        .where("said is not null or noticed is not null")
+        .withColumn("verdict", F.struct(
+            F.when(F.col("said").isNotNull(), "names").otherwise("notice").alias("by"), F.coalesce("noticed", "said").alias("kind")
+        ))
+    )
+    seen = judged.groupBy(F.col("repo").alias("repository"), F.col("number").alias("pull_number"), "file_path").agg(
+        F.min("verdict").alias("verdict")
     )
-    entries = changed_entries(enriched)
-    return entries.join(seen, ["repository", "pull_number", "file_path"], "left").select(
-        "repository", "pull_number", "file_path", F.coalesce("kind", place(F.col("file_path"))).alias("kind")
+    at = place(F.col("file_path"))
+    return changed_entries(enriched).join(seen, ["repository", "pull_number", "file_path"], "left").select(
+        "repository",
+        "pull_number",
+        "file_path",
+        F.coalesce("verdict.kind", at).alias("kind"),
+        F.coalesce("verdict.by", F.when(at.isNotNull(), "place")).alias("by"),
     )
 
 
 def hand_written(enriched: DataFrame, patches: DataFrame) -> DataFrame:
     """The changed files that remain."""
-    return judged_files(enriched, patches).where("kind is null").drop("kind")
+    return judged_files(enriched, patches).where("kind is null").drop("kind", "by")

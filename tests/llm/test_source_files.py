@@ -18,6 +18,7 @@ def block(path, lines):
 
 
 CODE = lambda n=14: [f"    {name()} = {name()}({name()}, {RND.randint(1, 99)})" for _ in range(n)]
+MINIFIED = lambda: ";".join(f"{RND.choice('abcdefghjkq')}={RND.choice('uvwxyz')}[{RND.choice('mnop')}]({RND.choice('abcd')})" for _ in range(30))
 MIN = ['!function(a,u){var c=q.lockset(13),q=c[7];if(j>4)r.build("x");else d.y=function(u){return u.e&&u(0xef3)};}(e,v)']
 FILES = {
     "src/app/own.py": (CODE(), None),
@@ -55,6 +56,44 @@ def test_judged_files(spark):
     assert sf.judged_files(enriched.limit(0), patches.limit(0)).count() == 0
 
 
+def test_the_models_decide(spark):
+    """Ablation: with emptied models the files that only their names give away count as hand-written."""
+    odd = {
+        "src/a/mangled.py": [MINIFIED()],
+        "src/a/blob.py": ['X = "' + "".join(RND.choice(B64) for _ in range(900)) + '"'],
+        "src/a/table.py": ["t = ["] + ["  " + ", ".join(str(RND.randint(0, 999)) for _ in range(12)) for _ in range(20)],
+        "src/a/digests.py": [f"h{i} = '{RND.randbytes(16).hex()}'" for i in range(20)],
+    }
+    rows = [("r/r", i, "\n".join(block(f"src/m{i}_{j}.py", CODE(30)) for j in range(5))) for i in range(60)]
+    rows.append(("r/r", 99, "\n".join(block(p, ls) for p, ls in odd.items())))
+    patches = spark.createDataFrame([(*r, None) for r in rows], "repo string, pr_number bigint, patch string, test_patch string")
+    files = [("r/r", i, [f"src/m{i}_{j}.py" for j in range(5)]) for i in range(60)] + [("r/r", 99, list(odd))]
+    enriched = spark.createDataFrame(files, "repository string, number bigint, changed_files array<string>")
+    found = {r["file_path"]: r["by"] for r in sf.judged_files(enriched, patches).where("kind is not null").collect()}
+    assert found == dict.fromkeys(odd, "names")
+    empty = sf.Names({lang: sf.np.zeros(sf.A**3) for lang in sf.CODES})
+    left = {r["file_path"] for r in sf.judged_files(enriched, patches, empty).where("kind is not null").collect()}
+    assert "src/a/blob.py" not in left and "src/a/digests.py" not in left
+
+
+def test_foreign_style_and_diversity():
+    rnd = random.Random(3)
+    snake = "\n".join(f"def load_{rnd.choice(NOUNS)}(self, {rnd.choice(NOUNS)}_id):" for _ in range(400))
+    camel = "\n".join(f"export function load{rnd.choice(NOUNS).title()}({rnd.choice(NOUNS)}Id: string) {{" for _ in range(400))
+    counts = {k: sf.np.bincount(sf.trigrams(sf._codes(v)), minlength=sf.A**3) for k, v in {"python": snake, "typescript": camel}.items()}
+    model = sf.Names(counts)
+    one, two = snake[:900], camel[:900]
+    assert model.measure("python", one, sf._codes(one))[1] < 0.01
+    assert model.measure("typescript", one, sf._codes(one))[1] > sf.FOREIGN
+    assert model.measure("python", two, sf._codes(two))[1] > sf.FOREIGN
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    assert sf.diversity(" ".join(words)) == 1.0
+    assert sf.diversity(" ".join(str(i) for i in range(300))) == pytest.approx(1 / sf.SPAN)
+    text = [rnd.choice(words[:40]) for _ in range(200)]
+    brute = [len(set(text[i : i + sf.SPAN])) / sf.SPAN for i in range(len(text) - sf.SPAN + 1)]
+    assert sf.diversity(" ".join(text)) == pytest.approx(sum(brute) / len(brute))
+
+
 LICENCE = [f"Licence line {i}, all rights reserved." for i in range(20)]
 MARK = "Code generated by toolc 2. DO NOT EDIT."
 
