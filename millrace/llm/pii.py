@@ -1,18 +1,29 @@
-"""Problem 2: personal data in free text.
-
-Addresses, numbers and mail addresses have shapes of their own and are found
-by them. Names of people do not, so they are judged by how strongly their
-terms give a person away: over the whole corpus each capitalised term is
-counted, and how often it stands where only a person can (beside a known name
-part, in a trailer, before a mail address). Mentions whose terms exceed the
-disclosure threshold are protected; terms such as *Server* in "Hope Server",
-which mostly stand elsewhere, are not. What is protected is replaced by a
-typed placeholder.
+"""Problem 2: personal data in free text, by information-theoretic sanitisation.
+
+Shapes only propose. Everything that looks like a mail address, a number, a
+street or a name of at least two words is a proposal with terms: its words or
+its digits' shape, and the words before and behind it. How strongly a term
+gives a person away is estimated from the whole corpus: its disclosure is the
+information that its co-occurrence with protected entities adds to a
+proposal's prior,
+
+    logit P(protected | term) - logit P(protected)
+
+Protected entities are at first the proposals beyond doubt (both name parts
+known, a labelled or international number, mail, street); then the
+probabilities found replace them, so that what stands beside known names
+becomes known, and names nobody listed are found by where they stand. A
+proposal whose terms disclose more than the threshold is removed for a typed
+placeholder; one between the lower threshold and it is generalised (names to
+initials, digits to #).
+
+Long numbers that fit no personal shape take part as background: a number
+behind *Build* discloses nothing, because what stands there seldom does.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +34,12 @@ from pyspark.sql import functions as F
 from millrace.runtime import materialize, spread
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
-THRESHOLD = 0.5
+THRESHOLD = 0.5  # probability of a protected entity from which on a proposal is removed
+GENERAL = 0.3  # and from which on it is generalised
+ROUNDS = 3  # rounds of estimating disclosures
+WEIGHT = 2.0  # pseudo-occurrences of a term's prior
+LISTED, UNLISTED = 0.8, 0.25  # prior of a name's word that is, or is not, among the known parts
+SHAPED = 0.9  # prior of a number of personal shape
 
 # ---------------------------------------------------------------- shapes
 _AT = r"(?:@|\s?[\(\[\{]\s?(?:at|AT|ät|arroba)\s?[\)\]\}]\s?|\s(?:AT|at)\s(?=\S+\s(?:DOT|dot)\s))"
@@ -68,7 +84,8 @@ ID_LABELLED = regex.compile(
 ID_SHAPE = regex.compile(
     r"(?<![\w.+/:#-])(?:\d{3}-\d{2}-\d{4}|\d{8}-?[A-HJ-NP-TV-Z]|[XYZ]\d{7}[A-Z]|[A-Z]{2} \d{2} \d{2} \d{2} [A-D]|[12] \d{2} (?:0[1-9]|1[0-2]) \d{2} \d{3} \d{3} \d{2}|\d{2} \d{3} \d{3} \d{3})(?![\w]|[-./]\d| \d)"
 )
-NOT_ID = regex.compile(r"(?i)(?:part no\.?|build|order|serial|sku|version|took|about|rev\.?)\s*$")
+# Any long number, to learn what stands before those that belong to nobody.
+LONG_NUMBER = regex.compile(r"(?<![\w.])\d(?:[\d ()./-]*\d)?(?!\w)")
 
 _CAP = r"\p{Lu}[\p{L}'’-]*\p{Ll}[\p{L}'’-]*"
 _STREET_EN = r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Terrace|Ter|Boulevard|Blvd|Place|Pl|Square|Sq|Way|Close|Crescent|Row|Parkway|Pkwy|Highway|Hwy)"
@@ -91,16 +108,9 @@ _NAME1 = r"(?:\p{Lu}[’']\p{Lu}?[\p{L}]+|\p{Lu}\p{Ll}[\p{L}]*|\p{Lu}{2,})"
 _NAME = rf"{_NAME1}(?:[-‐]{_NAME1})*"
 FULL = rf"(?:{_NAME}(?: \p{{Lu}}\.)? {_PART}?{_NAME}|(?:{_PART})?{_NAME}, {_NAME}(?: \p{{Lu}}\.)?)"
 CANDIDATE = regex.compile(rf"(?<![\p{{L}}\p{{N}}_@/`'’.-]|\p{{Lu}}\.)({FULL})(?![\p{{L}}\p{{N}}_(/`]|-\p{{L}}|\.\p{{L}})")
-BEFORE = regex.compile(
-    r"(?:(?:[Ss]igned-off|[Rr]eported|[Rr]eviewed|[Aa]cked|[Tt]ested|[Cc]o-authored|[Aa]uthored|[Ss]uggested|[Cc]ommitted)-by:|[Aa]uthor(?: was|:)|[Tt]hanks to|[Tt]hank you,?|[Rr]eviewed with|[Aa]pproved by|[Rr]eported by|[Ss]ponsored by|[Pp]aired with|[Aa]sk|account of|[Mm]aintainer:|[Cc]ontact:|[Ss]ignalé par|[Rr]apporté par|[Dd]anke an|[Gg]emeldet von|[Mm]erci à|[Gg]racias a|[Ll]o notó|[Ll]o vio|\b(?:Dr|Prof|Mr|Mrs|Ms|Mme|M|Mlle|Sr|Sra|Hr|Fr)\.?|\b(?:Herr|Frau|Señora?|Monsieur|Madame|Doña?)|^\s*[*•-])[ \t]*$"
-)
-AFTER = regex.compile(
-    r"^(?: ?[<(][^<>()\s]+ ?(?:@|\(at\)|\[at\]| ?AT )|,? reachable as|\s?[|;/]\s?(?:\d|\p{L}[\p{L}., ]*(?:\d|straße|weg|platz|allee|gasse)|\S+@)|\n(?:\d[^\n]*|\p{L}[^\n]*\d\p{Ll}?)\n\d{5} | asked for this| hat den Fehler| ha (?:reportado|notado)| a signalé| reported this| wrote this)"
-)
-TITLES = frozenset("dr prof mr mrs ms mme m mlle sr sra herr frau señor señora monsieur madame don doña".split())
-SKIP = frozenset("the this that these those our a an if on in for after with when since under until without no nothing please half how do not der die das wir le la les el los las un une".split())
-PARTICLES = frozenset("van der den de von la los del della di du da dos le zu ter ten".split())
-TERM = regex.compile(r"(?<![\p{L}\p{N}_@/`.-])\p{Lu}[\p{L}’']*\p{L}(?![\p{L}\p{N}_(/`])")
+TERM = regex.compile(r"\p{Lu}[\p{L}’']*\p{L}")
+TOKEN = regex.compile(r"[\p{L}\p{N}_'’]+|\n|[^\s\p{L}\p{N}_]")
+FIRST_WORD = regex.compile(r"[\p{L}'’-]*")
 CODE = regex.compile(r"`[^`\n]*`")
 
 
@@ -116,43 +126,46 @@ def _clean(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def shapes(text: str) -> list[tuple[int, int, str]]:
-    """Mail addresses, identity numbers, phones and street addresses: ``start, end, kind``."""
-    out: list[tuple[int, int, str]] = []
+def shapes(text: str) -> list[tuple[int, int, str, bool]]:
+    """Mail addresses, identity numbers, phones and street addresses: ``start, end, kind, beyond doubt``."""
+    out: list[tuple[int, int, str, bool]] = []
     spans: list[tuple[int, int]] = []
 
-    def add(a: int, b: int, kind: str) -> None:
+    def add(a: int, b: int, kind: str, sure: bool) -> None:
         a, b = _clean(text, a, b)
         if b > a and not _overlaps(spans, a, b):
             spans.append((a, b))
-            out.append((a, b, kind))
+            out.append((a, b, kind, sure))
 
     if AT_SIGN.search(text):
         for m in EMAIL.finditer(text):
             host = text[m.end() : m.end() + 2]
             local = regex.split(_AT, m.group(), maxsplit=1)[0]
             remote = local == "git" or (host[:1] == ":" and host[1:2] not in ("", " ", "\n")) or "://" in text[max(0, m.start() - 8) : m.start()]
-            spans.append(m.span()) if remote else add(*m.span(), "email")
+            spans.append(m.span()) if remote else add(*m.span(), "email", True)
     for m in ID_LABELLED.finditer(text):
-        add(*m.span(1), "id_number")
+        add(*m.span(1), "id_number", True)
     for m in STREET.finditer(text):
-        add(*m.span(), "street_address")
+        add(*m.span(), "street_address", True)
     for m in ID_SHAPE.finditer(text):
-        if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
-            add(*m.span(), "id_number")
+        add(*m.span(), "id_number", False)
     if DIALLED.search(text):
         for m in PHONE_LABEL.finditer(text):
             n = PHONE_HERE.match(text, m.end()) or PHONE_LOOSE.match(text, m.end())
             if n and 7 <= sum(c.isdigit() for c in n.group()) <= 15:
-                add(*n.span(), "phone")
+                add(*n.span(), "phone", True)
         for m in PHONE.finditer(text):
-            if not NOT_ID.search(text, max(0, m.start() - 16), m.start()):
-                add(*m.span(), "phone")
+            add(*m.span(), "phone", text[m.start()] == "+")
     return out
 
 
-def _terms(name: str) -> list[str]:
-    return [w for w in regex.findall(r"\p{Lu}[\p{L}’']*\p{L}", name) if len(w) > 1]
+def background(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Numbers of six digits or more that are no proposal."""
+    out = []
+    for m in LONG_NUMBER.finditer(text):
+        if m.end() - m.start() >= 6 and sum(c.isdigit() for c in m.group()) >= 6 and not _overlaps(taken, *m.span()):
+            out.append(m.span())
+    return out
 
 
 def norm(term: str) -> str:
@@ -167,157 +180,225 @@ class Known:
         self.family = {norm(w) for p, k in parts if k == "family" for w in regex.split(r"[ -]", p) if w[:1].isupper()}
 
 
-def _trim_titles(text: str, a: int, b: int) -> tuple[int, int, list[str]]:
-    """A candidate without leading titles and sentence openers."""
-    words = _terms(text[a:b])
-    while words and (norm(words[0]) in TITLES or norm(words[0]) in SKIP):
-        step = text.find(words[0], a) + len(words[0])
-        while step < b and text[step] in " .,":
-            step += 1
-        again = CANDIDATE.match(text, step) if step < b else None
-        a, b = again.span(1) if again else (step, step)
-        words = _terms(text[a:b])
-    return a, b, words
-
-
-def _weigh(text: str, a: int, b: int, words: list[str], known: Known) -> tuple[int, bool, bool, str]:
-    """Evidence for a candidate: its weight, whether it suffices, whether the place is a person's, the deciding term."""
-    head = text[max(0, a - 40) : a].rpartition("\n")[2]
-    context = bool(BEFORE.search(head)) or bool(AFTER.search(text[b : b + 60]))
-    low = [norm(w) for w in words]
-    flipped = "," in text[a:b]
-    given, family = (low[-1:], low[:-1]) if flipped else (low[:1], low[1:])
-    has_given = any(w in known.given for w in given)
-    has_family = any(w in known.family for w in family)
-    clash = any(w in known.family for w in given) or any(w in known.given for w in family)
-    weight = has_given + has_family + context - clash
-    certain = (has_family and (has_given or context or (not flipped and not clash))) or (has_given and context)
-    return weight, certain, context, norm(words[0] if flipped else words[-1])
-
-
-def mentions(text: str, known: Known, taken: list[tuple[int, int]]) -> list[tuple[int, int, bool, bool, str]]:
-    """Names that may be people: ``start, end, certain, in context, deciding term``.
-
-    Of two overlapping candidates the one with more evidence counts, so that a
-    capitalised word before a name is not drawn into it. Without a person's
-    place around it, a mention needs a known given or family name.
+def names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, list[str]]]:
+    """What might be a name: ``start, end, given, family words``.
+
+    Every capitalised word may begin one, so proposals overlap: of *Thanks Anna
+    Meier* both halves are proposed, and their disclosures tell which is one.
     """
     out = []
-    code = [m.span() for m in CODE.finditer(text)]
+    code = [m.span() for m in CODE.finditer(text)] if "`" in text else []
     pos = 0
     while m := CANDIDATE.search(text, pos):
-        a, b, words = _trim_titles(text, *m.span(1))
+        a, b = m.span(1)
+        pos = a + max(1, len(FIRST_WORD.match(text, a, b).group()))
+        words = [norm(w) for w in TERM.findall(text, a, b) if len(w) > 1]
         if len(words) < 2 or _overlaps(taken, a, b) or _overlaps(code, a, b):
-            pos = m.start(1) + max(1, len(regex.match(r"[\p{L}'’-]*", text[m.start(1) : m.end(1)]).group()))
             continue
-        weight, certain, context, term = _weigh(text, a, b, words, known)
-        second = a + len(regex.match(r"[\p{L}'’-]*", text[a:b]).group())
-        later = CANDIDATE.search(text, second + 1)
-        if later and later.start(1) < b:
-            a2, b2, words2 = _trim_titles(text, *later.span(1))
-            if len(words2) > 1 and not _overlaps(taken, a2, b2) and _weigh(text, a2, b2, words2, known)[0] > weight:
-                pos = later.start(1)
-                continue
-        if certain or context or (weight > 0 and norm(words[0]) in known.given):
-            out.append((a, b, certain, context, term))
-        pos = b if weight > 0 else second + 1
+        flipped = "," in text[a:b]
+        out.append((a, b, words[-1] if flipped else words[0], words[:-1] if flipped else words[1:]))
     return out
 
 
-PASS = "tbl string, rec_key string, pii_kind string, pii_text string, start int, stop int, term string, hits bigint, seen bigint"
+class Around:
+    """The words before and behind a place, from the tokens of the whole text."""
 
+    def __init__(self, text: str) -> None:
+        spans = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(text)]
+        self.starts = [s[0] for s in spans]
+        self.words = ["0" if s[2][0].isdigit() else s[2].lower() for s in spans]
 
-def scan(parts: list[tuple[str, str]]):
-    """The pass over all texts, as a ``mapInArrow`` function.
+    def terms(self, a: int, b: int) -> list[tuple[str, str | None, float | None, float]]:
+        i, j = bisect_left(self.starts, a), bisect_left(self.starts, b)
+        left = ["^", "^", *self.words[max(0, i - 2) : i]][-2:]
+        right = [*self.words[j : j + 2], "$", "$"][:2]
+        return [
+            (f"l2 {left[0]} {left[1]}", f"l1 {left[1]}", None, 1.0),
+            (f"r2 {right[0]} {right[1]}", f"r1 {right[0]}", None, 1.0),
+        ]
 
-    Per piece of personal data one row; per open mention one with its deciding
-    term; and per batch and term one with its counts in and out of persons.
-    """
+
+PASS = (
+    "tbl string, rec_key string, uid bigint, uid2 bigint, pii_kind string, pii_text string, start int, stop int, family string,"
+    " seed boolean, terms array<struct<term:string,parent:string,prior:double,weight:double>>"
+)
+_TERMS = pa.list_(
+    pa.struct([("term", pa.string()), ("parent", pa.string()), ("prior", pa.float64()), ("weight", pa.float64())])
+)
+_DIGIT = regex.compile(r"\d")
+
+
+def proposals(text: str, known: Known) -> list[tuple[str | None, int, int, str, bool, list[tuple]]]:
+    """``kind, start, end, family, beyond doubt, terms`` of everything in a text that might be personal; kind None is background."""
+    found = shapes(text)
+    taken = [(a, b) for a, b, _, _ in found]
+    said = names(text, taken)
+    long = background(text, taken)
+    if not (found or said or long):
+        return []
+    around = Around(text)
+    out: list[tuple[str | None, int, int, str, bool, list[tuple]]] = []
+    for a, b, kind, sure in found:
+        if kind in ("email", "street_address"):
+            out.append((kind, a, b, kind, sure, [(f"s {kind}", None, SHAPED, 1.0)]))
+        else:
+            shape = _DIGIT.sub("0", text[a:b])
+            out.append((kind, a, b, "number", sure, [(f"s {kind} {shape}", None, SHAPED, 1.0), *around.terms(a, b)]))
+    for a, b in long:
+        out.append((None, a, b, "number", False, around.terms(a, b)))
+    for a, b, given, family in said:
+        sure = given in known.given and any(w in known.family for w in family)
+        own = [(f"g {given}", None, LISTED if given in known.given else UNLISTED, 1.0)]
+        own += [(f"f {w}", None, LISTED if w in known.family else UNLISTED, 1.0 / len(family)) for w in family]
+        out.append(("person_name", a, b, "name", sure, [*own, *around.terms(a, b)]))
+    return out
+
+
+def scan(parts: list[tuple[str, str]]):
+    """The pass over all texts, as a ``mapInArrow`` function: one row per proposal."""
     known = Known(parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[] for _ in range(9)]
-            hits: Counter[str] = Counter()
-            seen: Counter[str] = Counter()
-            for tbl, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if not text:
-                    continue
-                found = shapes(text)
-                for a, b, kind in found:
-                    for col, v in zip(cols, (tbl, key, kind, text[a:b], a, b, None, None, None)):
-                        col.append(v)
-                for a, b, certain, context, term in mentions(text, known, [(a, b) for a, b, _ in found]):
-                    for col, v in zip(cols, (tbl, key, "person_name", text[a:b], a, b, None if certain else term, None, None)):
-                        col.append(v)
-                    if certain or context:
-                        hits.update({norm(w) for w in _terms(text[a:b])})
-                seen.update(norm(w) for w in set(TERM.findall(text)))
-            for term, n in seen.items():
-                for col, v in zip(cols, (None, None, None, None, None, None, term, hits.get(term, 0), n)):
-                    col.append(v)
-            types = [pa.string()] * 4 + [pa.int32()] * 2 + [pa.string()] + [pa.int64()] * 2
-            names = [x.split()[0] for x in PASS.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+            rows = []
+            for tbl, key, u, v, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if text:
+                    for kind, a, b, family, sure, terms in proposals(text, known):
+                        rows.append((tbl, key, u, v, kind, text[a:b], a, b, family, sure, [dict(zip(("term", "parent", "prior", "weight"), t)) for t in terms]))
+            types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), _TERMS]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], NAMES)
 
     return run
 
 
+NAMES = "tbl rec_key uid uid2 pii_kind pii_text start stop family seed terms".split()
+
+
+# ---------------------------------------------------------------- disclosure
+def _logit(p: Column) -> Column:
+    p = F.least(F.greatest(p, F.lit(0.005)), F.lit(0.995))
+    return F.log(p / (1 - p))
+
+
+COMMON = 10_000  # a term is common if more than one in so many features has it; there are no more such terms than this
+
+
+def _with_counts(features: DataFrame, counts: DataFrame, key: str, total: int, name: str) -> DataFrame:
+    """``features`` with ``n_name, s_name`` of the term in ``key``.
+
+    Common terms, at most ``COMMON``, are broadcast; the rest is joined by term
+    with no key that holds more than a small share of the rows.
+    """
+    c = counts.select(F.col("family").alias("_f"), F.col("term").alias("_t"), F.col("n").alias(f"n_{name}"), F.col("s").alias(f"s_{name}"))
+    common = F.col(f"n_{name}") * COMMON >= F.lit(total)
+    on = (F.col("family") == F.col("_f")) & (F.col(key) == F.col("_t"))
+    near = features.join(F.broadcast(c.where(common)), on, "left").drop("_f", "_t")
+    known = near.where(F.col(f"n_{name}").isNotNull() | F.col(key).isNull())
+    rest = near.where(F.col(f"n_{name}").isNull() & F.col(key).isNotNull()).drop(f"n_{name}", f"s_{name}")
+    return known.unionByName(rest.join(c.where(~common), on, "left").drop("_f", "_t"))
+
+
+def disclosures(proposed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """``pid, p``: the probability that a proposal is a protected entity, from the disclosures of its terms.
+
+    A term's share of protected proposals leaves the proposal itself out, and
+    leans on its prior where the corpus holds it seldom: words on whether they
+    are listed, two words of context on the nearer one, that on the family.
+    """
+    features = proposed.select("pid", "family", F.explode("terms").alias("t")).select("pid", "family", "t.*")
+    state = proposed.select("pid", "family", F.col("seed").cast("double").alias("q"))
+    total = proposed.select(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    for _ in range(rounds):
+        base = state.groupBy("family").agg(F.avg("q").alias("pi"))  # a row per family
+        base = base.select("family", F.least(F.greatest("pi", F.lit(0.1)), F.lit(0.9)).alias("pi"))
+        own = features.join(state, ["pid", "family"])
+        both = own.select("family", "q", "term").unionByName(own.where("parent is not null").select("family", "q", F.col("parent").alias("term")))
+        counts = materialize(both.groupBy("family", "term").agg(F.count("*").alias("n"), F.sum("q").alias("s")), "pii-terms")
+        told = _with_counts(_with_counts(own, counts, "term", total, "own"), counts, "parent", total, "up").join(F.broadcast(base), "family")
+
+        def share(name: str, prior: Column) -> Column:
+            return (F.greatest(F.col(f"s_{name}") - F.col("q"), F.lit(0.0)) + WEIGHT * prior) / (F.col(f"n_{name}") - 1 + WEIGHT)
+
+        prior = F.when(F.col("parent").isNotNull(), share("up", F.col("pi"))).otherwise(F.col("prior"))
+        bits = F.col("weight") * (_logit(share("own", prior)) - _logit(F.col("pi")))
+        judged = told.groupBy("pid", "family").agg((F.sum(bits) + _logit(F.first("pi"))).alias("odds"))
+        state = materialize(judged.select("pid", "family", F.round(1 / (1 + F.exp(-F.col("odds"))), 6).alias("q")), "pii-odds")
+    return state.select("pid", F.col("q").alias("p"))
+
+
+def _keyed(texts: DataFrame) -> DataFrame:
+    """The texts with 128 bits that tell rows of different key or text apart, NULL keys included."""
+    cols = [F.col("tbl").cast("string").alias("tbl"), F.col("rec_key").cast("string").alias("rec_key")]
+    key = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("tbl", "rec_key", "text")]
+    return texts.select(*cols, F.xxhash64(F.lit(1), *key).alias("uid"), F.xxhash64(F.lit(2), *key).alias("uid2"), F.col("text").cast("string"))
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Of overlapping names of one text the likelier, then the longer, then the first; other kinds never overlap."""
+    best = F.struct(-F.round("p", 1), F.col("start") - F.col("stop"), "start", "stop", "pid")
+    per = found.where("family = 'name'").groupBy("uid", "uid2").agg(F.sort_array(F.collect_set(best)).alias("all"))
+    none = F.array().cast(per.schema["all"].dataType)
+    kept = F.aggregate(
+        "all",
+        none,
+        lambda acc, x: F.when(F.exists(acc, lambda y: (x["start"] < y["stop"]) & (y["start"] < x["stop"])), acc).otherwise(F.concat(acc, F.array(x))),
+    )
+    names_ = per.select(F.explode(kept).alias("k")).select("k.pid")
+    return found.where("family != 'name'").unionByName(found.join(names_, "pid", "left_semi"))
+
+
+def judged(texts: DataFrame, name_parts: DataFrame, least: float) -> DataFrame:
+    """Every proposal of at least probability ``least``: ``uid, uid2, tbl, rec_key, pii_kind, pii_text, start, stop, p``.
+
+    A mention that repeats (the same row twice) counts once.
+    """
+    parts = [(r[0], r[1]) for r in name_parts.where("name_part is not null").select("name_part", "part_kind").collect()]
+    seen = spread(_keyed(texts)).mapInArrow(scan(parts), PASS)
+    pid = F.xxhash64("uid", "uid2", "start", "stop")
+    proposed = materialize(seen.withColumn("pid", pid).dropDuplicates(["pid"]), "pii")
+    found = proposed.where("pii_kind is not null").drop("terms").join(disclosures(proposed), "pid").where(F.col("p") >= F.lit(least))
+    return _apart(found).select("uid", "uid2", "tbl", "rec_key", "pii_kind", "pii_text", "start", "stop", "p")
+
+
 def find_pii(texts: DataFrame, name_parts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``tbl, rec_key, pii_kind, pii_text, start, stop`` for every piece of personal data.
 
     ``texts(tbl, rec_key, text)``; NULL and empty texts hold none. Offsets count
     code points. ``name_parts`` (a fixed list of known parts) goes to the tasks.
-    An unclear name counts if its deciding term's disclosure, the share of texts
-    with the term in which it stands for a person, exceeds ``threshold``.
     """
-    parts = [(r[0], r[1]) for r in name_parts.where("name_part is not null").select("name_part", "part_kind").collect()]
-    narrow = texts.select(F.col("tbl").cast("string"), F.col("rec_key").cast("string"), F.col("text"))
-    seen = materialize(spread(narrow).mapInArrow(scan(parts), PASS), "pii")
-    found = seen.where("pii_kind is not null")
-    cols = ["tbl", "rec_key", "pii_kind", "pii_text", "start", "stop"]
-    unclear = found.where("term is not null").select(*cols, "term")
-    wanted = unclear.select("term").distinct()
-    disclosure = (
-        seen.where("pii_kind is null")
-        .join(wanted, "term", "left_semi")
-        .groupBy("term")
-        .agg((F.sum("hits") / F.sum("seen")).alias("disclosure"))
-        .where(F.col("disclosure") > F.lit(threshold))
-    )
-    return found.where("term is null").select(cols).unionByName(unclear.join(disclosure, "term", "left_semi").select(cols))
+    return judged(texts, name_parts, threshold).select("tbl", "rec_key", "pii_kind", "pii_text", "start", "stop")
 
 
 def redact(text: Column, pieces: Column) -> Column:
-    """``text`` with every piece (array of struct<start,stop,kind>, sorted) replaced by ``[KIND]``."""
+    """``text`` with every piece (array of struct<start,stop,put>, sorted) replaced by what is put there."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate(
         pieces,
         start,
         lambda acc, p: F.struct(
             p["stop"].alias("at"),
-            F.concat(
-                acc["out"],
-                F.substring(text, acc["at"] + 1, p["start"] - acc["at"]),
-                F.lit("["),
-                F.upper(p["pii_kind"]),
-                F.lit("]"),
-            ).alias("out"),
+            F.concat(acc["out"], F.substring(text, acc["at"] + 1, p["start"] - acc["at"]), p["put"]).alias("out"),
         ),
     )
     whole = F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
     return F.when(F.size(pieces) > 0, whole).otherwise(text)
 
 
-def sanitize(texts: DataFrame, name_parts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``tbl, rec_key, text`` with typed placeholders; texts without personal data as they were."""
+def sanitize(texts: DataFrame, name_parts: DataFrame, threshold: float = THRESHOLD, general: float = GENERAL) -> DataFrame:
+    """``tbl, rec_key, text`` with typed placeholders; texts without personal data as they were.
+
+    What discloses less than ``threshold`` but at least ``general`` is
+    generalised: names to their initials, numbers to their shape.
+    """
+    initials = F.regexp_replace("pii_text", r"(\p{L})[\p{L}'’.-]*", "$1.")
+    rough = F.when(F.col("pii_kind") == "person_name", initials).otherwise(F.regexp_replace("pii_text", r"\d", "#"))
+    put = F.when(F.col("p") >= F.lit(threshold), F.concat(F.lit("["), F.upper("pii_kind"), F.lit("]"))).otherwise(rough)
     pieces = (
-        find_pii(texts, name_parts, threshold)
-        .groupBy("tbl", "rec_key")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "stop", "pii_kind"))).alias("pieces"))
+        judged(texts, name_parts, min(threshold, general))
+        .groupBy("uid", "uid2")
+        .agg(F.sort_array(F.collect_set(F.struct("start", "stop", put.alias("put")))).alias("pieces"))
     )
-    keyed = texts.select(F.col("tbl").cast("string"), F.col("rec_key").cast("string"), "text")
-    none = F.array().cast("array<struct<start:int,stop:int,pii_kind:string>>")
-    return keyed.join(pieces, ["tbl", "rec_key"], "left").select(
+    none = F.array().cast("array<struct<start:int,stop:int,put:string>>")
+    return _keyed(texts).join(pieces, ["uid", "uid2"], "left").select(
         "tbl", "rec_key", redact(F.col("text"), F.coalesce("pieces", none)).alias("text")
     )

@@ -439,12 +439,18 @@ def judged_files(enriched: DataFrame, patches: DataFrame, model: Names | None =
     NULL and empty file lists have no entries, and repeated rows count once.
     """
     measured = measured_files(patches, model)
-    limits = materialize(bounds(measured), "bounds")  # a row per language
-    every = limits.where("lang is null").select(F.col("dear").alias("dear_"), F.col("low").alias("low_"))
+    limits = {r["lang"]: (r["dear"], r["low"]) for r in bounds(measured).collect()}  # a row per language
+
+    def limit(at: int, strictest) -> Column:
+        every = limits[None][at] if None in limits else None
+        out = F.lit(every).cast("double")  # NULL in an empty table, where nothing is compared with it
+        for lang, own in limits.items():
+            if lang is not None:
+                out = F.when(F.col("lang") == lang, F.lit(strictest(own[at], every))).otherwise(out)
+        return out
+
     judged = (
-        measured.join(F.broadcast(limits.where("lang is not null")), "lang", "left")
-        .join(F.broadcast(every.withColumn("one", F.lit(1))), F.lit(1) == F.col("one"), "left")
-        .withColumns({"dear": F.greatest("dear", "dear_"), "low": F.least("low", "low_")})
+        measured.withColumns({"dear": limit(0, max), "low": limit(1, min)})
         .withColumn("said", names_say())
         .where("said is not null or noticed is not null")
         .withColumn("verdict", F.struct(
