@@ -306,7 +306,9 @@ def disclosures(proposed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     are listed, two words of context on the nearer one, that on the family.
     """
     features = proposed.select("pid", "family", F.explode("terms").alias("t")).select("pid", "family", "t.*")
-    state = proposed.select("pid", "family", F.col("seed").cast("double").alias("q"))
+    # a number of personal shape is open at first, everything else without seed no entity
+    first = F.when(F.col("seed"), 1.0).when((F.col("family") == "number") & F.col("pii_kind").isNotNull(), 0.5).otherwise(0.0)
+    state = proposed.select("pid", "family", first.alias("q"))
     total = proposed.select(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     for _ in range(rounds):
         base = state.groupBy("family").agg(F.avg("q").alias("pi"))  # a row per family
@@ -322,7 +324,7 @@ def disclosures(proposed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         prior = F.when(F.col("parent").isNotNull(), share("up", F.col("pi"))).otherwise(F.col("prior"))
         bits = F.col("weight") * (_logit(share("own", prior)) - _logit(F.col("pi")))
         judged = told.groupBy("pid", "family").agg((F.sum(bits) + _logit(F.first("pi"))).alias("odds"))
-        state = materialize(judged.select("pid", "family", F.round(1 / (1 + F.exp(-F.col("odds"))), 6).alias("q")), "pii-odds")
+        state = materialize(judged.select("pid", "family", F.least(F.round(1 / (1 + F.exp(-F.col("odds"))), 6), F.lit(0.999999)).alias("q")), "pii-odds")
     return state.select("pid", F.col("q").alias("p"))
 
 
@@ -335,7 +337,7 @@ def _keyed(texts: DataFrame) -> DataFrame:
 
 def _apart(found: DataFrame) -> DataFrame:
     """Of overlapping names of one text the likelier, then the longer, then the first; other kinds never overlap."""
-    best = F.struct(-F.round("p", 1), F.col("start") - F.col("stop"), "start", "stop", "pid")
+    best = F.struct(-F.round("p", 2), F.col("start") - F.col("stop"), "start", "stop", "pid")
     per = found.where("family = 'name'").groupBy("uid", "uid2").agg(F.sort_array(F.collect_set(best)).alias("all"))
     none = F.array().cast(per.schema["all"].dataType)
     kept = F.aggregate(
