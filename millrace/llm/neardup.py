@@ -2,23 +2,30 @@
 
 Texts become sets of hashed word shingles. Two sets with Jaccard similarity g
 or more differ in at most (1-g)/(1+g) * (|a|+|b|) elements. PartEnum cuts the
-feature domain into more partitions than that, so similar sets agree on whole
-partitions, and a signature (a partition with its content) that both hold
-brings them together. Sizes are banded so that sets of one band, or of
-neighbouring bands, are cut alike.
-
-Three exact reductions keep the signatures few:
-
-* A shingle that only one text holds is always a difference. A
-  set whose share of such shingles exceeds 1-g has no partner and drops out.
-* The rest of the allowed differences bounds how many partitions can disagree,
-  so of the non-empty partitions only that many plus one, rarest first, need a
-  signature: at least one of them agrees with any partner.
+feature domain into first-level partitions, so many that one of them holds at
+most ``OFF`` of the differences, and each of these into ``CELLS`` second-level
+ones. Every subset of ``CELLS - OFF`` cells of a first-level partition is
+enumerated and, with its content, a signature: in the partition with few
+differences one subset is untouched, and both sets hold its signature. Sizes
+are banded, and every pair of bands whose sets can be similar is an instance
+with a domain cut of its own.
+
+What keeps the signatures few, and exact:
+
+* A shingle that only one text holds ("lone") is always a difference. A set
+  whose share of such shingles exceeds 1-g has no partner and drops out, and
+  the rest are signed without them.
+* A signature must hold a shingle that at most ``HOT`` sets hold, so that
+  boilerplate never brings sets together by itself.
+* Cells without such a shingle say nothing. Each set adds up how many
+  differences it takes to spoil all of its signatures; where that is not more
+  than similarity allows (a thin set), its rarest shingles are signatures
+  beside them (a prefix filter). Of a similar pair either one set cannot be
+  spoiled, or both are thin and share one of those, so no pair is lost.
 * Equal texts form classes beforehand; one member stands for them.
 
-Partitions that are empty in one set and not in the other have no signature
-both hold, so the bound on partitions needs sets of some size. In bands of
-short sets the rarest shingles are signatures by themselves (a prefix filter).
+Shingles that a hundredth of the sets hold are counted where they are made and
+never gathered by shingle, so a licence line held by all texts fills no task.
 
 Candidates are verified on the shingle sets themselves. Nothing is sampled or
 capped, and no set of pairs is formed but by a shared signature.
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from itertools import combinations
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +48,10 @@ from millrace.runtime import materialize, spread
 WORDS = 3
 SIMILARITY = 0.6
 BUCKET_SETS = 10_000  # sets whose shingles one bucket of the domain holds on average
-SHORT = 40  # bands whose largest set holds no more are signed by single shingles
+CELLS, OFF = 3, 1  # second-level partitions, and how many of them may differ
+SLACK = 1.6  # first-level partitions by the fewest there must be
+HOT = 256  # a signature needs a shingle that no more sets hold
+HEAVY = 0.01  # share of the sets of a piece from which on a shingle is counted there
 STAR = 64  # more texts equal byte by byte are linked to their smallest member only
 
 _U = np.uint64
@@ -110,6 +121,14 @@ def _batches(b: pa.RecordBatch, words: int, step: int = 2000) -> Iterator[tuple[
                 yield side, [ids[lo + i] for i in keep], [sets[i] for i in keep], [texts[i] for i in keep]
 
 
+LEAST_HEAVY = 10  # and the least number of sets of a piece for that
+
+
+def _salted(keys: np.ndarray, side: int) -> np.ndarray:
+    """Shingles of different fields never meet."""
+    return mix(keys ^ mix(np.array([side], np.uint64)))
+
+
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,6 +144,15 @@ def _sets(words: int):
                     ],
                     [x.split()[0] for x in SETS.split(", ")],
                 )
+                # frequent shingles of the piece as rows of side -1: the shingle (salted by side) and its count
+                keys, n = np.unique(_salted(np.concatenate(sets), side), return_counts=True)
+                often = n >= max(HEAVY * len(sets), LEAST_HEAVY)
+                keys, n = keys[often].view(np.int64), n[often]
+                none = pa.nulls(len(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array([-1] * len(keys), pa.int32()), pa.array(n.astype(np.int32)), none, none, pa.nulls(len(keys), pa.binary())],
+                    [x.split()[0] for x in SETS.split(", ")],
+                )
 
     return run
 
@@ -158,16 +186,23 @@ def _pack(bucket: np.ndarray, ids: np.ndarray, sides: np.ndarray, keys: np.ndarr
     )
 
 
-def _deal(words: int, buckets: int):
-    """Every shingle with its set, packed by bucket of the shingle domain."""
+def _deal(words: int, buckets: int, heavy: np.ndarray, heavy_n: np.ndarray):
+    """Every shingle with its set, packed by bucket of the shingle domain; heavy ones, with their count, by bucket of the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for side, ids, sets, _ in _batches(b, words):
                 sizes = [len(s) for s in sets]
-                keys = mix(np.concatenate(sets) ^ mix(np.array([side], np.uint64)))
+                keys = _salted(np.concatenate(sets), side)
                 own = np.repeat(np.array(ids, np.int64), sizes)
-                yield _pack((keys % _U(buckets)).astype(np.int64), own, np.full(len(keys), side), keys, None)
+                sides = np.full(len(keys), side)
+                if len(heavy):
+                    at = np.minimum(np.searchsorted(heavy, keys), len(heavy) - 1)
+                    known = heavy[at] == keys
+                    bucket = (mix(own[known].astype(np.uint64)) % _U(buckets)).astype(np.int64)
+                    yield _pack(bucket, own[known], sides[known], keys[known], heavy_n[at[known]])
+                    keys, own, sides = keys[~known], own[~known], sides[~known]
+                yield _pack((keys % _U(buckets)).astype(np.int64), own, sides, keys, None)
 
     return run
 
@@ -196,6 +231,13 @@ def _shared(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for parts in _by_bucket(batches):
+            counted = [p for p in parts if p[3]]
+            if counted:  # heavy shingles go on as they are
+                ids, sides, keys, df = _unpack(counted)
+                yield _pack((mix(ids.astype(np.uint64)) % _U(buckets)).astype(np.int64), ids, sides, keys, df)
+            parts = [p for p in parts if not p[3]]
+            if not parts:
+                continue
             ids, sides, keys, _ = _unpack(parts)
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
@@ -251,55 +293,66 @@ def _gather(similarity: float):
 
 
 # ------------------------------------------------------------------ signatures
-def bands(size: int, similarity: float) -> list[tuple[int, int, int]]:
-    """Instances ``(band, smallest partner, largest partner)`` in which a set of this size takes part.
+def band(size: int, similarity: float) -> int:
+    """Band t holds the sizes from (1/g)**t up to below (1/g)**(t+1), so partners are in the same or a neighbouring band."""
+    return int(math.floor(math.log(size) / -math.log(similarity) + 1e-9))
 
-    Band t holds the sizes from 1/g**t up to below 1/g**(t+1). Instance t joins
-    the sets of band t with each other and with those of band t-1.
-    """
-    t = int(math.floor(math.log(size) / -math.log(similarity) + 1e-9))
-    low = lambda k: math.ceil(similarity**-k - 1e-6)
-    least, most = math.ceil(similarity * size - 1e-9), math.floor(size / similarity + 1e-9)
-    return [(t, max(least, low(t - 1)), min(most, low(t + 1) - 1)), (t + 1, max(least, low(t + 1)), min(most, low(t + 2) - 1))]
 
+def largest(t: int, similarity: float) -> int:
+    return max(1, math.ceil(similarity ** -(t + 1) - 1e-6) - 1)
 
-def signatures(
-    side: int, size: int, keys: np.ndarray, dfs: np.ndarray, similarity: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set and the df of each one's rarest shingle.
 
-    ``keys`` are the shingles that other sets hold too, ``size`` counts all.
-    """
-    alone = size - len(keys)
-    out, rare = [], []
+def instances(size: int, similarity: float) -> list[tuple[int, int, int, int]]:
+    """``smaller band, larger band, differences of any pair, differences of this set's pairs`` of every instance a set is in."""
     part = (1 - similarity) / (1 + similarity)
-    for band, least, most in bands(size, similarity):
-        if most < least:
-            continue
-        differ = math.floor(part * (size + most) + 1e-9) - alone
-        if differ < 0:
+    own = band(size, similarity)
+    least, furthest = math.ceil(similarity * size - 1e-9), math.floor(size / similarity + 1e-9)
+    out = []
+    for other in range(max(0, own - 1), own + 2):
+        low, high = min(own, other), max(own, other)
+        most = min(furthest, largest(other, similarity))
+        if most < max(least, 1):
             continue
-        cuts = int(similarity ** -(band + 1)) + 1  # partitions of the domain: the largest size of the band
-        salt = mix(np.array([band * 4 + side], np.uint64))[0]
-        if cuts <= SHORT:
-            # partners share at least g*size shingles, so the rarest others plus one hold one of them
-            pick = np.lexsort((keys, dfs))[: max(0, size - math.ceil(similarity * size - 1e-9) + 1 - alone)]
-            out.append(mix(keys[pick] ^ mix(np.array([salt], np.uint64))))
-            rare.append(dfs[pick])
+        any_pair = largest(low, similarity) + min(largest(high, similarity), math.floor(largest(low, similarity) / similarity + 1e-9))
+        out.append((low, high, math.floor(part * any_pair + 1e-9), math.floor(part * (size + most) + 1e-9)))
+    return out
+
+
+_SUBSETS = np.array(list(combinations(range(CELLS), CELLS - OFF)))
+
+
+def signatures(side: int, size: int, keys: np.ndarray, dfs: np.ndarray, similarity: float) -> tuple[np.ndarray, bool]:
+    """The signatures of a set, and whether it is thin.
+
+    ``keys`` are the shingles that other sets hold too and ``dfs`` how many
+    hold each; ``size`` counts the lone ones as well.
+    """
+    alone = size - len(keys)
+    out: list[np.ndarray] = []
+    thin = False
+    hashed = mix(keys)
+    cool = dfs <= HOT
+    for low, high, any_pair, own in instances(size, similarity):
+        if own < alone:
             continue
-        slot = (mix(keys ^ salt) % _U(cuts)).astype(np.int64)
-        order = np.argsort(slot, kind="stable")
-        slot_s, key_s, df_s = slot[order], keys[order], dfs[order]
-        first = np.flatnonzero(np.concatenate(([True], slot_s[1:] != slot_s[:-1])))
-        content = np.add.reduceat(mix(key_s), first) if len(first) else np.empty(0, np.uint64)
-        lowest = np.minimum.reduceat(df_s, first) if len(first) else np.empty(0, np.int32)
-        sig = mix(content ^ mix(slot_s[first].astype(np.uint64) + salt))
-        pick = np.lexsort((sig, lowest))[: differ + 1]
-        out.append(sig[pick])
-        rare.append(lowest[pick])
-    if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int32)
-    return np.concatenate(out), np.concatenate(rare)
+        firsts = math.ceil(SLACK * (any_pair + 1) / (OFF + 1))
+        salt = mix(np.array([(low * 4096 + high) * 4 + side], np.uint64))
+        cell = (mix(keys ^ salt) % _U(firsts * CELLS)).astype(np.int64)
+        content = np.zeros(firsts * CELLS, np.uint64)
+        np.add.at(content, cell, hashed)
+        told = (np.bincount(cell[cool], minlength=firsts * CELLS) > 0).reshape(firsts, CELLS)
+        content = content.reshape(firsts, CELLS)
+        thin |= int(np.minimum(told.sum(axis=1), OFF + 1).sum()) <= own - alone
+        sig = np.zeros((firsts, len(_SUBSETS)), np.uint64)
+        for k in range(CELLS - OFF):
+            sig = mix(sig * _U(31) + content[:, _SUBSETS[:, k]])
+        place = np.arange(firsts * len(_SUBSETS), dtype=np.uint64).reshape(sig.shape)
+        out.append(mix(sig ^ mix(place + salt))[told[:, _SUBSETS].any(axis=2)])
+    if thin:
+        # partners hold at least g*size shingles of this set, so the rarest others plus one hold one of them
+        most = max(0, size - math.ceil(similarity * size - 1e-9) + 1 - alone)
+        out.append(mix(keys[np.lexsort((keys, dfs))[:most]] ^ mix(np.array([side], np.uint64))))
+    return (np.concatenate(out) if out else np.empty(0, np.uint64)), thin
 
 
 def _sign(similarity: float):
@@ -376,7 +429,8 @@ def near_duplicates(
     id is the smallest row key of its members.
     """
     narrow = spread(rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields]))
-    keyed = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
+    made = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
+    keyed = made.where("side > 0")
     same = ["side", "content", "content2", "size"]
     classes = keyed.groupBy(same).agg(F.min("row_id").alias("class_id"), F.count("*").alias("copies"))
     alike = keyed.groupBy(*same, "text").agg(F.min("row_id").alias("text_id"), F.count("*").alias("same"))
@@ -384,13 +438,18 @@ def near_duplicates(
     members = members.select("side", "row_id", "class_id", "copies", "text_id", "same", "size")
     members = materialize(members, "neardup")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, members.count() // BUCKET_SETS)
+    held_sets = members.count()
+    buckets = max(parts, held_sets // BUCKET_SETS)
+    # shingles of at least half a HEAVY share, so no more than sets hold on average, times 2 / HEAVY
+    often = made.where("side = -1").groupBy("row_id").agg(F.sum("size").alias("n")).where(F.col("n") >= F.lit(HEAVY / 2 * held_sets))
+    known = sorted((r[0] & (1 << 64) - 1, r[1]) for r in often.collect())
+    heavy, heavy_n = np.array([k for k, _ in known], np.uint64), np.array([n for _, n in known], np.int32)
 
     def exchange(df: DataFrame) -> DataFrame:
         # by id, not by hash: a hash would give some tasks several buckets and others none
         return df.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
 
-    dealt = narrow.mapInArrow(_deal(words, buckets), PACKED)
+    dealt = narrow.mapInArrow(_deal(words, buckets, heavy, heavy_n), PACKED)
     shared = exchange(dealt).mapInArrow(_shared(buckets), PACKED)
     heads = members.where("row_id = class_id").select("row_id", "side", "size").mapInArrow(_heads(buckets), PACKED)
     held = materialize(exchange(shared.unionByName(heads)).mapInArrow(_gather(similarity), HELD), "neardup")

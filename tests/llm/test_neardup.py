@@ -78,15 +78,56 @@ def test_shingle_sets():
     assert [len(x) for x in s] == [len(shingles(t)) for t in texts]
 
 
-def test_short_sets_always_share_a_signature():
+def pair(rnd, common, own, other, hot):
+    x = np.array([rnd.getrandbits(64) for _ in range(common + own + other)], np.uint64)
+    df = np.array([rnd.choice([2, 2, 3, 9, *([5000] * hot)]) for _ in x], np.int32)
+    return x, df, np.r_[0 : common + own], np.r_[0:common, common + own : common + own + other]
+
+
+def test_similar_sets_always_share_a_signature():
     rnd = random.Random(11)
-    lost = 0
-    for _ in range(3000):
-        both = rnd.choice([(3, 1, 1), (3, 0, 2), (4, 1, 1), (5, 1, 1), (6, 2, 2), (12, 4, 4)])
-        x = np.array([rnd.getrandbits(64) for _ in range(sum(both))], np.uint64)
-        df = np.array([rnd.choice([2, 2, 3, 9]) for _ in x], np.int32)
-        n, own, other = both
-        a, b = np.r_[0 : n + own], np.r_[0:n, n + own : n + own + other]
-        sig = [set(neardup.signatures(1, len(i), x[i], df[i], 0.6)[0].tolist()) for i in (a, b)]
-        lost += not sig[0] & sig[1]
-    assert lost == 0
+    for turn in range(3000):
+        if turn < 1000:
+            common, own, other = rnd.choice([(1, 0, 0), (3, 1, 1), (3, 0, 2), (4, 1, 1), (5, 1, 1), (6, 2, 2), (12, 4, 4)])
+        else:
+            common = rnd.randint(1, 250)
+            most = int(common / 0.6) - common  # differences at similarity 0.6
+            own = rnd.randint(0, most)
+            other = rnd.choice([most - own, rnd.randint(0, most - own)])
+        x, df, a, b = pair(rnd, common, own, other, rnd.choice([0, 0, 1, 8, 40]))
+        # shingles that only one of all texts holds are left out and counted
+        keep = lambda i: np.array([j for j in i if j < common or rnd.random() < 0.7], int)
+        sigs = [set(neardup.signatures(1, len(i), x[k], df[k], 0.6)[0].tolist()) for i in (a, b) for k in [keep(i)]]
+        assert sigs[0] & sigs[1], (common, own, other)
+
+
+def test_enumerated_subsets_bring_pairs_together():
+    """Ablation: few sets are thin, and pairs of the others meet by subsets of cells alone, of several shingles each."""
+    rnd = random.Random(5)
+    thin, met = 0, 0
+    for _ in range(300):
+        x, df, a, b = pair(rnd, 90, 12, 12, 0)
+        (s, t), (u, v) = (neardup.signatures(1, len(i), x[i], df[i], 0.6) for i in (a, b))
+        thin += t and v
+        met += bool(set(s[: len(s) - (t and 41)].tolist()) & set(u[: len(u) - (v and 41)].tolist()))
+    assert met == 300 and thin < 100
+
+
+def test_heavy_shingles_are_not_gathered(spark, monkeypatch):
+    licence = " ".join(f"licence{i}" for i in range(30))
+    texts = [f"{licence} " + " ".join(f"t{i // 2}_{k}" for k in range(60 if i % 2 else 58)) for i in range(80)]
+    df = spark.createDataFrame([(i, x, None) for i, x in enumerate(texts)], "row_id bigint, patch string, test_patch string")
+    got = {tuple(r) for r in neardup.similar_pairs(neardup.near_duplicates(df)).collect()}
+    assert got == brute(texts, 0.6) and len(got) == 40
+    sets = neardup.shingle_sets(texts)
+    heavy = np.sort(neardup._salted(neardup.shingle_sets([licence])[0], 1))
+    dealt = list(neardup._deal(3, 4, heavy, np.full(len(heavy), 80, np.int32))(iter([pa_batch(texts)])))
+    counted = [len(k) // 8 for b in dealt for k, n in zip(b.column(3).to_pylist(), b.column(4).to_pylist()) if n]
+    plain = [len(k) // 8 for b in dealt for k, n in zip(b.column(3).to_pylist(), b.column(4).to_pylist()) if not n]
+    assert sum(counted) == 80 * len(heavy) and sum(plain) == sum(map(len, sets)) - sum(counted)
+
+
+def pa_batch(texts):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["row_id", "patch"])
