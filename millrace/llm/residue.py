@@ -9,8 +9,10 @@ exemplar covers almost whole are residue; a sentence that merely mentions an
 error page keeps most of its weight outside and is not. Quoted and code-marked
 passages are talked about, never meant, and are removed first.
 
-Document frequencies of all index terms come from one pass over the whole
-collection.
+Document frequencies come from one pass over the whole collection, those of
+terms outside the index too. Terms that a hundredth of the texts hold are known
+to every task; of the rarer ones a window's own are looked up only where their
+weight decides.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.runtime import spread
+from millrace.runtime import materialize, spread
 
 # Labelled residue. Numbers stand for any number, <placeholder>,
 # {{placeholder}} and the like for any of their kind.
@@ -199,32 +201,45 @@ JavaScript est désactivé
 Active JavaScript en su navegador para continuar.
 JavaScript está desactivado
 """.strip().split("\n")
+# Filler that is named after what it fills.
+FILLER += [f"{a} {b}" for a in ("dummy", "sample", "placeholder") for b in ("title", "text", "description")]
 EXEMPLARS = [*PLACEHOLDERS, *FILLER, *FAILURES, *SCRIPTS]
 
+
+def exemplar_table(spark: SparkSession) -> DataFrame:
+    """The labelled exemplars above as ``text, label``, the form in which own ones are given."""
+    kinds = {"placeholder": PLACEHOLDERS, "filler": FILLER, "failure": FAILURES, "scripts": SCRIPTS}
+    return spark.createDataFrame([(x, k) for k, xs in kinds.items() for x in xs], "text string, label string")
+
+
 COVER = 0.7  # of the window's weight inside the exemplar
 HELD = 0.6  # of the exemplar's weight inside the window
 ENOUGH = 15.0  # covered weight that counts whatever share of the exemplar it is
-UNKNOWN = math.log(200.0)  # weight of terms outside the index
+WHOLE, SOME = 0.95, 8.0  # or so much of a short window, if it weighs that much
+COMMON = 0.01  # share of texts from which on a term's frequency is known to every task: 100 times the terms of a text at most
 RARE = 1 / 12_000  # added to the share of rows that hold a term; bounds weights alike for any number of rows
 
 # ------------------------------------------------------------- terms, windows
 _SHAPES = [
-    (re.compile(r"\{%.*?%\}"), " ‹jinja› "),
-    (re.compile(r"\{\{.*?\}\}"), " ‹mustache› "),
-    (re.compile(r"<%.*?%>"), " ‹erb› "),
-    (re.compile(r"\$\{\s*\w[^}\n]*\}"), " ‹dollar› "),
-    (re.compile(r"%(?:[A-Z][A-Z_ ]+|[a-z_]{2,})%"), " ‹percent› "),
-    (re.compile(r"\b__[A-Za-z]\w*?__\b"), " ‹dunder› "),
+    (re.compile(r"\{%.*?%\}"), " ‹slot› "),
+    (re.compile(r"\{\{.*?\}\}"), " ‹slot› "),
+    (re.compile(r"<%.*?%>"), " ‹slot› "),
+    (re.compile(r"\$\{\s*\w[^}\n]*\}"), " ‹slot› "),
+    (re.compile(r"(@@|##|\$\$|~~)\w+\1"), " ‹slot› "),
+    (re.compile(r"%(?:[A-Z][A-Z_ ]+|[a-z_]{2,})%"), " ‹slot› "),
+    (re.compile(r"\b__[A-Za-z]\w*?__\b"), " ‹slot› "),
     (re.compile(r"\[[A-Z]+-0+\]"), " ‹bracket› "),
     (re.compile(r"\[[A-Z][A-Z_ ]{2,}\](?!\()"), lambda m: " ‹bracket› " + m.group()[1:-1]),
-    (re.compile(r"#[A-Z][A-Z_]{2,}\b"), " ‹hash› "),
+    (re.compile(r"#[A-Z][A-Z_]{2,}\b"), " ‹slot› "),
     (re.compile(r"</?(?:html|head|title|body|center|h[1-6]|hr|p|div|span|br|noscript|!doctype)\b[^>]*>", re.I), "\n"),
-    (re.compile(r"<[a-z][a-z]+(?:[ _-][a-z]+){0,6}>"), " ‹angle› "),
+    (re.compile(r"<[a-z][a-z]+(?:[ _-][a-z]+)*>"), " ‹slot› "),
 ]
-_QUOTED = re.compile(r"```.*?```|`[^`\n]*`|\"[^\"\n]{0,200}\"|“[^”\n]*”|«[^»\n]*»|„[^“\n]*“", re.S)
+_QUOTED = re.compile(r"```.*?```|`[^`\n]*`|\"[^\"\n]*\"|“[^”\n]*”|«[^»\n]*»|„[^“\n]*“", re.S)
 _COMMENT = re.compile(r"<!--(.*?)-->", re.S)
 _BREAK = re.compile(r"\n+|(?<=[.!?])\s+(?=\S)|\s[|·–—-]\s|\s*</?(?:html|head|title|body|center|h[1-6]|hr|p|div|br|noscript|!doctype)\b[^>]*>\s*", re.I)
 _BULLET = re.compile(r"^\s*(?:[#>*+-]+\s*)?(?:\[[ xX]\]\s*)?")
+# What a title or form line is about stands before it: [scope], scope:, scope(part):
+_SCOPE = re.compile(r"^\s*(?:\[[^\[\]\n]*\]|[\w-]+(?:\([^()\n]*\))?!?:)\s+(?=\S)")
 _TERM = re.compile(r"‹\w+›|[^\W\d_]+|\d+")
 _RUN = re.compile(r"^(.)\1{2,}$")
 
@@ -245,38 +260,61 @@ def windows(text: str) -> Iterator[list[str]]:
     for c in _COMMENT.findall(text):
         yield ["‹comment›", *terms(c)]
     for part in _BREAK.split(_COMMENT.sub(" ", text)):
-        got = terms(_BULLET.sub("", part, count=1))
+        part = _BULLET.sub("", part, count=1)
+        got = terms(part)
         if got:
             yield got
+            scope = _SCOPE.match(part)
+            if scope and (rest := terms(part[scope.end() :])):
+                yield rest
 
 
-def _exemplar_terms(line: str) -> list[str]:
+def _exemplar_terms(line: str) -> list[list[str]]:
+    """An exemplar as it is, and one that holds a placeholder also without its scope."""
     c = _COMMENT.fullmatch(line)
-    return ["‹comment›", *terms(c.group(1))] if c else terms(line)
+    if c:
+        return [["‹comment›", *terms(c.group(1))]]
+    scope = _SCOPE.match(line)
+    bare = terms(line[scope.end() :]) if scope else []
+    return [terms(line), *([bare] if any(t[0] == "‹" for t in bare) else [])]
+
+
+def weight(df: int, n: int) -> float:
+    """The weight of a term that ``df`` of ``n`` texts hold."""
+    return 0.1 - math.log(min(1.0, df / n + RARE))
 
 
 class Index:
-    """Inverted index over the exemplars, weighted by the collection's document frequencies."""
+    """Inverted index over the exemplars, weighted by the collection's document frequencies.
+
+    ``df`` holds the frequencies of the exemplars' terms and of all common ones.
+    """
 
     def __init__(self, exemplars: Sequence[str], df: dict[str, int] | None = None, n: int = 0) -> None:
-        self.sets = [frozenset(_exemplar_terms(x)) for x in exemplars]
-        self.vocabulary = frozenset().union(*self.sets)
+        pairs = [(i, frozenset(t)) for i, x in enumerate(exemplars) for t in _exemplar_terms(x)]
+        self.source = [i for i, _ in pairs]
+        self.sets = [t for _, t in pairs]
+        self.vocabulary = frozenset().union(*self.sets) if pairs else frozenset()
         df = df or {}
-        self.idf = {t: 0.1 - math.log(min(1.0, df.get(t, 0) / n + RARE)) for t in self.vocabulary} if n else {}
+        self.idf = {t: weight(df.get(t, 0), n) for t in {*self.vocabulary, *df}} if n else {}
+        self.rarest, self.least = weight(0, max(n, 1)), 0.1 - math.log(COMMON + RARE)
         self.weight = [sum(self.idf.get(t, 1.0) for t in s) for s in self.sets]
         self.postings: dict[str, list[int]] = defaultdict(list)
         for i, s in enumerate(self.sets):
             for t in s:
                 self.postings[t].append(i)
 
-    def hit(self, window: Sequence[str]) -> int | None:
-        """The exemplar that covers the window, if any."""
+    def look(self, window: Sequence[str]) -> tuple[int, float, float, list[str]] | None:
+        """``exemplar, its mass, mass of the window but for its rare terms, rare terms`` if an exemplar may cover the window."""
         own = set(window)
         known = own & self.vocabulary
         if not known:
             return None
-        whole = sum(self.idf.get(t, UNKNOWN) for t in own)
-        if sum(self.idf[t] for t in known) < COVER * whole:
+        others = own - known
+        rare = [t for t in others if t not in self.idf]
+        inside = sum(self.idf[t] for t in known)
+        whole = inside + sum(self.idf[t] for t in others if t in self.idf)
+        if inside < COVER * (whole + self.least * len(rare)):
             return None
         mass: Counter[int] = Counter()
         for t in known:
@@ -284,51 +322,70 @@ class Index:
             for i in self.postings[t]:
                 mass[i] += w
         for i, m in mass.most_common():
-            if m < COVER * whole:
+            if m < COVER * (whole + self.least * len(rare)):
                 return None
             # one ordinary word is no passage unless it is the whole exemplar
-            if m >= (0.9 if len(own) == 1 else HELD) * self.weight[i] or (m >= ENOUGH and len(own) > 1):
-                return i
+            if len(own) == 1:
+                fits = m >= 0.9 * self.weight[i]
+            else:
+                fits = m >= HELD * self.weight[i] or m >= ENOUGH or (m >= SOME and not rare and m >= WHOLE * whole)
+            if fits:
+                return self.source[i], m, whole, rare
         return None
 
+    def hit(self, window: Sequence[str]) -> int | None:
+        """The exemplar that covers the window, if any; terms of unknown frequency count as the rarest."""
+        got = self.look(window)
+        return got[0] if got and got[1] >= COVER * (got[2] + self.rarest * len(got[3])) else None
+
 
 # -------------------------------------------------------------------- operator
-def _frequencies(vocabulary: frozenset[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df: Counter[str] = Counter()
-        n = 0
-        for b in batches:
-            for texts in zip(*(b.column(i).to_pylist() for i in range(1, b.num_columns))):
-                n += 1
-                df.update({t for x in texts if x for w in windows(x) for t in w} & vocabulary)
+FLUSH = 200_000  # terms counted in a task before they are handed on
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    df: Counter[str] = Counter()
+    n = 0
+
+    def out() -> pa.RecordBatch:
         rows = [*df.items(), ("", n)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["term", "n"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["term", "n"])
+
+    for b in batches:
+        for texts in zip(*(b.column(i).to_pylist() for i in range(1, b.num_columns))):
+            n += 1
+            df.update({t for x in texts if x for w in windows(x) for t in w})
+        if len(df) > FLUSH:
+            yield out()
+            df, n = Counter(), 0
+    yield out()
 
-    return run
+
+LOOKED = "row_key bigint, field string, exemplar int, mass double, whole double, rare array<string>"
 
 
 def _judge(index: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, fields, hits = [], [], []
+            rows: list[tuple] = []
             names = b.schema.names
             columns = [b.column(i).to_pylist() for i in range(b.num_columns)]
             for at in range(1, b.num_columns):
                 for key, text in zip(columns[0], columns[at]):
-                    if not text:
-                        continue
-                    for w in windows(text):
-                        i = index.hit(w)
-                        if i is not None:
-                            keys.append(key)
-                            fields.append(names[at])
-                            hits.append(i)
+                    open_: list[tuple] = []
+                    for w in windows(text) if text else ():
+                        got = index.look(w)
+                        if not got:
+                            continue
+                        i, mass, whole, rare = got
+                        if mass >= COVER * (whole + index.rarest * len(rare)):
+                            open_ = [(key, names[at], i, mass, whole, [])]
                             break
+                        open_.append((key, names[at], i, mass, whole, rare))
+                    rows += open_
+            types = (pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(fields, pa.string()), pa.array(hits, pa.int32())],
-                ["row_key", "field", "exemplar"],
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], [x.split()[0] for x in LOOKED.split(", ")]
             )
 
     return run
@@ -338,24 +395,42 @@ def residue(
     rows: DataFrame,
     fields: Sequence[str] = ("title", "body"),
     row_key: str = "row_id",
-    exemplars: Sequence[str] = tuple(EXEMPLARS),
+    exemplars: DataFrame | Sequence[str] = tuple(EXEMPLARS),
 ) -> DataFrame:
     """``row_key, field, exemplar`` for every field that holds residue.
 
-    NULL and empty texts hold none. Only the frequencies of the exemplars' own
-    terms, whose number is fixed, reach the driver.
+    NULL and empty texts hold none. ``exemplars`` are texts, or a table with a
+    column ``text`` (labelled rows, small enough for every task). Only the
+    frequencies of their terms and of common ones reach the driver, of which a
+    text holds no more on average than it has terms.
     """
+    if isinstance(exemplars, DataFrame):
+        exemplars = [r[0] for r in exemplars.where("text is not null").select("text").distinct().orderBy("text").collect()]
     bare = Index(exemplars)
     narrow = spread(rows.select(F.col(row_key).cast("bigint").alias("row_key"), *[F.col(f).cast("string") for f in fields]))
-    counted = (
-        narrow.mapInArrow(_frequencies(bare.vocabulary), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = materialize(narrow.mapInArrow(_frequencies, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")), "terms")
+    total = counted.where("term = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] or 1
+    shared = counted.where((F.col("n") >= F.lit(COMMON * total)) | F.col("term").isin(sorted(bare.vocabulary)))
+    index = Index(exemplars, {r["term"]: r["n"] for r in shared.where("term != ''").collect()}, total)
+    looked = materialize(narrow.mapInArrow(_judge(index), LOOKED), "looked")
+    sure = looked.where("size(rare) = 0").select("row_key", "field", "exemplar")
+    # no term here is common, so none is a hot key
+    window = looked.where("size(rare) > 0").withColumn("window", F.monotonically_increasing_id())
+    weighed = (
+        materialize(window, "looked")
+        .select("*", F.explode("rare").alias("term"))
+        .join(counted, "term", "left")
+        .groupBy("window")
+        .agg(
+            *[F.first(c).alias(c) for c in ("row_key", "field", "exemplar", "mass", "whole")],
+            F.sum(F.lit(0.1) - F.log(F.least(F.lit(1.0), F.coalesce("n", F.lit(0)) / F.lit(total) + F.lit(RARE)))).alias("others"),
+        )
+        .where(F.col("mass") >= F.lit(COVER) * (F.col("whole") + F.col("others")))
     )
-    df = {r["term"]: r["n"] for r in counted.collect()}
-    index = Index(exemplars, df, df.pop("", 0) or 1)
-    return narrow.mapInArrow(_judge(index), "row_key bigint, field string, exemplar int")
+    return sure.unionByName(weighed.select("row_key", "field", "exemplar")).groupBy("row_key", "field").agg(F.min("exemplar").alias("exemplar"))
 
 
 def without_residue(rows: DataFrame, row_key: str = "row_id", **kw) -> DataFrame:
-    """``rows`` without those that hold residue in any of the fields."""
+    """``rows`` without those that hold residue in any of the fields; rows of a NULL key stay."""
     gone = residue(rows, row_key=row_key, **kw).select(F.col("row_key").alias(row_key)).distinct()
     return rows.join(gone, row_key, "left_anti")

@@ -6,6 +6,12 @@ fenced code is neither. The rest is weighed by the positive signs of spam: link
 text, separator density, and top words, n-grams and lines that keep coming
 back. A document is spam if most of its words lie in such segments.
 
+Function words of four languages are listed. Those of any other language are
+learned: the short words that a share of its documents hold, from all of them.
+A language with too few documents for that has none; there a segment must look
+like a list by its separators, links and repeats alone, as always, and in
+addition must not read like a sentence (end like one, with few separators).
+
 One pass over the texts leaves a histogram of words by function-word share for
 every document. Summed by language it calibrates where sentences begin; the
 verdict then needs the narrow features only.
@@ -43,6 +49,10 @@ FUNCTION_WORDS = frozenset(
     """.split()
 )
 
+LISTED = ("en", "de", "fr", "es", "und")  # und: documents of no known language are read in all four
+LEARN_DOCS = 30  # documents from which on a language's function words are learned
+LEARN_SHARE = 0.3  # share of its documents that must hold such a word
+SHORT = 4  # and its letters at most; scripts without spaces between words have none
 BINS = 20
 PART = 0.4  # of a language's median share, from which segments count as sentences
 MAJORITY = 0.5
@@ -50,9 +60,9 @@ WORD = re.compile(r"[^\W_]+", re.UNICODE)
 FENCE = re.compile(r"^\s*(```|~~~)")
 BREAK = re.compile(r"(?<=[.!?])\s+")
 URL = re.compile(r"(?:https?://|www\.)[^\s)\]>]+")
-LINK = re.compile(r"\[([^\]\n]{0,400})\]\([^)\s]*\)")
+LINK = re.compile(r"\[([^\[\]\n]*)\]\([^)\s]*\)")
 ANCHOR = re.compile(r"<a\s[^>]*>(.*?)</a>", re.IGNORECASE)
-TAG = re.compile(r"</?[A-Za-z][^<>]{0,400}>")
+TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 CAPITALS = re.compile(r"[^\W\d_a-z]{2}")
 SEPARATOR = re.compile(r"[|;,/#•·>]")
 
@@ -86,7 +96,10 @@ def _links(seg: str) -> tuple[list[str], list[str], str]:
     return links, [], plain
 
 
-def features(text: str) -> tuple[list[int], list[int], int]:
+SENTENCE_END = re.compile(r"[.!?。！？…][\"'”»)\]]*\s*$")
+
+
+def features(text: str, function_words: frozenset[str] | None = FUNCTION_WORDS) -> tuple[list[int], list[int], int]:
     """Words by bin of function-word share, the suspicious ones among them by bin, and all words.
 
     The bins hold words outside code; the last value counts code too. Segments
@@ -102,9 +115,13 @@ def features(text: str) -> tuple[list[int], list[int], int]:
         total += n
         if code or not n:
             continue
-        hits = sum(map(FUNCTION_WORDS.__contains__, words))
-        if hits and CAPITALS.search(plain):  # a code in capitals (DEN-204A) is no article
-            hits -= sum(len(c) > 1 and c.isupper() and c.lower() in FUNCTION_WORDS for c in WORD.findall(plain))
+        if function_words is None:  # nothing is known of the language
+            written = not links and not bare and SENTENCE_END.search(plain) and len(SEPARATOR.findall(plain)) < 0.2 * max(n, len(plain) / 6)
+            hits = n if written else 0
+        else:
+            hits = sum(map(function_words.__contains__, words))
+            if hits and CAPITALS.search(plain):  # a code in capitals (DEN-204A) is no article
+                hits -= sum(len(c) > 1 and c.isupper() and c.lower() in function_words for c in WORD.findall(plain))
         share = hits / n
         if share >= PART:
             words_at[min(BINS - 1, int(share * BINS))] += n
@@ -138,20 +155,50 @@ def features(text: str) -> tuple[list[int], list[int], int]:
 OUT = "doc_id bigint, lang string, words_at array<int>, bad_at array<int>, words bigint"
 
 
-def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pass(learned: dict[str, frozenset[str]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, langs, texts = (b.column(i).to_pylist() for i in range(3))
+            got = [features(t or "", FUNCTION_WORDS if x in LISTED else learned.get(x)) for x, t in zip(langs, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array(langs, pa.string()),
+                    pa.array([g[0] for g in got], pa.list_(pa.int32())),
+                    pa.array([g[1] for g in got], pa.list_(pa.int32())),
+                    pa.array([g[2] for g in got], pa.int64()),
+                ],
+                ["doc_id", "lang", "words_at", "bad_at", "words"],
+            )
+
+    return run
+
+
+def _short_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: Counter[tuple[str, str]] = Counter()
     for b in batches:
-        ids, langs, texts = (b.column(i).to_pylist() for i in range(3))
-        got = [features(t or "") for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids, pa.int64()),
-                pa.array(langs, pa.string()),
-                pa.array([g[0] for g in got], pa.list_(pa.int32())),
-                pa.array([g[1] for g in got], pa.list_(pa.int32())),
-                pa.array([g[2] for g in got], pa.int64()),
-            ],
-            ["doc_id", "lang", "words_at", "bad_at", "words"],
-        )
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            held[lang, ""] += 1
+            held.update((lang, w) for w in {w for w in WORD.findall((text or "").lower()) if len(w) <= SHORT and w.isalpha()})
+    rows = list(held.items())
+    columns = ([k[0] for k, _ in rows], [k[1] for k, _ in rows], [n for _, n in rows])
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+
+
+def learned_words(narrow: DataFrame) -> dict[str, frozenset[str]]:
+    """The function words of every language that is not listed and has documents enough.
+
+    A word counts if at least a share of ``LEARN_SHARE`` of the documents hold
+    it, so a language has no more of them than a document has short words, divided by that share.
+    """
+    other = narrow.where(~F.col("lang").isin(*LISTED)).select("lang", "text")
+    counted = other.mapInArrow(_short_words, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    docs = counted.where("word = ''").select("lang", F.col("n").alias("docs")).where(F.col("docs") >= LEARN_DOCS)
+    often = counted.where("word != ''").join(docs, "lang").where(F.col("n") >= F.lit(LEARN_SHARE) * F.col("docs"))
+    out: dict[str, set[str]] = {}
+    for r in often.select("lang", "word").collect():
+        out.setdefault(r["lang"], set()).add(r["word"])
+    return {k: frozenset(v) for k, v in out.items()}
 
 
 def language(c: Column | str) -> Column:
@@ -164,7 +211,7 @@ def language(c: Column | str) -> Column:
 def page_features(documents: DataFrame) -> DataFrame:
     """Per document its language and word histograms. NULL and empty texts have no words."""
     narrow = documents.select(F.col("doc_id").cast("bigint"), language("lang").alias("lang"), F.col("text"))
-    return spread(narrow).mapInArrow(_pass, OUT)
+    return spread(narrow).mapInArrow(_pass(learned_words(narrow)), OUT)
 
 
 def sentence_norms(features_: DataFrame, part: float = PART) -> DataFrame:

@@ -27,10 +27,21 @@ def test_residue(spark):
     assert residue.residue(df.limit(0), fields=("body",)).count() == 0
 
 
+def test_scope_is_no_content_and_unseen_words_weigh_what_they_are(spark):
+    texts = ["[braosta] ${change}", "feat(api): <%= title %>", "core: <insert title>", "Enable JavaScript to continue, please", "Enable JavaScript source maps in gulp"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, f"please {OWN} {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "row_id bigint, title string")
+    assert {r["row_key"] for r in residue.residue(df, fields=("title",)).collect()} == {0, 1, 2, 3}
+    own = spark.createDataFrame([("Seite im Aufbau", "failure"), (None, None)], "text string, label string")
+    df = spark.createDataFrame([(1, "Seite im Aufbau"), (2, OWN), (None, "Seite im Aufbau")], "row_id bigint, title string")
+    assert [r["row_key"] for r in residue.residue(df, fields=("title",), exemplars=own).collect() if r["row_key"]] == [1]
+    assert residue.exemplar_table(spark).groupBy("label").count().count() == 4
+
+
 def test_verdicts_do_not_depend_on_the_number_of_rows():
     lines = ["Sitzung abgelaufen Konto", "alpha beta gamma delta epsilon zeta eta theta"]
     asked = [["sitzung", "abgelaufen", "eins", "zwei"], ["alpha", "beta", "gamma", "delta"], ["sitzung", "konto"], ["alpha", "beta", "eins"]]
-    tables = [residue.Index(lines, {"alpha": n // 10, "konto": n // 4}, n) for n in (120, 12_000, 1_200_000, 120_000_000)]
+    tables = [residue.Index(lines, {"alpha": n // 10, "konto": n // 4, "eins": n // 50}, n) for n in (120, 12_000, 1_200_000, 120_000_000)]
     assert len({tuple(t.hit(w) for w in asked) for t in tables}) == 1
     assert all(t.weight == pytest.approx(tables[0].weight) for t in tables)
 
@@ -61,6 +72,31 @@ def test_pages(spark):
     assert spam.keyword_pages(df.limit(0)).count() == 0
 
 
+POLISH = "Kiedy dwa procesy chcą tego samego klucza, drugi z nich czeka na pierwszy, ale nie dłużej niż kilka sekund, i na tym się to kończy."
+ITALIAN = "Quando due processi chiedono la stessa chiave, il secondo aspetta che il primo la lasci, ma non più di qualche secondo, e poi va avanti."
+CHINESE = "当两个进程同时请求同一个键时，第二个进程会等待第一个进程，但不会超过几秒钟，然后继续执行。"
+
+
+def test_unlisted_languages(spark):
+    rnd = __import__("random").Random(2)
+    mixed = lambda t: " ".join(rnd.sample(t.split(), len(t.split())))
+    rows = [(i, mixed(POLISH) + ".", "pl") for i in range(40)] + [(100, "\n".join([POLISH] * 2), "pl"), (101, "tani serwer, " * 60, "pl")]
+    rows += [(200, ITALIAN, "it"), (201, "codice sconto | " * 60, "it"), (202, "\n".join(f"- [offerta {i}](https://x.test/{i})" for i in range(30)), "it")]
+    rows += [(300, CHINESE, "zh"), (301, "便宜 服务器, " * 60, "zh")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    words = spam.learned_words(df)
+    assert {"na", "nie", "się"} <= words["pl"] and "it" not in words
+    got = {r["doc_id"] for r in spam.keyword_pages(df).where("spam").collect()}
+    assert got == {101, 201, 202, 301}
+
+
+def test_long_constructs_are_read_whole(spark):
+    label = "cheap runner " * 100  # link texts and tags of more than a thousand characters
+    rows = [(1, "\n".join(f"[{label}](https://x.test/{i})" for i in range(5)), "en"), (2, f'<a href="//x" title="{label}">{PROSE}</a>', "en")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {r["doc_id"] for r in spam.keyword_pages(df).where("spam").collect()} == {1}
+
+
 @pytest.mark.parametrize("code, want", [("en-GB", "en"), (" DE", "de"), ("", "und"), (None, "und"), ("x", "und")])
 def test_language(spark, code, want):
     from pyspark.sql import functions as F
