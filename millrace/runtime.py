@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -56,6 +58,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if size < SMALL and len(df.inputFiles()) < slots else df
 
 
+BLOCK = 1024
+
+
+def sums_before(df: DataFrame, groups: Sequence[str], index: str, value: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of its group with a smaller ``index``.
+
+    ``index`` is a whole number, unique in its group. Sums go in two steps, over blocks of ``BLOCK`` indexes and inside
+    each, so that a task holds a block, or one row per block, but never a group.
+    """
+    block = F.floor(F.col(index) / BLOCK).cast("bigint")
+    per = df.groupBy(*groups, block.alias("_block")).agg(F.sum(value).alias("_held"))
+    whole = Window.partitionBy(*(groups or [F.lit(1)])).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = per.select(*groups, "_block", F.coalesce(F.sum("_held").over(whole), F.lit(0)).alias("_ahead"))
+    inside = Window.partitionBy(*groups, "_block").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    own = df.withColumn("_block", block).withColumn("_own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return own.join(ahead, [*groups, "_block"]).withColumn(name, F.col("_ahead") + F.col("_own")).drop("_block", "_own", "_ahead")
+
+
 def utrim(c: Column | str) -> Column:
     """Trim all Unicode white space (``trim`` strips spaces only)."""
     c = F.col(c) if isinstance(c, str) else c
