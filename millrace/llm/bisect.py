@@ -24,7 +24,7 @@ PROBES = 512
 def cutoffs(rows: DataFrame, group: str, keys: Sequence[str], quotas: DataFrame) -> DataFrame:
     """Per group of ``quotas(group, quota)`` the key of its last row to keep.
 
-    Rows count by ascending ``keys`` (numeric, not NULL, below 2**62 in size);
+    Rows count by ascending ``keys`` (numeric, not NULL);
     later keys resolve ties of earlier ones. Groups with no more rows than
     their quota, and quotas below 1, are not returned. Gives
     ``group, cut_0, cut_1, ...``, NULL where an earlier key decides alone; rows
@@ -60,6 +60,10 @@ def _bounds(key: str) -> list[Column]:
     return [F.min(key).alias("lo"), F.max(key).alias("hi")]
 
 
+def _gap(a: Column, b: Column) -> Column:
+    return F.coalesce(F.try_subtract(a, b).cast("double"), a.cast("double") - b.cast("double"))
+
+
 def _at(fixed: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k) == F.col(c) for k, c in fixed.items()], F.lit(True))
 
@@ -75,8 +79,9 @@ def _one_key(
         settled.append(state.where("lo = hi").select(group, "need", *earlier, "n", F.col("lo").alias(cut)))
         open_ = state.where("lo < hi")
         inside = rows.join(open_.drop("n"), group).where(F.col(key).between(F.col("lo"), F.col("hi")) & _at(fixed))
-        span = F.col("hi").cast("double") - F.col("lo").cast("double")
-        probe = F.floor((F.col(key) - F.col("lo")).cast("double") / span * F.lit(float(PROBES)))
+        # differences before casts: large integers lose their last digits as doubles. The
+        # lowest key has probe 0 and the highest PROBES, so every round narrows the bounds.
+        probe = F.floor(_gap(F.col(key), F.col("lo")) / _gap(F.col("hi"), F.col("lo")) * F.lit(float(PROBES)))
         counted = inside.groupBy(group, "need", *earlier, probe.alias("probe")).agg(
             F.count("*").alias("n"), *_bounds(key)
         )

@@ -53,9 +53,11 @@ def over_cap(
         total = narrow.count()
         max_rows = max(1, int(total * Fraction(share).limit_denominator(1_000_000)))
     quotas = counts.where(F.col("rows") > max_rows).select("contributor", F.lit(max_rows).cast("bigint").alias("quota"))
-    # written, so that joins know how few contributors are left
-    cuts = cutoffs(narrow, "contributor", KEYS, materialize(quotas, "cap"))
-    return narrow.join(cuts, "contributor").where(beyond(KEYS)).select("contributor", "rank_id")
+    # written, so that joins know how few contributors are left, and that rounds read only their rows
+    quotas = materialize(quotas, "cap")
+    over = materialize(narrow.join(quotas.select("contributor"), "contributor"), "cap")
+    cuts = cutoffs(over, "contributor", KEYS, quotas)
+    return over.join(cuts, "contributor").where(beyond(KEYS)).select("contributor", "rank_id")
 
 
 def cap_per_contributor(rows: DataFrame, *, row_key: str = "row_id", **kw) -> DataFrame:

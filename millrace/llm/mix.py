@@ -4,13 +4,14 @@ Every copy of a document queues at its source in a seeded random order. Its
 virtual finish time is the tokens its source has served up to and including it,
 divided by the source's weight. Serving all queues in the order of finish times
 gives every prefix of the mixture the target shares; the mixture ends where the
-time reaches the token budget.
-
-Running sums over a hot source are taken in two steps: a document's random key
-falls into one of evenly filled slices, slice totals are summed first, and only
-then are documents summed inside their slice. The global order is a range sort:
-finish times are cut into ranges of equal width, which hold about equally many
-tokens, and rows are ranked inside their range.
+next document would exceed the token budget. Sources that run out leave their
+room to the others, in proportion to their weights.
+
+How far the queues are served at all is worked out first, on one row per
+source: the time at which the budget and the largest document of each source
+would be served if tokens were a fluid. Only as many rounds of a source as that
+time needs are queued. Running sums go in steps (slices, blocks of slices), so
+no task ever holds a source or the mixture.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import token_count
-from millrace.runtime import materialize, spread
+from millrace.runtime import materialize, spread, sums_before
 
 SLICE_ROWS = 20_000
 
@@ -42,7 +43,9 @@ def _targets(targets: DataFrame) -> DataFrame:
 
 def _supply(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target its tokens and documents beside the tokens of all documents (the budget)."""
-    per = sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
+    per = sized.groupBy("source").agg(
+        F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > 0).alias("docs"), F.max("tokens").alias("longest")
+    )
     budget = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     return (
         _targets(targets)
@@ -53,30 +56,51 @@ def _supply(sized: DataFrame, targets: DataFrame) -> DataFrame:
             "max_repeats",
             F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"),
             F.coalesce("docs", F.lit(0)).alias("docs"),
+            F.coalesce("longest", F.lit(0)).alias("longest"),
             F.lit(budget).cast("bigint").alias("budget"),
         )
     )
 
 
-def _finish(sized: DataFrame, supply: DataFrame, seed: int) -> DataFrame:
-    """Every copy with its virtual finish time.
-
-    ``supply`` is broadcast: it has one row per row of the target table.
-    """
+def fluid_time(sources: list[tuple[float, int]], amount: float) -> float:
+    """When so many tokens are served by ``(weight, tokens to serve)`` sources; when all are empty, if that is sooner."""
+    time, served = 0.0, 0.0
+    order = sorted((t / w, w) for w, t in sources if w > 0 and t > 0)
+    rate = sum(w for _, w in order)
+    for empty, w in order:
+        if served + rate * (empty - time) >= amount:
+            return time + (amount - served) / rate
+        served, time, rate = served + rate * (empty - time), empty, max(rate - w, 0.0)
+    return time
+
+
+def _queues(supply: DataFrame) -> tuple[DataFrame, float, int]:
+    """Per source how many rounds are queued, the time that ends the queues, and the budget; a row per target reaches the driver."""
+    rows = [r.asDict() for r in supply.where("weight > 0 and tokens > 0").collect()]
+    budget = rows[0]["budget"] if rows else 0
+    repeats = lambda r: max(r["max_repeats"], 1)
+    end = fluid_time([(r["weight"], r["tokens"] * repeats(r)) for r in rows], budget + sum(r["longest"] for r in rows))
+    queued = [
+        (r["source"], r["weight"], r["docs"], min(repeats(r), int(r["weight"] * end // r["tokens"]) + 1)) for r in rows
+    ]
+    made = supply.sparkSession.createDataFrame(queued, "source string, weight double, docs bigint, rounds bigint")
+    return made, end, budget
+
+
+def _finish(sized: DataFrame, queues: DataFrame, seed: int) -> DataFrame:
+    """Every queued copy with its virtual finish time. ``queues`` has at most one row per target, so it is broadcast."""
     scale = F.greatest(F.lit(1), F.ceil(F.col("docs") / F.lit(SLICE_ROWS)))
     copies = (
         sized.where("tokens > 0")
-        .join(F.broadcast(supply.where("weight > 0").select("source", "weight", "max_repeats", "docs", "budget")), "source")
-        .withColumn("copy", F.explode(F.expr("sequence(1L, greatest(max_repeats, 1L))")))
+        .join(F.broadcast(queues), "source")
+        .withColumn("copy", F.explode(F.expr("sequence(1L, rounds)")))
         .withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "copy"))
-        .withColumn("slice", F.shiftrightunsigned("draw", 33) * scale / F.lit(float(1 << 31)))
-        .withColumn("slice", F.floor("slice").cast("bigint"))
-    )
-    at = ["source", "copy", "slice"]
-    up_to = Window.partitionBy("source").orderBy("copy", "slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = copies.groupBy(*at).agg(F.sum("tokens").alias("held")).select(
-        *at, F.coalesce(F.sum("held").over(up_to), F.lit(0)).alias("before")
+        .withColumn("slice", F.floor(F.shiftrightunsigned("draw", 33) * scale / F.lit(float(1 << 31))).cast("bigint"))
+        .withColumn("slice", (F.col("copy") - 1) * scale.cast("bigint") + F.col("slice"))
     )
+    at = ["source", "slice"]
+    held = copies.groupBy(*at).agg(F.sum("tokens").alias("held"))
+    before = sums_before(held, ["source"], "slice", "held", "before").select(*at, "before")
     inside = Window.partitionBy(*at).orderBy(F.shiftleft("draw", 31), "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -84,7 +108,7 @@ def _finish(sized: DataFrame, supply: DataFrame, seed: int) -> DataFrame:
     return (
         copies.withColumn("within", F.sum("tokens").over(inside))
         .join(before, at)
-        .select("source", "doc_id", "copy", "tokens", "budget", (served / F.col("weight")).alias("finish"))
+        .select("source", "doc_id", "copy", "tokens", (served / F.col("weight")).alias("finish"))
     )
 
 
@@ -92,29 +116,29 @@ def mixture(documents: DataFrame, targets: DataFrame, seed: int = 11) -> DataFra
     """The mixture: ``source, doc_id, copy, tokens, finish, position``.
 
     The budget is the number of tokens of all documents, those of NULL and
-    unlisted sources included; a source never serves more than its weight of
-    it, and a document at most ``max_repeats`` times (every copy of a source
-    once before any comes again). Texts without tokens and documents of other
-    sources are not mixed. ``position`` numbers the mixture from 1 in the
-    order of finish times, ties by source, document and copy.
+    unlisted sources included, and is never exceeded. A document comes at most
+    ``max_repeats`` times (every copy of a source once before any comes
+    again). Texts without tokens and documents of other sources are not mixed.
+    ``position`` numbers the mixture from 1 in the order of finish times, ties
+    by source, document and copy.
     """
     return _mixture(materialize(_sized(documents), "mix"), targets, seed)
 
 
 def _mixture(sized: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
-    queued = _finish(sized, _supply(sized, targets), seed).where("finish <= budget")
-    queued = materialize(queued, "mix")
+    queues, end, budget = _queues(_supply(sized, targets))
+    queued = materialize(_finish(sized, queues, seed).where(F.col("finish") <= F.lit(end)), "mix")
     ranges = max(1, -(-queued.count() // SLICE_ROWS))
-    at = F.least(F.floor(F.col("finish") / F.col("budget") * F.lit(ranges)), F.lit(ranges - 1)).cast("bigint")
+    at = F.least(F.floor(F.col("finish") / F.lit(end or 1.0) * F.lit(ranges)), F.lit(ranges - 1)).cast("bigint")
     ranged = queued.withColumn("range", at)
-    ahead = Window.partitionBy(F.lit(1)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranged.groupBy("range").agg(F.count("*").alias("held")).select(
-        "range", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("start")
-    )
+    held = ranged.groupBy("range").agg(F.count("*").alias("n"), F.sum("tokens").alias("held"))
+    starts = sums_before(sums_before(held, [], "range", "n", "start"), [], "range", "held", "spent")
     inside = Window.partitionBy("range").orderBy("finish", "source", "doc_id", "copy")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranged.withColumn("rn", F.row_number().over(inside))
-        .join(starts, "range")
+        ranged.withColumns({"rn": F.row_number().over(inside), "within": F.sum("tokens").over(upto)})
+        .join(starts.select("range", "start", "spent"), "range")
+        .where(F.col("spent") + F.col("within") <= F.lit(budget))
         .select("source", "doc_id", "copy", "tokens", "finish", (F.col("start") + F.col("rn")).alias("position"))
     )
 

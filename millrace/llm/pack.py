@@ -5,14 +5,15 @@ decreasing, and dual feasible functions give a lower bound on the containers
 any packing of it needs. Where both agree the partition is certified optimal
 and settled. Partitions with a gap keep their full containers, put the
 documents of the others into a common pool, and the pool is dealt anew and
-packed again; the last round settles what is left.
+packed again, until it is one partition or hardly shrinks any more; that round
+settles what is left.
 
 Only identifiers and token counts are packed, never texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from millrace.llm.tokens import token_count
 from millrace.runtime import materialize, spread
 
 ITEMS = 20_000  # documents of one partition and profile
-ROUNDS = 3
+STABLE = 0.9  # a pool that keeps more than this share of its items has stopped to shrink
 FULL = 0.995  # a container this full is kept when its partition has a gap
 
 
@@ -42,12 +43,13 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
         exact = scaled % capacity == 0
         twice = np.where(exact, values * k, (scaled // capacity) * capacity)  # u(k) * k * capacity
         best = max(best, -(-int((twice * counts).sum()) // (k * capacity)))
-    for t in np.unique(values[values * 2 <= capacity])[:: max(1, capacity // 512)]:
-        over = values > capacity - t
-        small = (values < t) & ~over
-        mid = ~over & ~small
-        mass = capacity * int(counts[over].sum()) + int((values * counts)[mid].sum())
-        best = max(best, -(-mass // capacity))
+    thresholds = values[values * 2 <= capacity]
+    if len(thresholds):
+        counted, massed = np.concatenate(([0], np.cumsum(counts))), np.concatenate(([0], np.cumsum(values * counts)))
+        over = np.searchsorted(values, capacity - thresholds, "right")  # from here on items count whole
+        small = np.searchsorted(values, thresholds)  # up to here they do not count
+        mass = capacity * (counted[-1] - counted[over]) + massed[over] - massed[small]
+        best = max(best, -(-int(mass.max()) // capacity))
     return best
 
 
@@ -124,16 +126,20 @@ def pack(documents: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     pool = materialize(_items(documents, profiles), "pack")
     settled: list[DataFrame] = []
-    for r in range(ROUNDS):
+    before = float("inf")
+    for r in itertools.count():
         n = pool.count()
         if not n:
             break
         parts = max(1, -(-n // ITEMS))
+        last = parts == 1 or n > STABLE * before
         dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(r), "doc_id", "piece"), F.lit(parts)))
-        packed = materialize(dealt.groupBy("profile", "part").applyInPandas(_pack_group(r + 1 == ROUNDS), OUT), "pack")
+        packed = materialize(dealt.groupBy("profile", "part").applyInPandas(_pack_group(last), OUT), "pack")
         name = F.concat_ws("-", "profile", F.lit(r).cast("string"), F.col("part").cast("string"), F.col("box").cast("string"))
         settled.append(packed.where("box >= 0").withColumn("container", name))
-        pool = packed.where("box < 0").select(pool.columns)
+        if last:
+            break
+        before, pool = n, packed.where("box < 0").select(pool.columns)
     cols = ["profile", "doc_id", "piece", "n_pieces", "tokens", "container", "certified"]
     if not settled:
         return pool.withColumns({"container": F.lit(""), "certified": F.lit(True)}).select(cols)
@@ -162,15 +168,3 @@ def fill_report(documents: DataFrame, profiles: DataFrame) -> DataFrame:
             F.ceil(F.col("tokens") / F.col("capacity")).alias("least_containers"),
         )
     )
-
-
-def chunks(text: str, capacity: int) -> Iterator[str]:  # pragma: no cover - convenience for callers
-    """The pieces of a text of more than ``capacity`` tokens, white space kept."""
-    import regex
-
-    ends = [m.end() for m in regex.finditer(r"\w+|[^\w\s]+", text)]
-    start = 0
-    for at in range(capacity, len(ends) + capacity, capacity):
-        stop = len(text) if at >= len(ends) else ends[at - 1]
-        yield text[start:stop]
-        start = stop

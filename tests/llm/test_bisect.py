@@ -60,3 +60,11 @@ def test_equal_rows_share_a_fate(spark):
     assert [tuple(r) for r in cuts.collect()] == [("g", 5, 5)]
     assert df.join(cuts, "g").where(bisect.beyond(["a", "b"])).count() == 0
     assert bisect.cutoffs(df, "g", ["a"], q.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("first, step", [(1 << 61, 1), (-(1 << 63), (1 << 57)), ((1 << 63) - 101, 1)])
+def test_large_keys(spark, first, step):
+    rows = [(first + i * step, "a/b", 7, 0.5, "c", "r") for i in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["rank_id"] for r in cap.over_cap(df, max_rows=40).collect()}
+    assert got == {first + i * step for i in range(40, 100)}
