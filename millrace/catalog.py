@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import integrity, jsonx, paths, text
-from millrace.operators import dedup, reports, selection, state, tasks
+from millrace.operators import dedup, reports, rules, selection, state, tasks
 from millrace.plans import dataset
 from millrace.runtime import fold, table
 from millrace.sources import events as ev
@@ -50,7 +50,8 @@ _MESSAGES = r"""
 
 @query(f"SELECT event_no, repository, pull_number FROM ({_MESSAGES}) WHERE copies > 1")
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.message_counts(table(spark, d, "gharchive_events")).where("copies > 1").drop("copies")
+    kept = dedup.kept_messages(table(spark, d, "gharchive_events"))
+    return kept.where("copies > 1").select("event_no", "repository", "pull_number")
 
 
 @query(_MESSAGES)
@@ -68,6 +69,20 @@ def p1_kept_counts(spark: SparkSession, d: str) -> DataFrame:
     return kept.agg(F.count("*").alias("rows"), F.count(dedup.event_number("id")).alias("messages"))
 
 
+@query(r"""
+    SELECT TRY_CAST(regexp_extract(id, '([0-9]+)', 1) AS BIGINT) AS event_no,
+           lower(regexp_replace(repository, '^\s+|\s+$', '', 'g')) AS repository, pull_number, count(*) AS copies,
+           min(ingested_at) AT TIME ZONE 'UTC' AS ingested_at,
+           arg_min(batch_id, struct_pack(a := ingested_at IS NULL, b := ingested_at, c := batch_id IS NULL, d := batch_id)) AS batch_id
+    FROM gharchive_events WHERE TRY_CAST(regexp_extract(id, '([0-9]+)', 1) AS BIGINT) IS NOT NULL
+    GROUP BY ALL
+""")
+def p1_first(spark: SparkSession, d: str) -> DataFrame:
+    """The delivery that is kept of each message is its first."""
+    kept = dedup.kept_messages(table(spark, d, "gharchive_events"))
+    return kept.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
 @query()
 def p1_kept(spark: SparkSession, d: str) -> DataFrame:
     return dedup.keep_one(table(spark, d, "gharchive_events"))
@@ -118,27 +133,34 @@ def event_normalize(spark: SparkSession, d: str) -> DataFrame:
     return ev.from_payload(table(spark, d, "gharchive_events"))
 
 
-_LINES = """('{"type": "A", "id": 7, "repo": {"name": "o/r"}}'), ('{"type": "B"'), ('{"type": "C"} x'), ('not json'),
+_LINES = r"""('{"type": "A", "id": 7, "repo": {"name": "o/r"}, "created_at": "2025-01-02T03:04:05Z"}'), ('{"type": "B"'), ('{"type": "C"} x'), ('not json'),
     ('{"id": "9"}'), ('{"type": "D", "org": null, "payload": {"action": "closed", "pull_request": {"merged": true, "number": 4}}}'),
-    ('{"type": "E", "payload": {"issue": {"number": 12, "title": "T"}, "repository": {"watchers_count": 99999999999}}}')"""
+    ('{"type": "E", "payload": {"issue": {"number": 12, "title": "T"}, "repository": {"watchers_count": 99999999999}}}'),
+    ('{"type": "F", "payload": {"pull_request": {"body": "if (x) {} {y}", "base": {"sha": "b1"}, "merge_commit_sha": "m1", "head": {"repo": {"language": "Go"}}}}}'),
+    ('{"type": "G", "actor": {"login": "x}y"}, "payload": {"issue": {"number": 3, "body": "} ] ,{"}}}'), ('{"type": "H"},{"type": "I"}'), ('{"type": "J"}}')"""
+_PR, _IS = "$.payload.pull_request", "$.payload.issue"
 
 
 @query(f"""
-    SELECT e ->> '$.type' AS event_type, coalesce(e ->> '$.repo.name', 'unknown/repo') AS repository,
+    SELECT e ->> '$.id' AS id, e ->> '$.type' AS event_type, coalesce(e ->> '$.repo.name', 'unknown/repo') AS repository,
            coalesce(e ->> '$.actor.login', 'unknown') AS actor,
-           CASE WHEN e ->> '$.payload.action' = 'closed' AND coalesce(CAST(e ->> '$.payload.pull_request.merged' AS BOOLEAN), false)
+           CASE WHEN e ->> '$.payload.action' = 'closed' AND coalesce(CAST(e ->> '{_PR}.merged' AS BOOLEAN), false)
                 THEN 'merged' ELSE coalesce(e ->> '$.payload.action', 'unknown') END AS action,
-           coalesce(CAST(e ->> '$.payload.pull_request.number' AS BIGINT), CAST(e ->> '$.payload.issue.number' AS BIGINT), 0) AS pull_number,
-           coalesce(e ->> '$.payload.pull_request.title', e ->> '$.payload.issue.title', 'Untitled change') AS title,
+           coalesce(CAST(e ->> '{_PR}.number' AS BIGINT), CAST(e ->> '{_IS}.number' AS BIGINT), 0) AS pull_number,
+           CAST(e ->> '{_IS}.number' AS BIGINT) AS issue_number,
+           coalesce(e ->> '{_PR}.base.sha', '') AS base_sha, coalesce(e ->> '{_PR}.merge_commit_sha', '') AS merge_sha,
+           coalesce(e ->> '{_PR}.title', e ->> '{_IS}.title', 'Untitled change') AS title,
+           coalesce(e ->> '{_PR}.body', e ->> '{_IS}.body', '') AS body, lower(e ->> '{_PR}.head.repo.language') AS language_hint,
            CASE WHEN CAST(e ->> '$.payload.repository.watchers_count' AS BIGINT) BETWEEN 0 AND 4294967295
                 THEN CAST(e ->> '$.payload.repository.watchers_count' AS BIGINT) ELSE 0 END AS stars,
-           list_contains(json_keys(e), 'org') AS has_org
+           list_contains(json_keys(e), 'org') AS has_org,
+           CAST(replace(replace(e ->> '$.created_at', 'T', ' '), 'Z', '') AS TIMESTAMP) AS created_at
     FROM (SELECT CASE WHEN json_valid(v) THEN CAST(v AS JSON) END AS e FROM (VALUES {_LINES}) t(v))
     WHERE e ->> '$.type' IS NOT NULL
 """)
 def dump_lines(spark: SparkSession, d: str) -> DataFrame:
-    events = ev.normalize_lines(values(spark, _LINES, "value"))
-    return events.select("event_type", "repository", "actor", "action", "pull_number", "title", "stars", "has_org")
+    events = ev.normalize_lines(values(spark, _LINES.replace("\\", "\\\\"), "value"))
+    return events.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
 _SEARCHES = "(20, 'rust', DATE '2025-01-05', 250), (0, CAST(NULL AS VARCHAR(9)), CAST(NULL AS DATE), 30), (5, 'go', CAST(NULL AS DATE), 100)"
@@ -222,11 +244,7 @@ _BOT = "(actor LIKE '%[bot]%' OR actor = 'dependabot')"
     WHERE lower(action) = 'merged' AND pull_number <> 0 AND NOT {_BOT} AND has_org
 """)
 def prefilter_chain(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "gharchive_events")
-    bot = F.col("actor").contains("[bot]") | (F.col("actor") == "dependabot")
-    return e.where((F.lower("action") == "merged") & (F.col("pull_number") != 0) & ~bot & F.col("has_org")).select(
-        "id", "repository", "pull_number"
-    )
+    return rules.candidates(table(spark, d, "gharchive_events")).select("id", "repository", "pull_number")
 
 
 @query("""
@@ -234,10 +252,7 @@ def prefilter_chain(spark: SparkSession, d: str) -> DataFrame:
     WHERE title <> 'Untitled change' AND merge_sha <> '' AND files_changed > 0 AND (added_lines > 0 OR removed_lines > 0)
 """)
 def changed_code(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "enriched_prs")
-    return e.where(
-        "title != 'Untitled change' and merge_sha != '' and files_changed > 0 and (added_lines > 0 or removed_lines > 0)"
-    ).select("repository", "number")
+    return rules.with_code_changes(table(spark, d, "enriched_prs")).select("repository", "number")
 
 
 _BASE = "regexp_extract(lower(f), '([^/]*)$', 1)"
@@ -614,20 +629,19 @@ def shard_assign(spark: SparkSession, d: str) -> DataFrame:
     return selection.number_shards(table(spark, d, "dataset_rows").select("instance_id"), 50, ["instance_id"])
 
 
-@query("""
-    SELECT row_id, list_extract(['a', 'b', 'c'], (row_number() OVER (PARTITION BY lower(trim(repo)) ORDER BY pr_number, row_id) - 1) % 3 + 1) AS model FROM pr_cache
-""")
+@query("SELECT row_id, list_extract(['a', 'b', 'c'], (row_number() OVER (ORDER BY pr_number, row_id) - 1) % 3 + 1) AS model FROM pr_cache WHERE pr_number IS NOT NULL")
 def route_round_robin(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("r"), "pr_number")
-    return selection.round_robin(rows, ["a", "b", "c"], ["pr_number", "row_id"], "r").select("row_id", "model")
+    rows = table(spark, d, "pr_cache").where("pr_number is not null").select("row_id", "pr_number")
+    return selection.round_robin(rows, ["a", "b", "c"], ["pr_number", "row_id"]).select("row_id", "model")
 
 
 @query("""
-    SELECT row_id, CASE WHEN (row_number() OVER (PARTITION BY lower(trim(repo)) ORDER BY pr_number, row_id) - 1) % 100 < 30 THEN 'treatment' ELSE 'control' END AS arm FROM pr_cache
+    SELECT row_id, CASE WHEN (row_number() OVER (PARTITION BY lower(trim(repo)) ORDER BY pr_number, row_id) - 1) % 100 < 30 THEN 'treatment' ELSE 'control' END AS arm
+    FROM pr_cache WHERE pr_number IS NOT NULL
 """)
 def route_ab(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "pr_cache").select("row_id", fold("repo").alias("r"), "pr_number")
-    return selection.ab_arm(rows, 0.3, ["pr_number", "row_id"], "r").select("row_id", "arm")
+    rows = table(spark, d, "pr_cache").where("pr_number is not null").select("row_id", fold("repo").alias("r"), "pr_number")
+    return selection.ab_arm(rows, 0.3, ["pr_number", "row_id"], ["r"]).select("row_id", "arm")
 
 
 @query("SELECT doc_id, row_number() OVER (PARTITION BY coalesce(sha256(text), '') ORDER BY doc_id) > 1 AS hit FROM documents")
@@ -815,28 +829,40 @@ def mark_exported(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------- export
 @query("""
-    SELECT id AS instance_id, repo, nullif(test_patch, '') AS test_patch, nullif(original_pr_body, '') AS hints_text,
-           nullif(meta['version'], '') AS version, to_json(fail_to_pass)::VARCHAR AS fail_to_pass,
+    SELECT id AS instance_id, repo, base_commit, patch, nullif(test_patch, '') AS test_patch, prompt AS problem_statement,
+           nullif(original_pr_body, '') AS hints_text, strftime(created_at AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS created_at,
+           nullif(meta['version'], '') AS version, to_json(fail_to_pass)::VARCHAR AS fail_to_pass, to_json(pass_to_pass)::VARCHAR AS pass_to_pass,
+           nullif(meta['environment_setup_commit'], '') AS environment_setup_commit, language,
            coalesce(meta['difficulty'], CASE WHEN difficulty_score <= 1 THEN 'easy' WHEN difficulty_score = 2 THEN 'medium' ELSE 'hard' END) AS difficulty,
-           quality_score
+           difficulty_score, CASE WHEN NOT isnan(quality_score) THEN quality_score END AS quality_score
     FROM swe_tasks
 """)
 def export_projection(spark: SparkSession, d: str) -> DataFrame:
-    out = dataset.export_projection(table(spark, d, "swe_tasks"))
-    return out.select("instance_id", "repo", "test_patch", "hints_text", "version", "fail_to_pass", "difficulty", "quality_score")
+    return dataset.export_projection(table(spark, d, "swe_tasks"))
 
 
 @query("""
-    SELECT id AS task_id, unnest(['prompt.md', 'original_pr.md', 'checks.txt']) AS path,
-           unnest([strlen(prompt), strlen(original_pr_body), CASE WHEN len(fail_to_pass) > 0 THEN strlen(array_to_string(list_concat(fail_to_pass, coalesce(pass_to_pass, [])), chr(10))) END]) AS bytes
-    FROM swe_tasks QUALIFY bytes IS NOT NULL
-""".replace(" QUALIFY bytes IS NOT NULL", ""))
+    WITH t AS (SELECT id, '# ' || id || chr(10) || chr(10) || coalesce(prompt, '') || chr(10) AS p,
+                      CASE WHEN coalesce(original_pr_body, '') <> '' THEN '# ' || id || ' (original PR)' || chr(10) || chr(10) || original_pr_body || chr(10) END AS o,
+                      CASE WHEN len(fail_to_pass) > 0 THEN array_to_string(list_concat(fail_to_pass, coalesce(pass_to_pass, [])), chr(10)) END AS c,
+                      fail_to_pass AS f, pass_to_pass AS g, from_json(meta['test_files'], '[{"path":"VARCHAR","content":"VARCHAR"}]') AS tests
+               FROM swe_tasks),
+         files AS (
+            SELECT id, 'prompt.md' AS path, p AS content FROM t
+            UNION ALL SELECT id, 'original_pr.md', o FROM t WHERE o IS NOT NULL
+            UNION ALL SELECT id, 'checks.txt', c FROM t WHERE c IS NOT NULL
+            UNION ALL SELECT id, 'tests/fail_to_pass_' || i || '.sh', '#!/bin/bash' || chr(10) || '# This test must FAIL on base commit, PASS after fix' || chr(10) || f[i] || chr(10)
+                      FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM t)
+            UNION ALL SELECT id, 'tests/pass_to_pass_' || i || '.sh', '#!/bin/bash' || chr(10) || '# This test must PASS on base commit AND after fix' || chr(10) || g[i] || chr(10)
+                      FROM (SELECT *, unnest(range(1, len(g) + 1)) AS i FROM t)
+            UNION ALL SELECT id, 'tests/' || CASE WHEN row_number() OVER (PARTITION BY id, b ORDER BY i) = 1 THEN b ELSE (i - 1) || '_' || b END, content
+                      FROM (SELECT id, i, regexp_extract(tests[i].path, '([^/]*)$', 1) AS b, tests[i].content AS content
+                            FROM (SELECT *, unnest(range(1, len(tests) + 1)) AS i FROM t)))
+    SELECT id AS task_id, path, md5(content) AS digest FROM files WHERE content IS NOT NULL
+""")
 def task_files(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "swe_tasks")
-    names = F.explode(F.array(*[F.lit(n) for n in ("prompt.md", "original_pr.md", "checks.txt")])).alias("path")
-    made = dataset.task_files(t).select("task_id", "path", F.octet_length("content").cast("bigint").alias("bytes"))
-    every = t.select(F.col("id").alias("task_id"), names)
-    return every.join(made, ["task_id", "path"], "left")
+    made = dataset.task_files(table(spark, d, "swe_tasks")).where("path != 'workspace.yaml'")
+    return made.select("task_id", "path", F.md5(F.encode("content", "UTF-8")).alias("digest"))
 
 
 @query("SELECT '{\"repo\":\"' || repo || '\",\"pr\":' || regexp_extract(id, '([0-9]+)$', 1) || '}' AS value FROM swe_tasks")
@@ -856,9 +882,13 @@ def basename_dedup(spark: SparkSession, d: str) -> DataFrame:
     return selection.dedupe_basenames(f).select("repository", "number", "pos", "name")
 
 
-@query("SELECT count(*) AS total, CAST(ceil(count(*) / 50.0) AS BIGINT) AS shards FROM dataset_rows")
+@query("""
+    SELECT sum(n) AS total, CAST(ceil(sum(n) / 50.0) AS BIGINT) AS shards, string_agg(k || '=' || n, ',' ORDER BY k) AS by_difficulty
+    FROM (SELECT coalesce(difficulty, 'unknown') AS k, count(*) AS n FROM dataset_rows GROUP BY 1)
+""")
 def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
-    return dataset.summary(table(spark, d, "dataset_rows")).select("total", "shards")
+    levels = F.transform(F.map_entries("by_difficulty"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return dataset.summary(table(spark, d, "dataset_rows")).withColumn("by_difficulty", F.array_join(F.array_sort(levels), ","))
 
 
 @query("""
@@ -898,8 +928,7 @@ _TESTS = (
     "('import x\nassert 1\nassert 2\nopen(p).read()'), ('assert \"a\" in source'), ('import a\nexpect(x)\nexpect(y)\nexpect(z)\nreadFile(p)'),"
     " ('assert open(f).read()'), ('no assertion readFile(x)')"
 )
-_WAYS = [r"open\([^)]*\)\.read", r"Path\([^)]*\)\.read_text", r"\.read\(\)[^;]*assert.*\bin\b", r"readFileSync\(", r"readFile\(",
-         r"assert.*\bin\s+(?:source|content|text|code|file_content|src|contents)", r"\.(?:includes|contains)\([''\"]"]
+_WAYS = [p.replace("'", "''") for p in tasks.SOURCE_READING]
 
 
 @query(

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.running import running_sum
+
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0 or NULL."""
@@ -128,12 +131,29 @@ def process_validation(
 
 
 def running_total(rows: DataFrame, by: Column, order: Sequence[str], value: Column, limit: float | int) -> DataFrame:
-    """``spent`` up to and including each row of its period, and whether the limit is reached."""
-    w = Window.partitionBy("period").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.withColumn("period", by).withColumn("spent", F.sum(value).over(w))
+    """``spent`` up to and including each row of its period, and whether the limit is reached. A period may hold any number of rows."""
+    out = running_sum(rows.withColumn("period", by), ["period"], order, value, "spent")
     return out.withColumn("over", F.col("spent") >= limit)
 
 
+def spending(rows: DataFrame, at: Column, value: Column, limits: Mapping[str, float | int]) -> DataFrame:
+    """``period, start, spent, remaining, over`` per day and month of ``limits`` (keys ``day`` and ``month``)."""
+    parts = [
+        rows.groupBy(F.date_trunc(kind, at).cast("date").alias("start")).agg(F.coalesce(F.sum(value), F.lit(0)).alias("spent")).select(
+            F.lit(kind).alias("period"), "start", "spent",
+            F.greatest(F.lit(limit) - F.col("spent"), F.lit(0)).alias("remaining"), (F.col("spent") >= limit).alias("over"),
+        )
+        for kind, limit in limits.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def counters(rows: DataFrame, counts: Mapping[str, Column], sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row with a count per condition and a mean per value; NULL conditions do not count, a mean of nothing is 0."""
+    means = [F.coalesce(F.avg(c), F.lit(0.0)).alias(k) for k, c in (sums or {}).items()]
+    return rows.agg(F.count("*").alias("total"), *[F.count_if(c).alias(k) for k, c in counts.items()], *means)
+
+
 def success_by_level(results: DataFrame, levels: Sequence[str], level: Column, success: Column, ms: Column) -> DataFrame:
     """``level, n, success_rate, mean_ms`` per level; unknown levels count as the middle one."""
     known = F.when(level.isin(list(levels)), level).otherwise(levels[len(levels) // 2])

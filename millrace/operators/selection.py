@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.running import row_numbers
+
 LEVELS = ("easy", "medium", "hard")
 
 
@@ -61,35 +63,23 @@ def seeded_sample(rows: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
 
 
 def number_shards(rows: DataFrame, size: int, order: Sequence[str]) -> DataFrame:
-    """``shard`` (from 0) of every row, ``size`` rows each in the given order.
+    """``shard`` (from 0) of every row, ``size`` rows each in the given order; no task ever sorts the whole table."""
+    placed = row_numbers(rows, [], order, "_rn")
+    return placed.withColumn("shard", F.floor((F.col("_rn") - 1) / size).cast("bigint")).drop("_rn")
 
-    Ranks are taken inside ranges of the first order column and offset by the
-    rows before the range, so no task ever sorts the whole table.
-    """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    ahead = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
-    w = Window.partitionBy("_part").orderBy(*order)
-    placed = ranged.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(starts), "_part")
-    at = F.floor((F.col("_start") + F.col("_rn") - 1) / size).cast("bigint")
-    return placed.withColumn("shard", at).drop("_part", "_start", "_rn")
-
-
-def round_robin(rows: DataFrame, names: Sequence[str], order: Sequence[str], by: str) -> DataFrame:
-    """``model`` of each row: the n-th of a group goes to name n mod k."""
-    w = Window.partitionBy(by).orderBy(*order)
-    pick = F.element_at(F.array(*[F.lit(n) for n in names]), ((F.row_number().over(w) - 1) % len(names) + 1).cast("int"))
-    return rows.withColumn("model", pick)
-
-
-def ab_arm(rows: DataFrame, ratio: float, order: Sequence[str], by: str) -> DataFrame:
-    """``arm``: treatment for the first ``floor(100 * ratio)`` of every hundred rows of a group."""
-    w = Window.partitionBy(by).orderBy(*order)
-    n = (F.row_number().over(w) - 1) % 100
-    return rows.withColumn("arm", F.when(n < int(ratio * 100), "treatment").otherwise("control"))
+
+def round_robin(rows: DataFrame, names: Sequence[str], order: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``model`` of each row: the n-th of all rows, or of each group, goes to name n mod k."""
+    numbered = row_numbers(rows, by, order, "_rn")
+    pick = F.element_at(F.array(*[F.lit(n) for n in names]), ((F.col("_rn") - 1) % len(names) + 1).cast("int"))
+    return numbered.withColumn("model", pick).drop("_rn")
+
+
+def ab_arm(rows: DataFrame, ratio: float, order: Sequence[str], by: Sequence[str] = (), *, registered: bool = True) -> DataFrame:
+    """``arm``: treatment for the first ``floor(100 * ratio)`` of every hundred rows, of all or of a group; control if the treatment is not registered."""
+    n = (F.col("_rn") - 1) % 100
+    arm = F.when((n < int(ratio * 100)) & F.lit(registered), "treatment").otherwise("control")
+    return row_numbers(rows, by, order, "_rn").withColumn("arm", arm).drop("_rn")
 
 
 def dedupe_basenames(paths: DataFrame, task: str = "task_id", pos: str = "pos", path: str = "path") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -83,6 +83,10 @@ def status_histogram(state: DataFrame, statuses: Sequence[str]) -> DataFrame:
 
 
 def first_seen(rows: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
-    """``rows`` with ``hit``: whether an earlier row has the same key."""
-    w = Window.partitionBy("_key").orderBy(*order)
-    return rows.withColumn("_key", key).withColumn("hit", F.row_number().over(w) > 1).drop("_key")
+    """``rows`` with ``hit``: whether an earlier row has the same key; ``order`` tells rows of a key apart.
+
+    The first row of each key is found before the shuffle, so a hot key is never gathered.
+    """
+    keyed = rows.withColumns({"_key": F.coalesce(key.cast("string"), F.lit("")), "_at": F.struct(*order)})
+    first = keyed.groupBy("_key").agg(F.min("_at").alias("_first"))
+    return keyed.join(first, "_key").withColumn("hit", F.col("_at") > F.col("_first")).drop("_key", "_at", "_first")

@@ -16,46 +16,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, as the session resolves it, and the path in its form."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the session uses."""
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
+def listing(spark: SparkSession, path: str) -> list[str]:
+    """The full paths right below a folder, by name; none if it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, so that executors reach what the driver means."""
+    fs, p = _hadoop(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session leaves it unset (tests on one machine) a temporary
-    folder takes its place.
+    Only where the session leaves it unset and runs in one process (tests) a
+    temporary folder takes its place; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_RUN = f"millrace-{uuid.uuid4().hex}"  # the folder of this process inside the shared one
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     A written table survives the loss of any executor, is columnar and
-    compressed, and gives later joins true sizes to plan with.
+    compressed, and gives later joins true sizes to plan with. It lives until
+    :func:`release`, as results are read lazily.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{_RUN}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-SMALL = 128 << 20
+def release(spark: SparkSession) -> None:
+    """Delete everything this process has materialised; results that still read it must be written first."""
+    fs, p = _hadoop(spark, f"{shared_dir(spark)}/{_RUN}")
+    fs.delete(p, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table to all task slots before a pass that is bound by CPU.
+    """Deal a scan that has fewer tasks than there are slots to all of them, before a pass that is bound by CPU.
 
-    A table of a few small files is read by as few tasks. Larger inputs have
-    tasks enough and are never shuffled for this.
+    A table of a few files that do not split is read by as few tasks. Scans with tasks enough stay as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:  # a remote session does not tell
-        return df
-    return df.repartition(slots) if size < SMALL and len(df.inputFiles()) < slots else df
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 BLOCK = 1024

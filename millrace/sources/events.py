@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.runtime import exists
+
 
 def hour_key(ts: Column) -> Column:
     """``yyyy-MM-dd-H``, the hour without padding."""
@@ -37,10 +39,30 @@ def read_dumps(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return lines.repartition(max(len(paths), spark.sparkContext.defaultParallelism))
 
 
+def read_hours(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Events of the hours ``root/key.json.gz`` that there are; it is an error if none of them has a line."""
+    paths = [f"{root.rstrip('/')}/{k}.json.gz" for k in keys]
+    lines = read_dumps(spark, [p for p in paths if exists(spark, p)]) if any(exists(spark, p) for p in paths) else None
+    if lines is None or lines.isEmpty():
+        raise ValueError(f"no events in {len(paths)} hours")
+    return normalize_lines(lines)
+
+
+def _wrapped(line: Column, before: str, after: str) -> Column:
+    return F.try_parse_json(F.concat(F.lit(before), line, F.lit(after)))
+
+
 def valid_object(line: Column) -> Column:
-    """Whether a line is one whole JSON object. The lenient parser alone would accept text behind it."""
-    shape = F.trim(line)
-    return F.try_parse_json(line).isNotNull() & shape.startswith("{") & shape.endswith("}") & ~shape.rlike(r"\}\s*[^\s,\]}]+\s*\}?$|\}\s*\{")
+    """Whether a line is one whole JSON object.
+
+    The lenient parser stops behind the first value, so the line must parse
+    inside a list, as its only item, and inside an object: whatever is behind
+    it would end one of the two too early, but never both.
+    """
+    items = F.try_variant_get(_wrapped(line, "[", "]"), "$", "array<variant>")
+    return F.coalesce(
+        F.trim(line).startswith("{") & (F.size(items) == 1) & _wrapped(line, '{"v":', "}").isNotNull(), F.lit(False)
+    )
 
 
 def _get(v: Column, path: str, kind: str) -> Column:
@@ -120,6 +142,51 @@ def search_query(config: DataFrame) -> DataFrame:
     )
 
 
+def search_pages(config: DataFrame, per_page: int = 100) -> DataFrame:
+    """The pages of each search: its columns, ``page`` from 1 and ``per_page``, at most as many rows as are wanted."""
+    size = F.least("max_results", F.lit(per_page))
+    pages = F.sequence(F.lit(1), F.greatest(F.ceil(F.col("max_results") / size).cast("int"), F.lit(1)))
+    return config.where("max_results > 0").select("*", F.explode(pages).alias("page"), size.cast("int").alias("per_page"))
+
+
+def kept_pages(fetched: DataFrame, key: str = "search_id") -> DataFrame:
+    """Of fetched pages ``(key, page, status, items)`` those before a search's first empty or refused one.
+
+    Pages may be fetched at the same time; what lies behind the end is dropped.
+    """
+    ends = (F.coalesce(F.col("items"), F.lit(0)) == 0) | F.col("status").isin(403, 429)
+    stop = fetched.groupBy(key).agg(F.min(F.when(ends, F.col("page"))).alias("_stop"))
+    return fetched.join(stop, key).where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))).drop("_stop")
+
+
+def search_events(items: DataFrame) -> DataFrame:
+    """Found items ``(html_url, number, title, body, user)`` as events; those whose URL names no repository are dropped.
+
+    A search tells nothing of organisation, stars and commits: the first counts
+    as given, the others are 0 and empty.
+    """
+    return items.select(
+        F.concat(F.lit("search-"), repo_of_url(F.col("html_url")), F.lit("-"), F.col("number").cast("string")).alias("id"),
+        F.lit("PullRequestEvent").alias("event_type"),
+        repo_of_url(F.col("html_url")).alias("repository"),
+        F.coalesce("user", F.lit("unknown")).alias("actor"),
+        F.lit("merged").alias("action"),
+        F.coalesce("number", F.lit(0)).cast("bigint").alias("pull_number"),
+        F.lit("").alias("base_sha"),
+        F.lit("").alias("merge_sha"),
+        F.coalesce("title", F.lit("Untitled change")).alias("title"),
+        F.coalesce("body", F.lit("")).alias("body"),
+        F.lit(None).cast("string").alias("language_hint"),
+        F.lit(0).cast("bigint").alias("stars"),
+        F.lit(True).alias("has_org"),
+    ).where("repository is not null")
+
+
+def filter_payload(repository: Column, action: Column, language: Column) -> Column:
+    """What filters look at, as a map; an unknown language is empty."""
+    return F.create_map(F.lit("repo"), repository, F.lit("action"), action, F.lit("language"), F.coalesce(language, F.lit("")))
+
+
 def repo_of_url(url: Column) -> Column:
     """``owner/name`` of an item URL, NULL unless it has both."""
     p = F.split(url, "/")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Sequence
 
 import pandas as pd
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.runtime import exists, is_file, listing
+
 EXPORT = T.StructType(
     [
         T.StructField("instance_id", T.StringType()),
@@ -49,14 +50,17 @@ def string_list(c: Column) -> Column:
     return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
 
 
-def locate_dataset(path: str, split: str | None = None) -> list[str]:
-    """A file itself; in a folder the split (or train) file, else all Parquet files by name."""
-    if os.path.isfile(path) or any(x.startswith("part-") for x in (os.listdir(path) if os.path.isdir(path) else [])):
+def locate_dataset(spark: SparkSession, path: str, split: str | None = None) -> list[str]:
+    """A file itself; in a folder the split (or train) file, else all Parquet files by name.
+
+    A folder of parts is a table. Paths are those of the session's file systems.
+    """
+    inside = [] if is_file(spark, path) else listing(spark, path)
+    name = lambda p: p.rstrip("/").rpartition("/")[2]
+    if not inside or any(name(p).startswith("part-") for p in inside):
         return [path]
-    single = os.path.join(path, f"{split or 'train'}.parquet")
-    if os.path.exists(single):
-        return [single]
-    return sorted(os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet"))
+    single = [p for p in inside if name(p) == f"{split or 'train'}.parquet"]
+    return single or [p for p in inside if name(p).endswith(".parquet")]
 
 
 def dataset_tasks(rows: DataFrame) -> DataFrame:
@@ -82,19 +86,22 @@ def dataset_tasks(rows: DataFrame) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    return dataset_tasks(spark.read.parquet(*locate_dataset(path, split)))
+    return dataset_tasks(spark.read.parquet(*locate_dataset(spark, path, split)))
 
 
 def read_skip_list(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ``repo, pr`` of a JSON-lines skip list; bad lines are ignored, no file means none."""
     schema = "repo string, pr bigint"
-    if "://" not in path and not os.path.exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path).dropna().distinct()
 
 
-def read_yaml(spark: SparkSession, root: str, name: str = "workspace.yaml") -> DataFrame:
-    """``path, json`` of every YAML file of that name below ``root``; files that do not parse are dropped."""
+def read_yaml(spark: SparkSession, root: str, name: str = "workspace.yaml", *, recursive: bool = True) -> DataFrame:
+    """``path, json`` of every YAML file of that name below ``root``; files that do not parse are dropped.
+
+    Without ``recursive`` only the folders right below ``root`` are looked into.
+    """
 
     @F.pandas_udf("string")
     def parse(raw: pd.Series) -> pd.Series:
@@ -110,14 +117,50 @@ def read_yaml(spark: SparkSession, root: str, name: str = "workspace.yaml") -> D
         return raw.map(one)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(root)
+    if not recursive:
+        depth = len([x for x in root.split("://")[-1].rstrip("/").split("/") if x])
+        local = F.regexp_replace("path", r"^\w+:/+", "")
+        files = files.where(F.size(F.split(local, "/")) == depth + 2)
     return files.select("path", parse("content").alias("json")).where("json is not null")
 
 
+def read_task_files(spark: SparkSession, root: str) -> DataFrame:
+    """``id, category, difficulty, statement, criteria`` of every ``task.yaml`` one level below ``root``; missing parts are empty."""
+    v = F.try_parse_json("json")
+    get = lambda p, kind="string": F.try_variant_get(v, p, kind)
+    return read_yaml(spark, root, "task.yaml", recursive=False).select(
+        F.coalesce(get("$.id"), F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).alias("id"),
+        F.coalesce(get("$.category"), F.lit("")).alias("category"),
+        F.coalesce(get("$.difficulty"), F.lit("medium")).alias("difficulty"),
+        F.coalesce(get("$.problem_statement"), F.lit("")).alias("statement"),
+        F.coalesce(get("$.success_criteria", "array<string>"), F.array().cast("array<string>")).alias("criteria"),
+    )
+
+
+def read_verification(spark: SparkSession, root: str, name: str = "task.yaml") -> tuple[DataFrame, DataFrame]:
+    """The checks ``(path, kind, target, expected, required)`` and credits ``(path, criterion, points, file, pattern)`` of task files.
+
+    Both lists are empty by default; checks are required unless they say otherwise.
+    """
+    files = read_yaml(spark, root, name).select("path", F.try_parse_json("json").alias("v"))
+    part = lambda p: F.explode(F.coalesce(F.try_variant_get("v", p, "array<variant>"), F.array().cast("array<variant>")))
+    get = lambda p, kind="string": F.try_variant_get("x", p, kind)
+    checks = files.select("path", part("$.verification.automated_checks").alias("x")).select(
+        "path", get("$.type").alias("kind"), get("$.target").alias("target"), get("$.expected").alias("expected"),
+        F.coalesce(get("$.required", "boolean"), F.lit(True)).alias("required"),
+    )
+    credits = files.select("path", part("$.verification.partial_credit_criteria").alias("x")).select(
+        "path", get("$.criterion").alias("criterion"), F.coalesce(get("$.points", "double"), F.lit(0.0)).alias("points"),
+        get("$.file").alias("file"), get("$.pattern").alias("pattern"),
+    )
+    return checks, credits
+
+
 def find_in_files(files: DataFrame, pattern: str, limit: int = 2000) -> DataFrame:
     """``path, line_no, line`` of the lines that match, by path and number, at most ``limit``."""
     lines = files.select("path", F.posexplode(F.split("content", "\n")).alias("pos", "line"))
     hits = lines.where(F.col("line").rlike(pattern)).select("path", (F.col("pos") + 1).alias("line_no"), "line")
-    return hits.orderBy("path", "line_no").limit(min(limit, 2000))
+    return hits.orderBy("path", "line_no").limit(limit)
 
 
 def page_of(files: DataFrame, offset: int, count: int) -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.dedup import event_number
-from millrace.runtime import fold
+from millrace.operators.dedup import event_number, keep_one
+from millrace.runtime import fold, utrim
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 16) -> DataFrame:
@@ -28,28 +28,55 @@ def hourly_counts(events: DataFrame, lateness: str = "2 hours") -> DataFrame:
 def distinct_messages(events: DataFrame, lateness: str = "7 days") -> DataFrame:
     """The first delivery of each message; state older than ``lateness`` is forgotten.
 
-    Rows without an event number cannot be told apart and all stay.
+    A copy that comes later than that passes; :func:`unseen` drops it where a
+    table of what was delivered is kept. Ids without a number count as written,
+    rows without an id stay unless the whole row repeats.
     """
     keyed = events.select(
         "*",
-        F.coalesce(event_number("id").cast("string"), F.concat(F.lit("row-"), F.xxhash64(F.to_json(F.struct("*"))))).alias("_no"),
+        F.coalesce(event_number("id").cast("string"), F.concat(F.lit("id "), utrim("id")), F.concat(F.lit("row "), F.xxhash64(F.to_json(F.struct("*"))))).alias("_no"),
         fold("repository").alias("_repo"),
     )
     kept = keyed.withWatermark("ingested_at", lateness).dropDuplicatesWithinWatermark(["_no", "_repo", "pull_number"])
     return kept.drop("_no", "_repo")
 
 
+def unseen(batch: DataFrame, delivered: DataFrame) -> DataFrame:
+    """The messages of a batch that a table of delivered ones (same columns) does not hold, however old; one copy of each."""
+    name = F.coalesce(event_number("id").cast("string"), F.concat(F.lit("id "), utrim("id")))
+    key = lambda d: d.select(name.alias("_no"), fold("repository").alias("_repo"), F.col("pull_number").alias("_pr")).distinct()
+    one, old = keep_one(batch).withColumn("_no", name), key(delivered)
+    same = (one["_no"] == old["_no"]) & fold("repository").eqNullSafe(old["_repo"]) & F.col("pull_number").eqNullSafe(old["_pr"])
+    return one.join(old, same, "left_anti").drop("_no")
+
+
+def spending_by_day(records: DataFrame, at: str, value: str, lateness: str = "1 day") -> DataFrame:
+    """``day, spent`` of a stream of records, one running row per day; a day's counter starts anew at midnight UTC."""
+    return (
+        records.withWatermark(at, lateness)
+        .groupBy(F.window(at, "1 day"))
+        .agg(F.sum(value).alias("spent"))
+        .select(F.col("window.start").cast("date").alias("day"), "spent")
+    )
+
+
+def progress_rows(reports: list[dict]) -> list[tuple[int, int, float]]:
+    """``batch, rows, rows per second`` of the progress reports of a query, for a monitor."""
+    return [(int(r["batchId"]), int(r["numInputRows"]), float(r.get("processedRowsPerSecond") or 0.0)) for r in reports]
+
+
 def run_once(df: DataFrame, target: str, checkpoint: str, mode: str = "append") -> None:
     """Process all files there are and stop; a rerun goes on where the last one ended."""
     writer = df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start(target).awaitTermination()
 
 
-def shards_once(df: DataFrame, target: str, checkpoint: str) -> None:
-    """Append every micro-batch as its own shard; a batch that is repeated replaces its shard."""
+def shards_once(df: DataFrame, target: str, checkpoint: str, size: int | None = None) -> None:
+    """Append every micro-batch as its own shard, in files of at most ``size`` rows; a batch that is repeated replaces its shard."""
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/shard={batch_id}")
+        out = batch.write.mode("overwrite").option("compression", "zstd")
+        (out.option("maxRecordsPerFile", size) if size else out).parquet(f"{target}/shard={batch_id}")
 
     query = df.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     query.trigger(availableNow=True).start().awaitTermination()

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from millrace import catalog
+from millrace import catalog, task_catalog  # noqa: F401 - the second registers its queries
 
 DATA = os.environ.get("MILLRACE_TESTDATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -113,7 +113,14 @@ def test_task_folders(spark, tmp_path):
     dataset.write_task_folders(_tasks(spark), str(tmp_path))
     root = tmp_path / "o" / "r-7"
     assert (root / "checks.txt").read_text() == "cmd1\ncmd2"
-    assert sorted(os.listdir(root / "tests")) == ["1_t.py", "t.py"]
+    assert sorted(os.listdir(root / "tests")) == ["1_t.py", "fail_to_pass_1.sh", "pass_to_pass_1.sh", "t.py"]
+    assert (root / "tests" / "fail_to_pass_1.sh").read_text().endswith("\ncmd1\n")
+    assert (root / "prompt.md").read_text().startswith("# o/r-7\n\n")
+    import yaml
+
+    assert yaml.safe_load((root / "workspace.yaml").read_text())["id"] == "o/r-7"
+    out = rows(dataset.reexport(spark, str(tmp_path), str(tmp_path / "copy")))
+    assert out == [("o/r-7", 3, 0)] and (tmp_path / "copy" / "o" / "r-7" / "checks.txt").exists()
 
 
 def test_finalize_and_shards(spark, tmp_path):
@@ -121,6 +128,12 @@ def test_finalize_and_shards(spark, tmp_path):
     assert rows(dataset.finalize(rows_, str(tmp_path))) == [("hard", 3), ("unknown", 4)]
     dataset.write_shards(rows_, str(tmp_path / "s"), size=3)
     assert len([x for x in os.listdir(tmp_path / "s") if x.startswith("shard=")]) == 3
+    dataset.write_shards(rows_, str(tmp_path / "s"), size=4, start=3)
+    assert len([x for x in os.listdir(tmp_path / "s") if x.startswith("shard=")]) == 5
+    assert spark.read.parquet(str(tmp_path / "hard.parquet")).count() == 3
+    assert tables.locate_dataset(spark, str(tmp_path)) == [f"file:{tmp_path}/train.parquet"]
+    assert tables.locate_dataset(spark, str(tmp_path), "hard") == [f"file:{tmp_path}/hard.parquet"]
+    assert tables.locate_dataset(spark, str(tmp_path / "train.parquet")) == [str(tmp_path / "train.parquet")]
     assert "instance_id" in dataset.card(rows_, "x")
 
 
@@ -132,6 +145,11 @@ def test_skip_list_and_yaml(spark, tmp_path):
     (tmp_path / "o" / "r-1").mkdir(parents=True)
     (tmp_path / "o" / "r-1" / "workspace.yaml").write_text("id: x\nn: 2\n")
     (tmp_path / "o" / "workspace.yaml").write_text("][")
+    (tmp_path / "o" / "task.yaml").write_text("id: t\nsuccess_criteria: [a, b]\nverification:\n  automated_checks: [{type: exists, target: x}]\n")
+    (tmp_path / "o" / "r-1" / "task.yaml").write_text("verification: {partial_credit_criteria: [{criterion: c, points: 0.5}]}\n")
+    assert rows(tables.read_task_files(spark, str(tmp_path))) == [("t", "", "medium", "", ["a", "b"])]
+    checks, credits = tables.read_verification(spark, str(tmp_path))
+    assert rows(checks.drop("path")) == [("exists", "x", None, True)] and rows(credits.drop("path")) == [("c", 0.5, None, None)]
     got = tables.read_yaml(spark, str(tmp_path)).collect()
     assert [json.loads(r["json"]) for r in got] == [{"id": "x", "n": 2}]
 
@@ -142,3 +160,70 @@ def test_seeded_sample_and_merge(spark):
     t = "array<struct<path:string,content:string>>"
     two = spark.createDataFrame([([("a", "1")], [("a", "2"), ("b", "3")])], f"x {t}, y {t}")
     assert [tuple(f) for f in two.select(selection.merge_files(F.col("x"), F.col("y"))).first()[0]] == [("a", "1"), ("b", "3")]
+
+
+def test_hours(spark, tmp_path):
+    import gzip
+
+    from millrace.sources import events
+
+    with gzip.open(tmp_path / "2025-01-01-3.json.gz", "wt") as f:
+        f.write('{"type": "A", "id": "1", "note": "if (x) {} {y}"}\nbad\n')
+    (tmp_path / "2025-01-01-4.json.gz").write_bytes(b"damaged")
+    got = events.read_hours(spark, str(tmp_path), ["2025-01-01-3", "2025-01-01-4", "2025-01-01-5"])
+    assert rows(got.select("id", "event_type")) == [("1", "A")]
+    with pytest.raises(ValueError):
+        events.read_hours(spark, str(tmp_path), ["2025-01-01-5"])
+
+
+def test_find_with_a_high_limit(spark):
+    files = spark.range(1).select(F.lit("f").alias("path"), F.repeat(F.lit("hit\n"), 6000).alias("content"))
+    assert tables.find_in_files(files, "hit", 5000).count() == 5000
+
+
+def test_valid_objects(spark):
+    from millrace.sources import events
+
+    good = ['{"a":"if (x) {} {y}"}', '{"note":"x}y"}', '{"a":"q\\"} {"}', ' {"a":{"b":[{}]}} ', "{}", '{"a":"' + "\\n" * 20000 + '"}']
+    bad = ['{"a":1} x', '{"a":1}}', '{"a":1},{"b":2}', '{"a":1}] x', '{"a":1}}] x', "[1]", "", '{"a"', None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "value string")
+    assert {r[0] for r in df.where(events.valid_object(F.col("value"))).collect()} == set(good)
+
+
+def test_release(spark):
+    from millrace import runtime
+
+    df = runtime.materialize(spark.range(3), "gone")
+    assert df.count() == 3
+    runtime.release(spark)
+    assert not runtime.exists(spark, f"{runtime.shared_dir(spark)}/{runtime._RUN}")
+
+
+def test_commands(spark, tmp_path):
+    from millrace import cli
+
+    changes = [("o/r ", n, "t", "b", "rust", "x", "m", 1, 2, 0, {"difficulty": "easy"}) for n in range(1, 6)]
+    schema = "repository string, number bigint, title string, body string, language string, base_sha string, merge_sha string, files_changed bigint, added_lines bigint, removed_lines bigint, metadata map<string,string>"
+    spark.createDataFrame(changes, schema).write.parquet(str(tmp_path / "c"))
+    spark.createDataFrame([("O/r", n, "diff --git a/x.rs b/x.rs\n+a\n") for n in range(1, 6)], "repo string, pr_number bigint, patch string").write.parquet(str(tmp_path / "d"))
+    (tmp_path / "skip").write_text('{"repo": "o/R", "pr": 1}\n')
+    say = lambda *a: cli.main([str(x) for x in a], spark)
+    args = ("mine", tmp_path / "c", tmp_path / "d", tmp_path / "t", "--skip", tmp_path / "skip")
+    assert say(*args, "--count", 9)["tasks"] == 4 and say(*args, "--quotas", "easy:2")["tasks"] == 2
+    assert say("mine", tmp_path / "c", tmp_path / "d", tmp_path / "none", "--quotas", "hard:2")["status"] == "failed"
+    spark.createDataFrame([("a", True, 4), ("hard", False, 5)], "level string, success boolean, ms bigint").write.parquet(str(tmp_path / "e"))
+    assert say("evaluate", tmp_path / "e")["levels"][1] == {"level": "medium", "tasks": 1, "success_rate": 1.0, "mean_ms": 4}
+    spark.createDataFrame([("r", None), (None, "x")], "status string, repo string").write.parquet(str(tmp_path / "s"))
+    assert say("benchmark", tmp_path / "s") == {"total": 2, "r": 1}
+    facts = "task_id string, phase string, kind string, exit_code int, stderr string, seconds double"
+    spark.createDataFrame([("1", "base", "f2p", 1, None, 0.0), ("1", "agent", None, 0, None, 7.25), ("1", "after", "f2p", 0, None, 0.0)], facts).write.parquet(str(tmp_path / "f"))
+    got = say("harness", tmp_path / "f")
+    assert got["resolved"] == 1 and got["mean_agent_seconds"] == pytest.approx(7.3)
+    exported = spark.createDataFrame([("i", "r", "Go", 2)], "instance_id string, repo string, language string, difficulty_score int")
+    exported.write.parquet(str(tmp_path / "x"))
+    assert say("load", tmp_path / "x")["languages"] == [{"value": "go", "n": 1}]
+    task = [("o-1", "p" * 150, ["t"], [], "diff", {"k": "Rust"}, "go", "o", 0.9, 1, None)]
+    spark.createDataFrame(task, "id string, prompt string, fail_to_pass array<string>, pass_to_pass array<string>, patch string, meta map<string,string>, language string, repo string, quality_score double, difficulty_score int, workspace_path string").write.parquet(str(tmp_path / "k"))
+    assert say("validate", tmp_path / "k", tmp_path / "f") == {"status": "success", "outcomes": {"passed": 1}}
+    assert say("generate", tmp_path / "k", tmp_path / "g", "--category", "rust") == {"status": "success", "tasks": 1}
+    assert say("generate", tmp_path / "k", tmp_path / "g2", "--category", "cobol") == {"status": "success", "tasks": 0}
