@@ -56,7 +56,7 @@ def test_rounds_go_on_until_the_pool_is_small(spark, monkeypatch):
         fill[r["container"]] = fill.get(r["container"], 0) + r["tokens"]
     assert sum(r["tokens"] for r in out) == sum(size.values()) and max(fill.values()) <= 30
     assert len({r["container"].split("-")[1] for r in out}) > 1
-    assert len(fill) <= -(-sum(size.values()) // 30) + 3
+    assert len(fill) <= 1.05 * pack.lower_bound(np.array([n for n in size.values() if n]), 30) + 3
 
 
 def test_pack(spark):
