@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -178,7 +179,6 @@ def _short_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter[tuple[str, str]] = Counter()
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            held[lang, ""] += 1
             held.update((lang, w) for w in {w for w in WORD.findall((text or "").lower()) if len(w) <= SHORT and w.isalpha()})
     rows = list(held.items())
     columns = ([k[0] for k, _ in rows], [k[1] for k, _ in rows], [n for _, n in rows])
@@ -188,15 +188,20 @@ def _short_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learned_words(narrow: DataFrame) -> dict[str, frozenset[str]]:
     """The function words of every language that is not listed and has documents enough.
 
-    A word counts if at least a share of ``LEARN_SHARE`` of the documents hold
-    it, so a language has no more of them than a document has short words, divided by that share.
+    Languages are codes of two or three letters, so their counts fit the driver;
+    texts are read only if there is such a language. A word counts if at least
+    a share of ``LEARN_SHARE`` of the documents hold it, so a language has no
+    more of them than a document has short words, divided by that share.
     """
-    other = narrow.where(~F.col("lang").isin(*LISTED)).select("lang", "text")
+    per = narrow.where(~F.col("lang").isin(*LISTED)).groupBy("lang").agg(F.count("*").alias("n")).collect()
+    docs = {r["lang"]: r["n"] for r in per if r["n"] >= LEARN_DOCS}
+    if not docs:
+        return {}
+    other = narrow.where(F.col("lang").isin(*docs)).select("lang", "text")
     counted = other.mapInArrow(_short_words, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    docs = counted.where("word = ''").select("lang", F.col("n").alias("docs")).where(F.col("docs") >= LEARN_DOCS)
-    often = counted.where("word != ''").join(docs, "lang").where(F.col("n") >= F.lit(LEARN_SHARE) * F.col("docs"))
+    least = reduce(lambda c, kv: F.when(F.col("lang") == kv[0], F.lit(LEARN_SHARE * kv[1])).otherwise(c), docs.items(), F.lit(None).cast("double"))
     out: dict[str, set[str]] = {}
-    for r in often.select("lang", "word").collect():
+    for r in counted.where(F.col("n") >= least).collect():
         out.setdefault(r["lang"], set()).add(r["word"])
     return {k: frozenset(v) for k, v in out.items()}
 
