@@ -419,7 +419,7 @@ def residue(
     weighed = (
         materialize(window, "looked")
         .select("*", F.explode("rare").alias("term"))
-        .join(counted, "term", "left")
+        .join(counted.hint("merge"), "term", "left")  # the table of terms grows with the data
         .groupBy("window")
         .agg(
             *[F.first(c).alias(c) for c in ("row_key", "field", "exemplar", "mass", "whole")],
