@@ -158,6 +158,7 @@ class Plan:
     rows: int
     available: dict[tuple[str, str], int]
     quotas: dict[tuple[str, ...], int]
+    wanted: list[dict[str, int]]  # per dimension the quotas by largest remainder
     targets: list[Target]
 
 
@@ -183,15 +184,20 @@ def plan(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> Plan:
     shares = [{t.category: t.share for t in wanted if t.dim == d} for d in dims]
     floors = [{t.category: t.floor for t in wanted if t.dim == d} for d in dims]
     cells = {tuple(r[c] for c in cats): r["n"] for r in counted}
-    return Plan(dims, total, available, allocate(cells, shares, floors, math.floor(rate * total)), wanted)
+    size = math.floor(rate * total)
+    caps = [_sums(cells, d) for d in range(len(dims))]
+    quotas = [largest_remainder(s, size, f, {k: c.get(k, 0) for k in s}) for s, f, c in zip(shares, floors, caps)]
+    return Plan(dims, total, available, allocate(cells, shares, floors, size), quotas, wanted)
 
 
 def report(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> DataFrame:
-    """Per target what it needs, what there is, its quota in the sample, and whether it can be and is met.
+    """Per target what it needs, what there is, its quota, what is sampled, and whether it can be and is met.
 
     A target needs ``max(min_rows, target_share * (rate * rows))`` rows, not
     rounded. It is ``unmet`` if there are fewer, and ``missed`` if the sample
-    holds fewer, be it by a quota rounded down. Categories are compared trimmed
+    holds fewer, be it by a quota rounded down. ``shortfall`` is what the sample
+    lacks of the quota by largest remainder, where the dimensions cannot all be
+    had together. Categories are compared trimmed
     and in lower case; NULL, empty and unlisted ones belong to no target.
     """
     made = plan(rows, targets, rate)
@@ -201,10 +207,11 @@ def report(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> DataFrame:
         have = made.available.get((t.dim, t.category), 0)
         at = made.dims.index(t.dim)
         got = sum(q for c, q in made.quotas.items() if c[at] == t.category)
-        out.append((t.target_id, t.dim, t.category, need, have, got, have < need, got < need))
+        quota = made.wanted[at].get(t.category, 0)
+        out.append((t.target_id, t.dim, t.category, need, have, quota, got, max(0, quota - got), have < need, got < need))
     return rows.sparkSession.createDataFrame(
         out,
-        "target_id int, dim string, category string, needed double, available bigint, sampled bigint, unmet boolean, missed boolean",
+        "target_id int, dim string, category string, needed double, available bigint, quota bigint, sampled bigint, shortfall bigint, unmet boolean, missed boolean",
     )
 
 
