@@ -723,19 +723,23 @@ def command_paths(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("command", F.array_join(text.command_paths(F.col("command")), " ").alias("paths"))
 
 
-@query("""
-    SELECT t.id AS task_id, u.p AS path FROM (SELECT DISTINCT id, unnest(fail_to_pass) AS c FROM swe_tasks) t,
-           LATERAL (SELECT unnest(list_filter(string_split(c, ' '), lambda x: regexp_matches(x, '\\.(py|ts|js|java|rs|go|rb|sh)$'))) AS p) u
-    WHERE u.p NOT IN (SELECT unnest(changed_files) FROM enriched_prs WHERE changed_files IS NOT NULL AND len(list_filter(changed_files, lambda x: x IS NULL)) = 0)
-      AND NOT EXISTS (SELECT 1 FROM (SELECT unnest(changed_files) AS f FROM enriched_prs) WHERE f = u.p)
-    GROUP BY ALL
-""".replace("\\\\", "\\"))
+_HALF = "SELECT lower(trim(repository)) || '-' || number AS task_id, unnest(changed_files) AS path FROM enriched_prs WHERE number % 2 = 0"
+
+
+@query(rf"""
+    SELECT DISTINCT task_id, p AS ref FROM (
+        SELECT lower(id) AS task_id, unnest(list_filter(regexp_split_to_array(trim(c), '\s+'), lambda x: regexp_matches(x, '{text.TEST_SUFFIXES}') AND NOT regexp_matches(x, '[*?]'))) AS p
+        FROM (SELECT id, unnest(fail_to_pass) AS c FROM swe_tasks)) r
+    WHERE NOT EXISTS (SELECT 1 FROM ({_HALF}) f WHERE f.task_id = r.task_id AND f.path IS NOT NULL
+                      AND regexp_extract(f.path, '([^/]*)$', 1) = regexp_extract(r.p, '([^/]*)$', 1))
+""")
 def missing_references(spark: SparkSession, d: str) -> DataFrame:
-    named = table(spark, d, "swe_tasks").select(F.col("id").alias("task_id"), F.explode("fail_to_pass").alias("c")).select(
-        "task_id", F.explode(text.command_paths(F.col("c"))).alias("path")
-    ).distinct()
-    known = table(spark, d, "enriched_prs").select(F.explode("changed_files").alias("path")).distinct()
-    return named.join(known, "path", "left_anti").select("task_id", "path")
+    """The tests of every second task are there."""
+    commands = table(spark, d, "swe_tasks").select(F.lower("id").alias("task_id"), F.explode("fail_to_pass").alias("command"))
+    files = table(spark, d, "enriched_prs").where("number % 2 = 0").select(
+        F.concat(fold("repository"), F.lit("-"), F.col("number").cast("string")).alias("task_id"), F.explode("changed_files").alias("path")
+    )
+    return tasks.unknown_references(commands, files.where("path is not null"))
 
 
 @query("""
@@ -754,17 +758,35 @@ _ANSWERS = (
 )
 
 
-@query()
+@query(r"""
+    SELECT * FROM (VALUES ('{"a": 1}', 'success', '{"a": 1}', 0, 0), ('Sure: {"n": "x", "c": 5} - done', 'success', '{"n": "x", "c": 5}', 0, 0), ('x [1, 2, 3] y', 'success', '[1, 2, 3]', 0, 0),
+        ('```json' || chr(10) || '{"k": {"v": "}"}}' || chr(10) || '```', 'success', '{"k": {"v": "}"}}', 0, 0), ('{"cut": [1, 2', 'truncated', '{"cut": [1, 2', 1, 1),
+        ('none at all', 'not_found', NULL, 0, 0), ('first {"a": 1} then {"b": {"c": 2}}', 'success', '{"b": {"c": 2}}', 0, 0), ('', 'not_found', NULL, 0, 0)) t(answer, status, json, braces, brackets)
+""")
 def json_extract(spark: SparkSession, d: str) -> DataFrame:
     rows = values(spark, _ANSWERS.replace("\\", "\\\\"), "answer")
-    return rows.select("answer", jsonx.extract_json("answer").alias("x")).select("answer", "x.*")
+    return rows.select("answer", jsonx.recovered(F.col("answer")).alias("x")).select("answer", "x.*")
 
 
-@query()
+_KINDS = "id, batch_id, event_payload AS p, len(event_payload) % 4 AS kind"
+
+
+@query(f"""
+    SELECT id, batch_id, CASE WHEN kind = 3 THEN 'truncated' ELSE 'success' END AS status, CASE WHEN kind = 3 THEN left(p, len(p) - 1) ELSE p END AS json,
+           CASE WHEN kind = 3 THEN 1 ELSE 0 END AS braces
+    FROM (SELECT {_KINDS} FROM gharchive_events WHERE event_payload IS NOT NULL)
+""")
 def json_extract_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads in running text, in a fence, beside a smaller object, and without their last brace."""
+    p, kind = F.col("event_payload"), F.length("event_payload") % 4
+    text_ = (
+        F.when(kind == 0, F.concat(F.lit("The event was "), p, F.lit(" as received.")))
+        .when(kind == 1, F.concat(F.lit("```json\n"), p, F.lit("\n``` it was")))
+        .when(kind == 2, F.concat(F.lit('not {"a": 1} but '), p))
+        .otherwise(F.left(p, F.length(p) - 1))
+    )
     e = table(spark, d, "gharchive_events").where("event_payload is not null")
-    wrapped = F.concat(F.lit("The event was "), "event_payload", F.lit(" as received."))
-    return e.select("id", "batch_id", jsonx.extract_json(wrapped).alias("x")).select("id", "batch_id", "x.status", "x.json")
+    return e.select("id", "batch_id", jsonx.recovered(text_).alias("x")).select("id", "batch_id", "x.status", "x.json", F.col("x.braces").cast("int").alias("braces"))
 
 
 # ------------------------------------------------------------------- integrity
@@ -887,8 +909,8 @@ def basename_dedup(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT coalesce(difficulty, 'unknown') AS k, count(*) AS n FROM dataset_rows GROUP BY 1)
 """)
 def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
-    levels = F.transform(F.map_entries("by_difficulty"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return dataset.summary(table(spark, d, "dataset_rows")).withColumn("by_difficulty", F.array_join(F.array_sort(levels), ","))
+    levels = F.transform(F.array_sort(F.map_entries("by_difficulty")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return dataset.summary(table(spark, d, "dataset_rows")).withColumn("by_difficulty", F.array_join(levels, ","))
 
 
 @query("""
