@@ -21,7 +21,7 @@ def ranked(rows: DataFrame, contributor: str, score: str, tie: str, row_key: str
         F.coalesce(fold(contributor), F.lit("")).alias("contributor"),
         F.when(s.isNull() | F.isnan(s), F.lit(1.0)).otherwise(-clamped).alias("rank_score"),
         F.coalesce(F.col(tie).cast("bigint"), F.lit((1 << 62) - 1)).alias("rank_number"),
-        F.col(row_key).cast("bigint").alias("rank_id"),
+        F.coalesce(F.col(row_key).cast("bigint"), F.lit((1 << 63) - 1)).alias("rank_id"),
     )
 
 
@@ -40,7 +40,8 @@ def over_cap(
     The cap is ``max_rows``, or ``max(1, floor(share * rows))``. Contributors
     are compared trimmed and in lower case, NULL counts as the empty name.
     Scores are clamped to 0..1, NULL and NaN rank last; equal scores go by
-    smaller ``tie``, then ``row_key``. An empty table drops nothing.
+    smaller ``tie``, then ``row_key``. An empty table drops nothing. Rows
+    without a key come last and cannot be told apart, so :func:`cap_per_contributor` keeps them.
 
     Under a share s fewer than 1/s + 1 contributors can lie over the cap, so
     the bounds that each round joins stay that small whatever the data.

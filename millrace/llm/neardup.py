@@ -425,10 +425,11 @@ def near_duplicates(
     """Classes of equal shingle sets, and all pairs of classes at least ``similarity`` alike.
 
     Fields are compared each with itself. NULL and empty texts, and texts of
-    fewer than ``words`` words, match nothing and belong to no class. A class
-    id is the smallest row key of its members.
+    fewer than ``words`` words, match nothing and belong to no class, nor do
+    rows without a key. A class id is the smallest row key of its members.
     """
-    narrow = spread(rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields]))
+    keyed_rows = rows.where(F.col(row_key).isNotNull())
+    narrow = spread(keyed_rows.select(F.col(row_key).cast("bigint"), *[F.col(f).cast("string") for f in fields]))
     made = materialize(narrow.mapInArrow(_sets(words), SETS), "neardup")
     keyed = made.where("side > 0")
     same = ["side", "content", "content2", "size"]

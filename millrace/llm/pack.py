@@ -96,7 +96,7 @@ def _pack_group(last: bool):
 
 def _items(documents: DataFrame, profiles: DataFrame) -> DataFrame:
     """Every piece to pack: whole documents, or chunks of those over capacity."""
-    sized = spread(documents.select("doc_id", "text")).select("doc_id", token_count("text").alias("tokens")).where("tokens > 0")
+    sized = spread(documents.where("doc_id is not null").select("doc_id", "text")).select("doc_id", token_count("text").alias("tokens")).where("tokens > 0")
     caps = profiles.where("capacity_tokens >= 1").select("profile", F.col("capacity_tokens").alias("capacity")).distinct()
     rows = [(r["profile"], int(r["capacity"])) for r in caps.collect()]  # a handful of profiles
     shapes = F.array(*[F.struct(F.lit(p).alias("profile"), F.lit(c).cast("bigint").alias("capacity")) for p, c in rows])
@@ -121,7 +121,7 @@ def pack(documents: DataFrame, profiles: DataFrame) -> DataFrame:
 
     A document is split only if it has more tokens than the capacity; its
     pieces are full but for the last. Texts that are NULL or hold no token
-    need no room and get no row. Repeated profiles count once. ``certified``
+    need no room and get no row, nor do documents without an id. Repeated profiles count once. ``certified``
     tells that the piece's partition was packed with provably few containers.
     """
     pool = materialize(_items(documents, profiles), "pack")

@@ -167,7 +167,7 @@ def _categories(rows: DataFrame, targets: Sequence[Target], dims: Sequence[str])
     for d in dims:
         known = [t.category for t in targets if t.dim == d]
         cols.append(F.when(fold(d).isin(known), fold(d)).otherwise(OTHER).alias(f"cat_{d}"))
-    return rows.select(*cols, *[F.col(f"`{c}`") for c in rows.columns])
+    return rows.select(*cols, F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
 
 
 def plan(rows: DataFrame, targets: DataFrame, rate: float = 0.3) -> Plan:
@@ -228,12 +228,12 @@ def sample(rows: DataFrame, targets: DataFrame, rate: float = 0.3, *, key: str =
     made = plan(rows, targets, rate)
     cell = F.concat_ws("\x1f", *[F.col(f"cat_{d}") for d in made.dims])
     inside = _categories(rows, made.targets, made.dims)
-    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    text = F.coalesce(F.col(f"row.`{key}`").cast("string"), F.lit(""))
     keyed = inside.select(
         cell.alias("cell"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), text), 2).alias("draw"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), text), 2).alias("tie"),
-        F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
+        "row",
     )
     quotas = rows.sparkSession.createDataFrame(
         [("\x1f".join(c), q) for c, q in made.quotas.items() if q > 0], "cell string, quota bigint"
