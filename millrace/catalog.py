@@ -293,19 +293,22 @@ def change_kinds(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_NAMES = "('main'), ('-x'), ('a..b'), ('v1.0~2'), ('owner/name'), ('.a/b'), ('a/b/c'), ('src/a b.py'), ('/etc/x'), ('a;b'), ('')"
+_BAD = ";|&$`(){}<>!\"\n\r\\"  # and the single quote, which needs doubling
+_NAMES = ", ".join(
+    f"('{x}')" for x in ["main", "-x", "a..b", "v1.0~2", "owner/name", ".a/b", "a/b/c", "src/a b.py", "/etc/x", "", "a''b", *(f"a{c}b" for c in _BAD)]
+)
 
 
 @query(rf"""
     SELECT v AS value,
            octet_length(encode(v)) <= 256 AND regexp_full_match(v, '[A-Za-z0-9/._~^][A-Za-z0-9/._~^-]*') AND NOT contains(v, '..') AS is_ref,
            octet_length(encode(v)) <= 256 AND regexp_full_match(v, '[A-Za-z0-9_][A-Za-z0-9._-]*/[A-Za-z0-9_][A-Za-z0-9._-]*') AS is_repo,
-           v <> '' AND NOT contains(v, ';') AND NOT contains(v, '..') AND NOT starts_with(v, '/') AS is_path
+           v <> '' AND NOT regexp_matches(v, '[;|&$`(){{}}<>!"''\n\r\\]') AND NOT contains(v, '..') AND NOT starts_with(v, '/') AS is_path
     FROM (VALUES {_NAMES}) t(v)
 """)
 def ref_validators(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value")
-    return values(spark, _NAMES, "value").select(
+    return values(spark, _NAMES.replace("\\", "\\\\"), "value").select(
         "value", paths.valid_ref(v).alias("is_ref"), paths.valid_repo(v).alias("is_repo"), paths.valid_path(v).alias("is_path")
     )
 
@@ -412,18 +415,22 @@ def rejection_histogram(spark: SparkSession, d: str) -> DataFrame:
     return reports.reason_histogram(rows, F.split("rejection_reason", ";"))
 
 
-@query("""
-    SELECT repository, number, least(count(*), 100) AS files, sum(a) AS additions, sum(b) AS deletions,
-           list_sort(list_distinct(list(f))) AS names
-    FROM (SELECT DISTINCT lower(trim(repository)) AS repository, number, unnest(changed_files) AS f, added_lines AS a, removed_lines AS b FROM enriched_prs)
-    WHERE f IS NOT NULL GROUP BY repository, number
+@query(r"""
+    SELECT repo, pr_number, least(count(*), 100) AS files, CAST(sum(a) AS BIGINT) AS additions, CAST(sum(r) AS BIGINT) AS deletions,
+           array_to_string(list_sort(list_distinct(list(f))), ' ') AS names
+    FROM (SELECT repo, pr_number, regexp_extract(b, '^(\S+)', 1) AS f,
+                 len(list_filter(string_split(b, chr(10)), lambda x: starts_with(x, '+') AND NOT starts_with(x, '+++'))) AS a,
+                 len(list_filter(string_split(b, chr(10)), lambda x: starts_with(x, '-') AND NOT starts_with(x, '---'))) AS r
+          FROM (SELECT lower(trim(repo)) AS repo, pr_number, unnest(string_split(chr(10) || patch, chr(10) || 'diff --git a/')[2:]) AS b FROM pr_cache WHERE patch IS NOT NULL))
+    GROUP BY repo, pr_number
 """)
 def file_rollup(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "enriched_prs").select(
-        fold("repository").alias("repository"), "number", F.explode("changed_files").alias("filename"),
-        F.col("added_lines").alias("additions"), F.col("removed_lines").alias("deletions"),
-    ).where("filename is not null").distinct()
-    return reports.file_rollup(f, ["repository", "number"])
+    """Lines are counted in each file's own part of the diff."""
+    c = table(spark, d, "pr_cache").where("patch is not null")
+    b = c.select(fold("repo").alias("repo"), "pr_number", F.explode(text.diff_blocks(F.col("patch"))).alias("b"))
+    lines = text.line_delta(F.col("b.text"))
+    files = b.select("repo", "pr_number", F.col("b.path").alias("filename"), lines["added"].alias("additions"), lines["removed"].alias("deletions"))
+    return reports.file_rollup(files, ["repo", "pr_number"]).withColumn("names", F.array_join("names", " "))
 
 
 _RUN = """

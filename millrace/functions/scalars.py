@@ -259,6 +259,34 @@ def base_image(tags: Column, category: Column, default: str) -> Column:
     return out
 
 
+def retry_delays(attempts: Column, first: float = 1.0) -> Column:
+    """The seconds to wait before each further attempt: twice as long every time."""
+    return F.when(attempts > 1, F.transform(F.sequence(F.lit(0), attempts - 2), lambda k: F.lit(first) * F.pow(F.lit(2.0), k))).otherwise(
+        F.array().cast("array<double>")
+    )
+
+
+def newer(version: Column, than: Column) -> Column:
+    """Whether a version of dotted numbers (a leading v aside) is above another; NULL if either is none."""
+
+    def parts(c: Column) -> Column:
+        clean = F.regexp_replace(c, r"^v|[-+].*$", "")
+        numbers = F.transform(F.split(clean, r"\."), lambda x: x.try_cast("bigint"))
+        return F.when(clean.rlike(r"^\d+(?:\.\d+){0,2}$"), F.slice(F.concat(numbers, F.array_repeat(F.lit(0).cast("bigint"), 3)), 1, 3))
+
+    return parts(version) > parts(than)
+
+
+def pace(done: Column, total: Column, seconds: Column, last: Column, stall: float = 600.0) -> Column:
+    """``struct<per_hour, eta_seconds, stalled>`` of a run: its pace, the time to its end at it, and whether nothing came for long."""
+    rate = F.when(seconds > 0, done / seconds)
+    return F.struct(
+        F.coalesce(rate * 3600, F.lit(0.0)).alias("per_hour"),
+        F.when(rate > 0, (total - done) / rate).alias("eta_seconds"),
+        (seconds - last >= stall).alias("stalled"),
+    )
+
+
 def script_issues(files: DataFrame) -> DataFrame:
     """``task_id, path, issue, ref``: shell files without shebang or content, and test files that lines name but nobody submitted.
 

@@ -183,3 +183,39 @@ def pattern_hits(commands: DataFrame, patterns: DataFrame) -> DataFrame:
     counted = commands.select(F.explode(hits).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
     every = patterns.where("pattern is not null").select("pattern").distinct()
     return every.join(counted, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def test_ratio(facts: DataFrame) -> DataFrame:
+    """``task_id, f2p, p2p``: how many of the failing and of the passing tests pass afterwards, as ``passed/all``."""
+    after, ok = F.col("phase") == "after", F.col("exit_code") == 0
+
+    def part(kind: str) -> Column:
+        of = after & (F.col("kind") == kind)
+        return F.concat(F.count_if(of & ok).cast("string"), F.lit("/"), F.count_if(of).cast("string")).alias(kind)
+
+    return facts.groupBy("task_id").agg(part("f2p"), part("p2p"))
+
+
+def run_checks(checks: DataFrame, results: DataFrame) -> DataFrame:
+    """``task_id, check_id, passed`` of checks of commands from their recorded results.
+
+    ``checks(task_id, check_id, kind, command, expected)``, ``results(task_id, command, stdout, exit_code)``. Kinds:
+    command_succeeds, command_output (holds the expected text), exit_code. A command without result fails.
+    """
+    r = results.select(F.col("task_id").alias("_t"), F.col("command").alias("_c"), "stdout", "exit_code")
+    j = checks.join(r, (F.col("task_id") == F.col("_t")) & (F.col("command") == F.col("_c")), "left")
+    passed = (
+        F.when(F.col("kind") == "command_succeeds", F.col("exit_code") == 0)
+        .when(F.col("kind") == "command_output", F.col("stdout").contains(F.col("expected")))
+        .when(F.col("kind") == "exit_code", F.col("exit_code") == F.col("expected").try_cast("int"))
+    )
+    return j.select("task_id", "check_id", F.coalesce(passed, F.lit(False)).alias("passed"))
+
+
+def traces(runs: DataFrame, steps: DataFrame, scores: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """``run_id, steps, score, artifacts`` of every run; what refers to it is counted before it is joined."""
+    count = lambda d, name: d.groupBy("run_id").agg(F.count("*").alias(name))
+    best = scores.groupBy("run_id").agg(F.max("score").alias("score"))
+    j = runs.select("run_id").join(count(steps, "steps"), "run_id", "left").join(best, "run_id", "left")
+    j = j.join(count(artifacts, "artifacts"), "run_id", "left")
+    return j.select("run_id", _n("steps").alias("steps"), "score", _n("artifacts").alias("artifacts"))

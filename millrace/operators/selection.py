@@ -46,6 +46,19 @@ def take_quotas(rows: DataFrame, quotas: Mapping[str, int], level: Column, order
     return ranked.where("_rank <= _quota").drop("_level", "_quota", "_rank")
 
 
+def take_quota_table(rows: DataFrame, quotas: DataFrame, level: Column, order: Sequence[Column | str]) -> DataFrame:
+    """As :func:`take_quotas`, with the quotas as a table ``(level, quota)`` of the few levels there are; others none."""
+    q = quotas.groupBy(F.col("level").alias("_level")).agg(F.max("quota").alias("_quota")).where("_quota > 0")
+    joined = rows.withColumn("_level", level).join(F.broadcast(q.limit(MOST_LEVELS)), "_level")
+    w = Window.partitionBy("_level").orderBy(*order)
+    limit = q.agg(F.coalesce(F.max("_quota"), F.lit(0))).first()[0]
+    ranked = joined.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit)
+    return ranked.where("_rank <= _quota").drop("_level", "_quota", "_rank")
+
+
+MOST_LEVELS = 1000  # rows of a quota table; levels are names that people give
+
+
 def quota_progress(rows: DataFrame, quotas: Mapping[str, int], level: Column) -> DataFrame:
     """``level, quota, taken, complete`` for every level with a quota."""
     spark = rows.sparkSession

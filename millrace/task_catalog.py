@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from millrace import providers
 from millrace.catalog import _BASE, _DOC_PATH, _RUN, _TEST_PATH, _runs, query, values
-from millrace.functions import paths, scalars
-from millrace.operators import cache, outcomes, reports, rules
+from millrace.functions import integrity, paths, scalars
+from millrace.operators import cache, outcomes, reports, rules, selection
 from millrace.plans import dataset
 from millrace.plans import tasks as plans
 from millrace.runtime import fold, table
 from millrace.sources import events as ev
+from millrace.sources import tables
 
 # ------------------------------------------------------------ rules and gates
 LANGUAGES = ("python", "rust", "go", "typescript")
@@ -701,3 +702,118 @@ def canary_hits(spark: SparkSession, d: str) -> DataFrame:
     outputs = t.select(F.col("id").alias("output_id"), F.when(even, F.concat(F.lit("done "), F.lower(c), F.lit("."))).otherwise("nothing").alias("text"))
     found = outcomes.canary_hits(outputs, t.select(F.col("id").alias("task_id"), c.alias("canary")))
     return found.withColumn("confidence", F.col("confidence").cast("decimal(2,1)"))
+
+
+# ------------------------------------------------------- more joins and small ones
+@query("""
+    SELECT row_id FROM (SELECT row_id, q.quota, row_number() OVER (PARTITION BY triage_difficulty ORDER BY updated_at NULLS LAST, row_id) AS rn
+                        FROM pr_cache JOIN (VALUES ('easy', 15), ('medium', 7), ('none', 3)) q(level, quota) ON q.level = triage_difficulty) WHERE rn <= quota
+""")
+def quota_table(spark: SparkSession, d: str) -> DataFrame:
+    quotas = values(spark, "('easy', 15), ('medium', 7), ('none', 3)", "level, quota")
+    rows = table(spark, d, "pr_cache").select("row_id", "triage_difficulty", "updated_at")
+    return selection.take_quota_table(rows, quotas, F.col("triage_difficulty"), [F.asc_nulls_last("updated_at"), "row_id"]).select("row_id")
+
+
+@query("SELECT sum(q) AS wanted FROM (VALUES (40), (25), (10)) t(q)")
+def quota_total(spark: SparkSession, d: str) -> DataFrame:
+    parsed = selection.parse_quotas("easy:40, MEDIUM : 25,hard:9,hard:10")
+    return spark.createDataFrame(list(parsed.items()), "level string, quota bigint").agg(F.sum("quota").alias("wanted"))
+
+
+@query(f"""
+    SELECT task_id, count(*) FILTER (phase = 'after' AND kind = 'f2p' AND exit_code = 0) || '/' || count(*) FILTER (phase = 'after' AND kind = 'f2p') AS f2p,
+           count(*) FILTER (phase = 'after' AND kind = 'p2p' AND exit_code = 0) || '/' || count(*) FILTER (phase = 'after' AND kind = 'p2p') AS p2p
+    FROM ({_FACTS}) GROUP BY task_id
+""")
+def test_ratios(spark: SparkSession, d: str) -> DataFrame:
+    return outcomes.test_ratio(_facts(spark, d))
+
+
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS task_id, k AS check_id, coalesce(CASE k WHEN 'command_succeeds' THEN l.code = 0 WHEN 'command_output' THEN contains(l.said, 'R') WHEN 'exit_code' THEN l.code = 2 END, false) AS passed
+    FROM orders CROSS JOIN (VALUES ('command_succeeds'), ('command_output'), ('exit_code')) v(k)
+    LEFT JOIN (SELECT l_orderkey, max(l_returnflag) AS said, CAST(max(l_linenumber) % 3 AS INTEGER) AS code FROM lineitem WHERE l_orderkey % 4 <> 0 GROUP BY 1) l ON l_orderkey = o_orderkey
+""")
+def command_checks(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").where("l_orderkey % 4 != 0").groupBy(F.col("l_orderkey").cast("string").alias("task_id"))
+    results = lines.agg(F.lit("run").alias("command"), F.max("l_returnflag").alias("stdout"), (F.max("l_linenumber") % 3).cast("int").alias("exit_code"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(e).alias("expected")) for k, e in (("command_succeeds", ""), ("command_output", "R"), ("exit_code", "2"))])).alias("k")
+    checks = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("task_id"), kinds).select(
+        "task_id", F.col("k.kind").alias("check_id"), "k.kind", F.lit("run").alias("command"), "k.expected"
+    )
+    return outcomes.run_checks(checks, results)
+
+
+@query("""
+    SELECT CAST(c_custkey AS VARCHAR) AS run_id, coalesce(s.n, 0) AS steps, s.score, coalesce(a.n, 0) AS artifacts FROM customer
+    LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS score FROM orders GROUP BY 1) s ON s.o_custkey = c_custkey
+    LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1) a ON a.o_custkey = c_custkey
+""")
+def trace_overview(spark: SparkSession, d: str) -> DataFrame:
+    run = lambda c: F.col(c).cast("string").alias("run_id")
+    o = table(spark, d, "orders").select(run("o_custkey"), F.col("o_totalprice").alias("score"), "o_orderkey")
+    return outcomes.traces(table(spark, d, "customer").select(run("c_custkey")), o, o, o.where("o_orderkey % 3 = 0"))
+
+
+@query("""
+    SELECT k, round(greatest(0.0, least(1.0, p * CASE WHEN c >= 0.95 THEN 0.1 WHEN c = 0.6 THEN 0.7 ELSE 1.0 END * CASE WHEN c > 0.5 THEN 1.0 - (c - 0.5) * 0.4 ELSE 1.0 END)), 6) AS score
+    FROM (SELECT o_orderkey AS k, CAST(o_custkey % 10 AS DOUBLE) / 10 AS p, CAST(CASE o_orderkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.95 WHEN 2 THEN 0.6 ELSE 0.0 END AS DOUBLE) AS c FROM orders)
+""")
+def integrity_scores(spark: SparkSession, d: str) -> DataFrame:
+    m = F.col("o_orderkey") % 4
+    sure = F.when(m == 0, 1.0).when(m == 1, 0.95).when(m == 2, 0.6).otherwise(0.0)
+    found = F.struct((m <= 1).alias("contaminated"), (m == 2).alias("partial_match"), sure.alias("confidence"))
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 10 / 10.0).alias("p"), found.alias("f"))
+    return o.select(F.col("o_orderkey").alias("k"), F.round(integrity.combined_score(F.col("p"), F.col("f")), 6).alias("score"))
+
+
+@query("""
+    SELECT 'archive' AS origin, id, repository, pull_number FROM gharchive_events
+    UNION ALL SELECT 'search', 'search-' || r || '-' || doc_id, r, doc_id
+    FROM (SELECT doc_id, concat_ws('/', string_split(url, '/')[4], string_split(url, '/')[5]) AS r FROM documents WHERE len(string_split(url, '/')) >= 5)
+""")
+def union_search(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "documents").select(
+        F.col("url").alias("html_url"), F.col("doc_id").alias("number"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"), F.lit("u").alias("user")
+    )
+    archive = table(spark, d, "gharchive_events").withColumn("origin", F.lit("archive"))
+    both = tables.union_all([archive, ev.search_events(items).withColumn("origin", F.lit("search"))])
+    return both.select("origin", "id", "repository", "pull_number")
+
+
+@query("""
+    SELECT repository, number, array_to_string(list_concat(list_transform(a, lambda f: f || '=1'), list_transform(list_filter(b, lambda f: NOT list_contains(a, f)), lambda f: f || '=2')), ' ') AS files
+    FROM (SELECT DISTINCT repository, number, coalesce(list_filter(changed_files, lambda f: f IS NOT NULL), [])[1:2] AS a, coalesce(list_filter(changed_files, lambda f: f IS NOT NULL), []) AS b FROM enriched_prs)
+""")
+def merged_files(spark: SparkSession, d: str) -> DataFrame:
+    named = F.filter(F.coalesce("changed_files", F.array().cast("array<string>")), lambda f: f.isNotNull())
+    e = table(spark, d, "enriched_prs").select("repository", "number", named.alias("b")).distinct()
+    as_files = lambda c, x: F.transform(c, lambda f: F.struct(f.alias("path"), F.lit(x).alias("content")))
+    merged = selection.merge_files(as_files(F.slice("b", 1, 2), "1"), as_files(F.col("b"), "2"))
+    return e.select("repository", "number", F.array_join(F.transform(merged, lambda f: F.concat(f["path"], F.lit("="), f["content"])), " ").alias("files"))
+
+
+_VERSIONS = "('1.2.3', '1.2.2'), ('v1.10.0', '1.9.9'), ('1.0.0', '1.0.0'), ('0.9', '1.0.0'), ('2.0.0-rc1', '1.9.0'), ('x', '1.0.0')"
+
+
+@query("""
+    SELECT * FROM (VALUES ('1.2.3', '1.2.2', true, '1.0 2.0'), ('v1.10.0', '1.9.9', true, '1.0 2.0'), ('1.0.0', '1.0.0', false, '1.0 2.0'), ('0.9', '1.0.0', false, '1.0 2.0'),
+                          ('2.0.0-rc1', '1.9.0', true, '1.0 2.0'), ('x', '1.0.0', NULL, '1.0 2.0')) t(version, than, is_newer, waits)
+""")
+def versions_and_retries(spark: SparkSession, d: str) -> DataFrame:
+    v = values(spark, _VERSIONS, "version, than")
+    waits = F.array_join(F.transform(scalars.retry_delays(F.lit(3)), lambda x: x.cast("string")), " ")
+    return v.select("version", "than", scalars.newer(F.col("version"), F.col("than")).alias("is_newer"), waits.alias("waits"))
+
+
+@query("""
+    SELECT user_id, round(n / s * 3600, 6) AS per_hour, round((500 - n) / (n / s), 6) AS eta_seconds, s - l >= 600 AS stalled
+    FROM (SELECT user_id, CAST(count(*) AS DOUBLE) AS n, CAST(sum(event_id % 97) + 1 AS DOUBLE) AS s, CAST(max(event_id % 97) AS DOUBLE) AS l FROM events GROUP BY 1)
+""")
+def run_pace(spark: SparkSession, d: str) -> DataFrame:
+    g = table(spark, d, "events").groupBy("user_id").agg(
+        F.count("*").cast("double").alias("n"), (F.sum(F.col("event_id") % 97) + 1).cast("double").alias("s"), F.max(F.col("event_id") % 97).cast("double").alias("l")
+    )
+    p = g.select("user_id", scalars.pace(F.col("n"), F.lit(500.0), F.col("s"), F.col("l")).alias("p"))
+    return p.select("user_id", F.round("p.per_hour", 6).alias("per_hour"), F.round("p.eta_seconds", 6).alias("eta_seconds"), F.col("p.stalled").alias("stalled"))
