@@ -283,19 +283,18 @@ def _logit(p: Column) -> Column:
 COMMON = 10_000  # a term is common if more than one in so many features has it; there are no more such terms than this
 
 
-def _with_counts(features: DataFrame, counts: DataFrame, key: str, total: int, name: str) -> DataFrame:
-    """``features`` with ``n_name, s_name`` of the term in ``key``.
+def _with_counts(features: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """``features`` with the counts of their terms.
 
     Common terms, at most ``COMMON``, are broadcast; the rest is joined by term
     with no key that holds more than a small share of the rows.
     """
-    c = counts.select(F.col("family").alias("_f"), F.col("term").alias("_t"), F.col("n").alias(f"n_{name}"), F.col("s").alias(f"s_{name}"))
-    common = F.col(f"n_{name}") * COMMON >= F.lit(total)
-    on = (F.col("family") == F.col("_f")) & (F.col(key) == F.col("_t"))
+    c = counts.withColumnRenamed("family", "_f").withColumnRenamed("term", "_t")
+    common = F.col("n") * COMMON >= F.lit(total)
+    on = (F.col("family") == F.col("_f")) & (F.col("term") == F.col("_t"))
     near = features.join(F.broadcast(c.where(common)), on, "left").drop("_f", "_t")
-    known = near.where(F.col(f"n_{name}").isNotNull() | F.col(key).isNull())
-    rest = near.where(F.col(f"n_{name}").isNull() & F.col(key).isNotNull()).drop(f"n_{name}", f"s_{name}")
-    return known.unionByName(rest.join(c.where(~common), on, "left").drop("_f", "_t"))
+    rest = near.where("n is null").select(features.columns)
+    return near.where("n is not null").unionByName(rest.join(c.where(~common), on).drop("_f", "_t"))
 
 
 def disclosures(proposed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -305,26 +304,31 @@ def disclosures(proposed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     leans on its prior where the corpus holds it seldom: words on whether they
     are listed, two words of context on the nearer one, that on the family.
     """
-    features = proposed.select("pid", "family", F.explode("terms").alias("t")).select("pid", "family", "t.*")
     # a number of personal shape is open at first, everything else without seed no entity
     first = F.when(F.col("seed"), 1.0).when((F.col("family") == "number") & F.col("pii_kind").isNotNull(), 0.5).otherwise(0.0)
-    state = proposed.select("pid", "family", first.alias("q"))
+    state = proposed.select("pid", "family", first.alias("q"), "terms")
     total = proposed.select(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     for _ in range(rounds):
-        base = state.groupBy("family").agg(F.avg("q").alias("pi"))  # a row per family
-        base = base.select("family", F.least(F.greatest("pi", F.lit(0.1)), F.lit(0.9)).alias("pi"))
-        own = features.join(state, ["pid", "family"])
-        both = own.select("family", "q", "term").unionByName(own.where("parent is not null").select("family", "q", F.col("parent").alias("term")))
-        counts = materialize(both.groupBy("family", "term").agg(F.count("*").alias("n"), F.sum("q").alias("s")), "pii-terms")
-        told = _with_counts(_with_counts(own, counts, "term", total, "own"), counts, "parent", total, "up").join(F.broadcast(base), "family")
-
-        def share(name: str, prior: Column) -> Column:
-            return (F.greatest(F.col(f"s_{name}") - F.col("q"), F.lit(0.0)) + WEIGHT * prior) / (F.col(f"n_{name}") - 1 + WEIGHT)
-
-        prior = F.when(F.col("parent").isNotNull(), share("up", F.col("pi"))).otherwise(F.col("prior"))
-        bits = F.col("weight") * (_logit(share("own", prior)) - _logit(F.col("pi")))
-        judged = told.groupBy("pid", "family").agg((F.sum(bits) + _logit(F.first("pi"))).alias("odds"))
-        state = materialize(judged.select("pid", "family", F.least(F.round(1 / (1 + F.exp(-F.col("odds"))), 6), F.lit(0.999999)).alias("q")), "pii-odds")
+        means = {r["family"]: r["m"] for r in state.groupBy("family").agg(F.avg("q").alias("m")).collect()}  # a row per family
+        pi = F.lit(0.5)
+        for family, m in means.items():
+            pi = F.when(F.col("family") == family, F.lit(min(max(m, 0.1), 0.9))).otherwise(pi)
+        features = state.select("pid", "family", "q", F.explode("terms").alias("t"))
+        flat = features.select("pid", "family", "q", "t", "t.term", "t.parent", "t.prior", "t.weight")
+        own = flat.groupBy("family", "term", "parent").agg(F.count("*").alias("n"), F.sum("q").alias("s"))
+        # a term has one parent, so the counts of parents are sums of those of their terms
+        up = own.where("parent is not null").groupBy("family", "parent").agg(F.sum("n").alias("n_up"), F.sum("s").alias("s_up"))
+        counts = materialize(own.join(up, ["family", "parent"], "left").drop("parent"), "pii-terms")
+        told = _with_counts(flat, counts, total)
+
+        def share(n: str, s: str, prior: Column) -> Column:
+            return (F.greatest(F.col(s) - F.col("q"), F.lit(0.0)) + WEIGHT * prior) / (F.col(n) - 1 + WEIGHT)
+
+        prior = F.when(F.col("parent").isNotNull(), share("n_up", "s_up", pi)).otherwise(F.col("prior"))
+        bits = F.col("weight") * (_logit(share("n", "s", prior)) - _logit(pi))
+        judged = told.withColumn("bits", bits).groupBy("pid", "family").agg(F.sum("bits").alias("bits"), F.collect_list("t").alias("terms"))
+        q = F.least(F.round(1 / (1 + F.exp(-(F.col("bits") + _logit(pi)))), 6), F.lit(0.999999))
+        state = materialize(judged.select("pid", "family", q.alias("q"), "terms"), "pii-odds")
     return state.select("pid", F.col("q").alias("p"))
 
 
@@ -337,7 +341,7 @@ def _keyed(texts: DataFrame) -> DataFrame:
 
 def _apart(found: DataFrame) -> DataFrame:
     """Of overlapping names of one text the likelier, then the longer, then the first; other kinds never overlap."""
-    best = F.struct(-F.round("p", 2), F.col("start") - F.col("stop"), "start", "stop", "pid")
+    best = F.struct(-F.round("p", 3), F.col("start") - F.col("stop"), "start", "stop", "pid")
     per = found.where("family = 'name'").groupBy("uid", "uid2").agg(F.sort_array(F.collect_set(best)).alias("all"))
     none = F.array().cast(per.schema["all"].dataType)
     kept = F.aggregate(
