@@ -833,7 +833,6 @@ def seal_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- keyed state
-_FOLDED = "SELECT lower(trim(repo)) AS repo, pr_number, updated_at, row_id, title, triage_difficulty, status FROM pr_cache"
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +118,25 @@ def advice(results: DataFrame) -> DataFrame:
     return whole.unionByName(per.select(own.alias("advice")).where("advice is not null"))
 
 
+# What an agent says when it is done.
+DONE = ("TASK COMPLETE",)
+
+
+def says_done(output: Column, phrases: Sequence[str] = DONE) -> Column:
+    """Whether an output holds one of the phrases, as written."""
+    out = F.lit(False)
+    for p in phrases:
+        out = out | F.coalesce(output, F.lit("")).contains(p)
+    return out
+
+
+def last_attempts(facts: DataFrame, key: Sequence[str] = ("task_id", "command")) -> DataFrame:
+    """Of repeated attempts ``(*key, attempt, ...)`` the last one of each key, as it is recorded."""
+    rest = [c for c in facts.columns if c not in key]
+    last = facts.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("attempt")).alias("_last"))
+    return last.select(*key, *[F.col(f"_last.`{c}`").alias(c) for c in rest])
+
+
 def has_tests(fail_to_pass: Column, pass_to_pass: Column) -> Column:
     return (F.coalesce(F.size(fail_to_pass), F.lit(0)) > 0) | (F.coalesce(F.size(pass_to_pass), F.lit(0)) > 0)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.operators.dedup import event_number, keep_one
 from millrace.runtime import fold, utrim
@@ -60,6 +64,31 @@ def spending_by_day(records: DataFrame, at: str, value: str, lateness: str = "1
     )
 
 
+def ttl_stream(requests: DataFrame, ttl_seconds: float) -> DataFrame:
+    """``key, id, at, hit`` of a stream of requests ``(key string, id bigint, at timestamp)``: whether an entry of the key is alive.
+
+    The state of a key is one number, the time its entry was inserted. An expired
+    one is replaced by the next request and stays until then.
+    """
+
+    def walk(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        since = state.get[0] if state.exists else None
+        for pdf in batches:
+            pdf = pdf.sort_values(["at", "id"], kind="stable")
+            micros = (pdf["at"].astype("int64") // (1000 if pdf["at"].dtype.str.endswith("[ns]") else 1)).tolist()
+            hits = []
+            for at in micros:
+                hits.append(since is not None and at - since < ttl_seconds * 1_000_000)
+                since = since if hits[-1] else at
+            yield pd.DataFrame({"key": key[0], "id": pdf["id"].to_numpy(), "at": pdf["at"].to_numpy(), "hit": hits})
+        if since is not None:
+            state.update((since,))
+
+    return requests.groupBy("key").applyInPandasWithState(
+        walk, "key string, id bigint, at timestamp, hit boolean", "since bigint", "append", GroupStateTimeout.NoTimeout
+    )
+
+
 def progress_rows(reports: list[dict]) -> list[tuple[int, int, float]]:
     """``batch, rows, rows per second`` of the progress reports of a query, for a monitor."""
     return [(int(r["batchId"]), int(r["numInputRows"]), float(r.get("processedRowsPerSecond") or 0.0)) for r in reports]

@@ -817,3 +817,20 @@ def run_pace(spark: SparkSession, d: str) -> DataFrame:
     )
     p = g.select("user_id", scalars.pace(F.col("n"), F.lit(500.0), F.col("s"), F.col("l")).alias("p"))
     return p.select("user_id", F.round("p.per_hour", 6).alias("per_hour"), F.round("p.eta_seconds", 6).alias("eta_seconds"), F.col("p.stalled").alias("stalled"))
+
+
+@query("""
+    SELECT count(*) AS outputs, count(*) FILTER (contains(body, 'TASK COMPLETE') OR contains(body, 'drops the')) AS done
+    FROM pr_cache WHERE body IS NOT NULL
+""")
+def said_done(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "pr_cache").where("body is not null")
+    return c.agg(F.count("*").alias("outputs"), F.count_if(outcomes.says_done(F.col("body"), (*outcomes.DONE, "drops the"))).alias("done"))
+
+
+@query("""
+    SELECT CAST(l_orderkey AS VARCHAR) AS task_id, arg_max(l_quantity, l_linenumber) AS quantity, max(l_linenumber) AS attempt FROM lineitem GROUP BY 1
+""")
+def last_attempts(spark: SparkSession, d: str) -> DataFrame:
+    once = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("task_id"), F.col("l_linenumber").alias("attempt")).agg(F.max("l_quantity").alias("quantity"))
+    return outcomes.last_attempts(once, ["task_id"]).select("task_id", "quantity", "attempt")
