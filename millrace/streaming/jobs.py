@@ -45,11 +45,11 @@ def distinct_messages(events: DataFrame, lateness: str = "7 days") -> DataFrame:
     return kept.drop("_no", "_repo")
 
 
-def unseen(batch: DataFrame, delivered: DataFrame) -> DataFrame:
+def unseen(batch: DataFrame, delivered: DataFrame, order_by: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
     """The messages of a batch that a table of delivered ones (same columns) does not hold, however old; one copy of each."""
     name = F.coalesce(event_number("id").cast("string"), F.concat(F.lit("id "), utrim("id")))
     key = lambda d: d.select(name.alias("_no"), fold("repository").alias("_repo"), F.col("pull_number").alias("_pr")).distinct()
-    one, old = keep_one(batch).withColumn("_no", name), key(delivered)
+    one, old = keep_one(batch, order_by).withColumn("_no", name), key(delivered)
     same = (one["_no"] == old["_no"]) & fold("repository").eqNullSafe(old["_repo"]) & F.col("pull_number").eqNullSafe(old["_pr"])
     return one.join(old, same, "left_anti").drop("_no")
 

@@ -829,7 +829,8 @@ def said_done(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT CAST(l_orderkey AS VARCHAR) AS task_id, arg_max(l_quantity, l_linenumber) AS quantity, max(l_linenumber) AS attempt FROM lineitem GROUP BY 1
+    SELECT CAST(k AS VARCHAR) AS task_id, arg_max(q, n) AS quantity, max(n) AS attempt
+    FROM (SELECT l_orderkey AS k, l_linenumber AS n, max(l_quantity) AS q FROM lineitem GROUP BY 1, 2) GROUP BY 1
 """)
 def last_attempts(spark: SparkSession, d: str) -> DataFrame:
     once = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("task_id"), F.col("l_linenumber").alias("attempt")).agg(F.max("l_quantity").alias("quantity"))
